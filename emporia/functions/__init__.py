@@ -1,7 +1,9 @@
 from emporia.functions.columns import (  # noqa: F401
     first_of,
     haversine_km,
+    as_of_date,
     is_finite,
     safe_div,
+    since,
     zero_pad,
 )

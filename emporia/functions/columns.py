@@ -55,3 +55,23 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     )
     dist = F.lit(2.0) * F.asin(F.sqrt(F.least(F.lit(1.0), h))) * EARTH_RADIUS_KM
     return F.when(lat1.isNull() | lng1.isNull() | lat2.isNull() | lng2.isNull(), F.lit(None).cast("double")).otherwise(dist)
+
+
+def as_of_date(as_of, frame: DataFrame, date_col: str) -> Column:
+    """The reference date of a look-back window.
+
+    An explicit ``as_of`` (date or 'YYYY-MM-DD') wins; otherwise the newest
+    ``date_col`` of ``frame``, as a scalar subquery (one aggregate, evaluated
+    once, no driver round trip). Using the data's own maximum instead of
+    ``current_date`` keeps windows reproducible on historic data.
+    """
+    if as_of is None:
+        return frame.select(F.max(date_col)).scalar()
+    if isinstance(as_of, Column):
+        return as_of
+    return F.lit(str(as_of)).cast("date")
+
+
+def since(date_col: Column, days: int, as_of: Column) -> Column:
+    """Inclusive lower bound ``date_col >= as_of - days``."""
+    return date_col >= F.date_sub(as_of, int(days))

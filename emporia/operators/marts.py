@@ -26,8 +26,8 @@ def delivery_columns(orders: DataFrame) -> list:
     """Lead time, ETA gap and three-valued punctuality of an order row."""
     delivered, eta = F.col("delivered_customer_ts"), F.col("estimated_delivery_ts")
     return [
-        F.datediff(F.to_date(delivered), F.col("order_date")).alias("lead_time_days"),
-        F.when(eta.isNotNull(), F.datediff(F.to_date(delivered), F.to_date(eta))).alias("eta_gap_days"),
+        F.datediff(F.to_date(delivered), F.col("order_date")).cast("long").alias("lead_time_days"),
+        F.when(eta.isNotNull(), F.datediff(F.to_date(delivered), F.to_date(eta))).cast("long").alias("eta_gap_days"),
         F.when(eta.isNotNull(), delivered <= eta).alias("is_on_time"),
         F.when(eta.isNotNull(), delivered > eta).alias("is_late"),
     ]

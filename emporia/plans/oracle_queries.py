@@ -51,3 +51,134 @@ FROM freight_coords
 """, ["cust_lat", "cust_lng", "seller_lat", "seller_lng"])
 query("haversine_km", "SELECT DISTINCT cust_zip, seller_zip, distance_km FROM freight_coords "
       "JOIN freight_lines USING (order_item_id)", ["distance_km"])
+
+KPI = ["gmv", "aov", "freight_pct_gmv", "on_time_pct", "late_pct"]
+query("kpi_window", "SELECT * FROM kpi_win", KPI)
+query("kpi_latest", """
+SELECT kpi_date, orders_delivered, gmv, aov, on_time_pct * 100 AS on_time_pct_100,
+  freight_pct_gmv * 100 AS freight_pct_gmv_100
+FROM kpi_win ORDER BY kpi_date DESC LIMIT 1
+""", ["gmv", "aov", "on_time_pct_100", "freight_pct_gmv_100"])
+query("kpi_alerts", """
+WITH l AS (SELECT on_time_pct * 100 AS on_time, freight_pct_gmv AS freight FROM kpi_win
+           ORDER BY kpi_date DESC LIMIT 1),
+     r AS (SELECT avg_score AS score FROM mrt_reviews ORDER BY as_of_date DESC LIMIT 1)
+SELECT 'on_time_pct_below' AS alert, on_time AS value, CAST(85.0 AS DOUBLE) AS threshold,
+  coalesce(on_time < 85.0, false) AS fired FROM l
+UNION ALL
+SELECT 'freight_pct_gmv_above', freight, CAST(0.20 AS DOUBLE), coalesce(freight > 0.20, false) FROM l
+UNION ALL
+SELECT 'avg_review_score_below', (SELECT score FROM r), CAST(3.8 AS DOUBLE),
+  coalesce((SELECT score FROM r) < 3.8, false)
+""", ["value", "threshold"])
+query("kpi_series_long", " UNION ALL ".join(
+    f"SELECT kpi_date, '{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM mrt_kpis_daily"
+    for c in ["orders_delivered", "gmv", "aov", "freight_pct_gmv", "on_time_pct", "late_pct"]), ["value"])
+
+query("lead_time_hist", """
+SELECT CAST(lead_time_days AS INTEGER) AS lead_time_days, count(*) AS orders FROM fct_deliveries
+WHERE lead_time_days IS NOT NULL AND lead_time_days BETWEEN 0 AND 60 GROUP BY 1
+""")
+query("on_time_split", """
+SELECT count(*) AS deliveries,
+  CASE WHEN count(*) > 0 THEN sum(CASE WHEN is_on_time THEN 1 ELSE 0 END) / count(*) END AS on_time_pct,
+  CASE WHEN count(*) > 0 THEN sum(CASE WHEN is_late THEN 1 ELSE 0 END) / count(*) END AS late_pct
+FROM fct_deliveries WHERE is_on_time IS NOT NULL
+""", ["on_time_pct", "late_pct"])
+query("delay_penalty_overall", """
+SELECT count(*) AS reviews,
+  avg(CASE WHEN is_late = false THEN score END) AS ontime_avg_score,
+  avg(CASE WHEN is_late = true THEN score END) AS late_avg_score,
+  avg(CASE WHEN is_late = false THEN score END) - avg(CASE WHEN is_late = true THEN score END) AS delay_penalty
+FROM stg_reviews r JOIN fct_deliveries d USING (order_id) WHERE r.score IS NOT NULL
+""", ["ontime_avg_score", "late_avg_score", "delay_penalty"])
+query("score_distribution", """
+SELECT score, count(*) AS reviews
+FROM stg_reviews r JOIN fct_deliveries d USING (order_id) WHERE r.score IS NOT NULL GROUP BY score
+""")
+
+PTS = ["distance_km", "freight_pct", "line_gross"]
+FIT = ["intercept", "slope", "r2", "sigma"]
+query("freight_points_line", "SELECT * FROM pts_line", PTS)
+query("freight_points_order", "SELECT * FROM pts_order", PTS)
+query("ols_fit", "SELECT * FROM fit_line", FIT)
+query("ols_fit_order", "SELECT * FROM fit_order", FIT)
+query("ols_score", "SELECT * FROM scored_line", PTS + ["y_hat", "resid", "z_resid"])
+query("ols_summary", """
+SELECT count(*) AS rows, (SELECT r2 FROM fit_line) AS r2, (SELECT slope FROM fit_line) * 100 AS slope_pp_per_km,
+  count(*) FILTER (WHERE is_outlier) AS outliers
+FROM scored_line
+""", ["r2", "slope_pp_per_km"])
+query("ols_trend_line", """
+SELECT x_min, m.intercept + m.slope * x_min AS y_at_min, x_max, m.intercept + m.slope * x_max AS y_at_max
+FROM (SELECT min(distance_km) AS x_min, max(distance_km) AS x_max FROM pts_line
+      WHERE isfinite(distance_km) AND isfinite(freight_pct)), fit_line m
+""", ["x_min", "y_at_min", "x_max", "y_at_max"])
+query("outlier_lanes", "SELECT * FROM outliers_line",
+      ["distance_km", "freight_pct", "y_hat", "resid", "z_resid"])
+query("freight_insights", """
+SELECT m.r2, m.slope * 100 AS slope_pp_per_km, m.slope > 0 AS freight_rises_with_distance,
+  (SELECT count(*) FROM scored_line WHERE is_outlier) AS outliers,
+  w.order_id AS worst_order_id, w.z_resid AS worst_z_resid, w.seller_id AS worst_seller_id,
+  w.product_id AS worst_product_id
+FROM fit_line m LEFT JOIN (SELECT * FROM outliers_line LIMIT 1) w ON true
+""", ["r2", "slope_pp_per_km", "worst_z_resid"])
+
+CAT = ["units", "gmv", "net_revenue", "proxy_margin", "freight_total", "avg_freight_pct",
+       "velocity_units_per_day", "margin_pct_of_gmv", "avg_order_value"]
+query("category_rollup", "SELECT * FROM cat_rollup", CAT[:6])
+query("category_metrics", "SELECT * FROM cat_metrics", CAT)
+query("category_ranks", """
+SELECT *,
+  CASE WHEN gmv IS NOT NULL THEN CAST(dense_rank() OVER (ORDER BY gmv DESC NULLS LAST) AS INTEGER) END AS rank_gmv,
+  CASE WHEN velocity_units_per_day IS NOT NULL
+       THEN CAST(dense_rank() OVER (ORDER BY velocity_units_per_day DESC NULLS LAST) AS INTEGER) END AS rank_velocity,
+  CASE WHEN margin_pct_of_gmv IS NOT NULL
+       THEN CAST(dense_rank() OVER (ORDER BY margin_pct_of_gmv DESC NULLS LAST) AS INTEGER) END AS rank_margin_pct
+FROM cat_metrics
+""", CAT)
+query("category_top_n", """
+SELECT category, orders_delivered, gmv, avg_order_value, proxy_margin, margin_pct_of_gmv,
+  velocity_units_per_day, avg_freight_pct
+FROM cat_metrics ORDER BY gmv DESC, category LIMIT 20
+""", ["gmv", "avg_order_value", "proxy_margin", "margin_pct_of_gmv", "velocity_units_per_day", "avg_freight_pct"])
+query("category_totals", """
+SELECT count(*) AS categories, CAST(sum(orders_delivered) AS BIGINT) AS orders_delivered,
+  sum(gmv) AS gmv, sum(proxy_margin) AS proxy_margin
+FROM cat_metrics
+""", ["gmv", "proxy_margin"])
+query("discontinue_candidates", """
+SELECT category, orders_delivered, units, gmv, proxy_margin, margin_pct_of_gmv, velocity_units_per_day
+FROM cat_metrics
+WHERE velocity_units_per_day <= 12.0 AND coalesce(margin_pct_of_gmv, 0) <= 0.90
+ORDER BY gmv, category LIMIT 50
+""", ["units", "gmv", "proxy_margin", "margin_pct_of_gmv", "velocity_units_per_day"])
+
+query("payment_orders", "SELECT * FROM pay_orders", ["gmv", "payment_total"])
+query("primary_method", """
+SELECT order_id, coalesce(lower(primary_method), 'unknown') AS primary_method, methods_list FROM pay_profile
+""")
+query("payment_kpis", """
+SELECT count(*) AS orders, avg(coalesce(installments, 1)) AS avg_installments,
+  avg(CAST(is_delivered AS INTEGER)) * 100 AS delivered_pct, avg(CAST(is_canceled AS INTEGER)) * 100 AS cancel_pct
+FROM pay_orders
+""", ["avg_installments", "delivered_pct", "cancel_pct"])
+query("installments_dist", """
+SELECT greatest(coalesce(installments, 1), 1) AS installments, count(*) AS orders FROM pay_orders GROUP BY 1
+""")
+query("aov_by_method", """
+SELECT primary_method, count(order_id) AS orders, avg(gmv) AS aov FROM pay_orders
+GROUP BY primary_method HAVING count(order_id) >= 25
+""", ["aov"])
+query("cancel_by_installments", "SELECT * FROM cancel_inst", ["cancel_rate", "cancel_rate_pct"])
+query("payment_insights", """
+SELECT low AS aov_low_installments, high AS aov_high_installments, high - low AS aov_delta,
+  c_first AS cancel_rate_first, c_last AS cancel_rate_last,
+  CASE WHEN c_last > c_first THEN 'higher' WHEN c_last IS NOT NULL AND c_first IS NOT NULL THEN 'lower' END
+    AS cancel_trend
+FROM (SELECT avg(CASE WHEN coalesce(installments, 1) <= 2 THEN gmv END) AS low,
+             avg(CASE WHEN coalesce(installments, 1) >= 6 THEN gmv END) AS high,
+             (SELECT cancel_rate FROM cancel_inst ORDER BY installments LIMIT 1) AS c_first,
+             (SELECT cancel_rate FROM cancel_inst ORDER BY installments DESC LIMIT 1) AS c_last
+      FROM pay_orders)
+""", ["aov_low_installments", "aov_high_installments", "aov_delta", "cancel_rate_first", "cancel_rate_last"])

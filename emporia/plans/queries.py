@@ -37,3 +37,192 @@ def q_lane_coordinates(wh: Warehouse):
 @register("haversine_km")
 def q_haversine(wh: Warehouse):
     return marts.lane_distances(wh.lane_coordinates)
+
+
+# ---------------------------------------------------------------- KPI reads
+from emporia.operators import category, delivery, kpis, payments, regression  # noqa: E402
+
+KPI_DAYS = 180
+
+
+@register("kpi_window")
+def q_kpi_window(wh: Warehouse):
+    return kpis.kpi_window(wh.mrt_kpis_daily, KPI_DAYS)
+
+
+@register("kpi_latest")
+def q_kpi_latest(wh: Warehouse):
+    return kpis.kpi_latest(wh.mrt_kpis_daily, KPI_DAYS)
+
+
+@register("kpi_alerts")
+def q_kpi_alerts(wh: Warehouse):
+    return kpis.kpi_alerts(wh.mrt_kpis_daily, wh.mrt_reviews, KPI_DAYS)
+
+
+@register("kpi_series_long")
+def q_kpi_series_long(wh: Warehouse):
+    return kpis.kpi_series_long(wh.mrt_kpis_daily)
+
+
+# ---------------------------------------------------------------- delivery
+@register("lead_time_hist")
+def q_lead_time_hist(wh: Warehouse):
+    return delivery.lead_time_hist(wh.fct_deliveries)
+
+
+@register("on_time_split")
+def q_on_time_split(wh: Warehouse):
+    return delivery.on_time_split(wh.fct_deliveries)
+
+
+@register("delay_penalty_overall")
+def q_delay_penalty_overall(wh: Warehouse):
+    return delivery.delay_penalty_overall(wh.stg_reviews, wh.fct_deliveries)
+
+
+@register("score_distribution")
+def q_score_distribution(wh: Warehouse):
+    return delivery.score_distribution(wh.stg_reviews, wh.fct_deliveries)
+
+
+# ---------------------------------------------------------------- regression
+def _line_points(wh: Warehouse):
+    return regression.freight_points_line(wh.fct_freight)
+
+
+def _line_model(wh: Warehouse):
+    pts = _line_points(wh)
+    return pts, regression.ols_fit(pts)
+
+
+@register("freight_points_line")
+def q_freight_points_line(wh: Warehouse):
+    return _line_points(wh)
+
+
+@register("freight_points_order")
+def q_freight_points_order(wh: Warehouse):
+    return regression.freight_points_order(wh.fct_freight)
+
+
+@register("ols_fit")
+def q_ols_fit(wh: Warehouse):
+    return _line_model(wh)[1]
+
+
+@register("ols_fit_order")
+def q_ols_fit_order(wh: Warehouse):
+    return regression.ols_fit(regression.freight_points_order(wh.fct_freight))
+
+
+@register("ols_score")
+def q_ols_score(wh: Warehouse):
+    pts, model = _line_model(wh)
+    return regression.ols_score(pts, model)
+
+
+@register("ols_summary")
+def q_ols_summary(wh: Warehouse):
+    pts, model = _line_model(wh)
+    return regression.ols_summary(regression.ols_score(pts, model), model)
+
+
+@register("ols_trend_line")
+def q_ols_trend_line(wh: Warehouse):
+    pts, model = _line_model(wh)
+    return regression.ols_trend_line(pts, model)
+
+
+@register("outlier_lanes")
+def q_outlier_lanes(wh: Warehouse):
+    pts, model = _line_model(wh)
+    return regression.outlier_lanes(regression.ols_score(pts, model))
+
+
+@register("freight_insights")
+def q_freight_insights(wh: Warehouse):
+    pts, model = _line_model(wh)
+    return regression.freight_insights(regression.ols_score(pts, model), model)
+
+
+# ---------------------------------------------------------------- categories
+# At sf0.01 the default cut-offs select nothing; these select a few (FIXTURES.md).
+DISCONTINUE_VEL_CUT = 12.0
+DISCONTINUE_MARGIN_CUT = 0.90
+
+
+def _cat_metrics(wh: Warehouse):
+    rollup = category.category_rollup(wh.fct_order_items if wh.has("fct_order_items") else wh.stg_order_items,
+                                      wh.orders_with_items, wh.stg_products)
+    return category.category_metrics(rollup)
+
+
+@register("category_rollup")
+def q_category_rollup(wh: Warehouse):
+    return category.category_rollup(wh.stg_order_items, wh.orders_with_items, wh.stg_products)
+
+
+@register("category_metrics")
+def q_category_metrics(wh: Warehouse):
+    return _cat_metrics(wh)
+
+
+@register("category_ranks")
+def q_category_ranks(wh: Warehouse):
+    return category.category_ranks(_cat_metrics(wh))
+
+
+@register("category_top_n")
+def q_category_top_n(wh: Warehouse):
+    return category.category_top_n(_cat_metrics(wh))
+
+
+@register("category_totals")
+def q_category_totals(wh: Warehouse):
+    return category.category_totals(_cat_metrics(wh))
+
+
+@register("discontinue_candidates")
+def q_discontinue_candidates(wh: Warehouse):
+    return category.discontinue_candidates(_cat_metrics(wh), DISCONTINUE_VEL_CUT, DISCONTINUE_MARGIN_CUT)
+
+
+# ---------------------------------------------------------------- payments
+def _pay_orders(wh: Warehouse):
+    return payments.payment_orders(wh.fct_orders, wh.stg_payments)
+
+
+@register("payment_orders")
+def q_payment_orders(wh: Warehouse):
+    return _pay_orders(wh)
+
+
+@register("primary_method")
+def q_primary_method(wh: Warehouse):
+    return payments.primary_method(wh.stg_payments)
+
+
+@register("payment_kpis")
+def q_payment_kpis(wh: Warehouse):
+    return payments.payment_kpis(_pay_orders(wh))
+
+
+@register("installments_dist")
+def q_installments_dist(wh: Warehouse):
+    return payments.installments_dist(_pay_orders(wh))
+
+
+@register("aov_by_method")
+def q_aov_by_method(wh: Warehouse):
+    return payments.aov_by_method(_pay_orders(wh))
+
+
+@register("cancel_by_installments")
+def q_cancel_by_installments(wh: Warehouse):
+    return payments.cancel_by_installments(_pay_orders(wh))
+
+
+@register("payment_insights")
+def q_payment_insights(wh: Warehouse):
+    return payments.payment_insights(_pay_orders(wh))
