@@ -182,3 +182,84 @@ FROM (SELECT avg(CASE WHEN coalesce(installments, 1) <= 2 THEN gmv END) AS low,
              (SELECT cancel_rate FROM cancel_inst ORDER BY installments DESC LIMIT 1) AS c_last
       FROM pay_orders)
 """, ["aov_low_installments", "aov_high_installments", "aov_delta", "cancel_rate_first", "cancel_rate_last"])
+
+# ---------------------------------------------------------------- contracts
+from emporia.operators import contracts as _c  # noqa: E402  (the declared check lists)
+
+
+def _check_sql(c) -> str:
+    head = f"SELECT '{c.check_name}' AS check_name, '{c.table_name}' AS table_name, '{c.detail}' AS detail, "
+    if c.kind == "nonempty":
+        return head + f"CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) AS violations FROM {c.table_name}"
+    if c.kind == "unique":
+        cols = ", ".join(c.columns)
+        return head + (f"count(*) AS violations FROM (SELECT {cols}, count(*) AS n FROM {c.table_name} "
+                       f"GROUP BY {cols}) WHERE n > 1")
+    if c.kind == "rows":
+        return head + f"count(*) AS violations FROM {c.table_name} WHERE {c.predicate}"
+    if c.kind == "fk":
+        col, pcol = c.columns[0], c.parent_columns[0]
+        return head + (f"count(*) AS violations FROM {c.table_name} ch LEFT JOIN {c.parent} p "
+                       f"ON ch.{col} = p.{pcol} WHERE p.{pcol} IS NULL")
+    if c.kind == "join_rows":
+        return head + (f"count(*) AS violations FROM {c.table_name} o LEFT JOIN {c.parent} c "
+                       f"ON o.customer_id = c.customer_id WHERE {c.predicate}")
+    raise ValueError(c.kind)
+
+
+def _report_sql(checks) -> str:
+    body = "\nUNION ALL\n".join(_check_sql(c) for c in checks)
+    return f"SELECT *, coalesce(violations = 0, false) AS passed FROM (\n{body}\n)"
+
+
+for _key, _names in (
+    ("contract_nonempty", ("nonempty",)),
+    ("contract_unique", ("unique",)),
+    ("contract_not_null", ("not_null",)),
+    ("contract_fk", ("fk",)),
+    ("contract_values_real", ("values",)),
+    ("contract_essential_nulls", ("essential_nulls",)),
+    ("contract_time_order", ("time_order",)),
+    ("contract_report", ()),
+):
+    query(_key, _report_sql([c for c in _c.contracts("real") if not _names or c.check_name in _names]))
+
+
+def _failing_sql(t) -> str:
+    key = _c.MODEL_KEYS[t.model]
+    if t.test == "not_null":
+        return f"SELECT CAST({key} AS VARCHAR) AS row_key FROM {t.model} WHERE {t.column} IS NULL"
+    if t.test == "unique":
+        return (f"SELECT CAST({t.column} AS VARCHAR) AS row_key FROM {t.model} WHERE {t.column} IS NOT NULL "
+                f"GROUP BY {t.column} HAVING count(*) > 1")
+    if t.test == "relationships":
+        pm, pc = t.arg.split(".")
+        return (f"SELECT CAST(m.{key} AS VARCHAR) AS row_key FROM {t.model} m WHERE m.{t.column} IS NOT NULL "
+                f"AND NOT EXISTS (SELECT 1 FROM {pm} p WHERE p.{pc} = m.{t.column})")
+    return f"SELECT CAST({key} AS VARCHAR) AS row_key FROM {t.model} WHERE NOT ({t.arg})"
+
+
+def _tcols(t) -> str:
+    return (f"'{t.model}' AS model, '{t.column}' AS column_name, '{t.test}' AS test, "
+            f"'{t.arg}' AS arg, '{t.severity}' AS severity")
+
+
+query("model_tests", "SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
+      "ELSE 'fail' END AS status FROM (\n" + "\nUNION ALL\n".join(
+          f"SELECT {_tcols(t)}, count(*) AS failures FROM ({_failing_sql(t)})" for t in _c.MODEL_TESTS) + "\n)")
+query("store_failures", "\nUNION ALL\n".join(
+    f"SELECT {_tcols(t)}, row_key FROM ({_failing_sql(t)})" for t in _c.MODEL_TESTS))
+query("mart_sanity", """
+SELECT 'fct_orders_rows' AS check_name, CAST(count(*) AS DOUBLE) AS value, count(*) >= 1 AS passed FROM fct_orders
+UNION ALL SELECT 'fct_order_items_rows', count(*), count(*) >= 1 FROM fct_order_items
+UNION ALL SELECT 'dim_customers_rows', count(*), count(*) >= 1 FROM dim_customers
+UNION ALL SELECT 'kpi_rows', count(*), count(*) >= 1 FROM mrt_kpis_daily
+UNION ALL SELECT 'kpi_missing_columns', 0, true
+UNION ALL SELECT 'kpi_invalid_rows', count(*), count(*) = 0 FROM mrt_kpis_daily
+  WHERE gmv < 0 OR aov < 0 OR on_time_pct < 0 OR on_time_pct > 1 OR freight_pct_gmv < 0
+UNION ALL SELECT 'freight_usable_rows', count(*), count(*) >= 10 FROM fct_freight
+  WHERE distance_km IS NOT NULL AND (freight_pct_line IS NOT NULL OR order_freight_pct IS NOT NULL)
+UNION ALL SELECT 'freight_distance_var_pop', var_pop(distance_km), coalesce(var_pop(distance_km), 0) > 0
+  FROM fct_freight WHERE distance_km IS NOT NULL AND freight_pct_line IS NOT NULL
+UNION ALL SELECT 'reviews_penalty_rows', count(delay_penalty), count(delay_penalty) >= 1 FROM mrt_reviews
+""", ["value"])

@@ -226,3 +226,45 @@ def q_cancel_by_installments(wh: Warehouse):
 @register("payment_insights")
 def q_payment_insights(wh: Warehouse):
     return payments.payment_insights(_pay_orders(wh))
+
+
+# ---------------------------------------------------------------- contracts
+from emporia.operators import contracts  # noqa: E402
+
+
+def _real_report(wh: Warehouse, *names: str):
+    checks = [c for c in contracts.contracts("real") if not names or c.check_name in names]
+    return contracts.run_checks(wh.raw["raw_orders"].sparkSession, wh.raw, checks)
+
+
+for _key, _names in (
+    ("contract_nonempty", ("nonempty",)),
+    ("contract_unique", ("unique",)),
+    ("contract_not_null", ("not_null",)),
+    ("contract_fk", ("fk",)),
+    ("contract_values_real", ("values",)),
+    ("contract_essential_nulls", ("essential_nulls",)),
+    ("contract_time_order", ("time_order",)),
+    ("contract_report", ()),
+):
+    register(_key)(lambda wh, _n=_names: _real_report(wh, *_n))
+
+
+def _models(wh: Warehouse) -> dict:
+    return {name: getattr(wh, name) for name in contracts.MODEL_KEYS}
+
+
+@register("model_tests")
+def q_model_tests(wh: Warehouse):
+    return contracts.run_model_tests(_models(wh))
+
+
+@register("store_failures")
+def q_store_failures(wh: Warehouse):
+    return contracts.store_failures(_models(wh))
+
+
+@register("mart_sanity")
+def q_mart_sanity(wh: Warehouse):
+    return contracts.mart_sanity(wh.fct_orders, wh.fct_order_items, wh.dim_customers, wh.mrt_kpis_daily,
+                                 wh.fct_freight, wh.mrt_reviews)
