@@ -263,3 +263,18 @@ UNION ALL SELECT 'freight_distance_var_pop', var_pop(distance_km), coalesce(var_
   FROM fct_freight WHERE distance_km IS NOT NULL AND freight_pct_line IS NOT NULL
 UNION ALL SELECT 'reviews_penalty_rows', count(delay_penalty), count(delay_penalty) >= 1 FROM mrt_reviews
 """, ["value"])
+
+# ---------------------------------------------------------------- sources / sinks
+query("csv_source", "SELECT * FROM raw_orders")
+query("ingest_summary", "SELECT table_name, rows FROM (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in
+    ["raw_orders", "raw_order_items", "raw_customers", "raw_payments", "raw_reviews", "raw_products",
+     "raw_sellers", "raw_geolocation"]) + ") UNION ALL SELECT 'TOTAL', (" + " + ".join(
+    f"(SELECT count(*) FROM {t})" for t in
+    ["raw_orders", "raw_order_items", "raw_customers", "raw_payments", "raw_reviews", "raw_products",
+     "raw_sellers", "raw_geolocation"]) + ")")
+query("mart_build", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in
+    ["dim_customers", "dim_products", "fct_order_items", "fct_orders", "fct_deliveries", "fct_freight",
+     "mrt_kpis_daily", "mrt_reviews"]))
+query("csv_export", "SELECT * FROM outliers_line", ["distance_km", "freight_pct", "y_hat", "resid", "z_resid"])

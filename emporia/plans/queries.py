@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emporia.operators import marts, staging
+from emporia.plans.build import build_summary, materialize, new_build_dir, persist_model
+from emporia.sources import csv as csv_source
+from emporia.sources import sinks
 from emporia.plans.catalog import register
 from emporia.plans.warehouse import Warehouse
 
@@ -87,8 +90,14 @@ def q_score_distribution(wh: Warehouse):
 
 
 # ---------------------------------------------------------------- regression
+def _freight(wh: Warehouse):
+    # The fit, the residual spread and the scoring each read the points:
+    # persist the freight mart once instead of recomputing its joins per pass.
+    return persist_model(wh, "fct_freight")
+
+
 def _line_points(wh: Warehouse):
-    return regression.freight_points_line(wh.fct_freight)
+    return regression.freight_points_line(_freight(wh))
 
 
 def _line_model(wh: Warehouse):
@@ -113,7 +122,7 @@ def q_ols_fit(wh: Warehouse):
 
 @register("ols_fit_order")
 def q_ols_fit_order(wh: Warehouse):
-    return regression.ols_fit(regression.freight_points_order(wh.fct_freight))
+    return regression.ols_fit(regression.freight_points_order(_freight(wh)))
 
 
 @register("ols_score")
@@ -153,14 +162,13 @@ DISCONTINUE_MARGIN_CUT = 0.90
 
 
 def _cat_metrics(wh: Warehouse):
-    rollup = category.category_rollup(wh.fct_order_items if wh.has("fct_order_items") else wh.stg_order_items,
-                                      wh.orders_with_items, wh.stg_products)
+    rollup = category.category_rollup(wh.lines, wh.orders_with_items, wh.stg_products)
     return category.category_metrics(rollup)
 
 
 @register("category_rollup")
 def q_category_rollup(wh: Warehouse):
-    return category.category_rollup(wh.stg_order_items, wh.orders_with_items, wh.stg_products)
+    return category.category_rollup(wh.lines, wh.orders_with_items, wh.stg_products)
 
 
 @register("category_metrics")
@@ -268,3 +276,52 @@ def q_store_failures(wh: Warehouse):
 def q_mart_sanity(wh: Warehouse):
     return contracts.mart_sanity(wh.fct_orders, wh.fct_order_items, wh.dim_customers, wh.mrt_kpis_daily,
                                  wh.fct_freight, wh.mrt_reviews)
+
+
+# ---------------------------------------------------------------- sources / sinks
+@register("csv_source")
+def q_csv_source(wh: Warehouse):
+    """Raw orders written as CSV to shared storage and read back by name."""
+    path = f"{new_build_dir(wh, 'csv')}/olist_orders_dataset.csv"
+    sinks.write_csv(wh.raw["raw_orders"], path)
+    spark = wh.raw["raw_orders"].sparkSession
+    return csv_source.read_csv(spark, path, csv_source.RAW_SCHEMAS["raw_orders"])
+
+
+@register("ingest_summary")
+def q_ingest_summary(wh: Warehouse):
+    """All raw tables exported as the eight source CSV files, ingested back
+    through the file -> table mapping, registered, and counted."""
+    folder = new_build_dir(wh, "ingest")
+    for fname, table in csv_source.OLIST_FILES.items():
+        sinks.write_csv(wh.raw[table], f"{folder}/{fname}")
+    spark = wh.raw["raw_orders"].sparkSession
+    tables = csv_source.ingest_folder(spark, folder, csv_source.OLIST_FILES, csv_source.RAW_SCHEMAS)
+    csv_source.register_raw(tables)
+    return csv_source.ingest_summary(tables)
+
+
+@register("mart_build")
+def q_mart_build(wh: Warehouse):
+    """Full build of core tables and marts to Parquet; rows per persisted table."""
+    return build_summary(wh, materialize(wh))
+
+
+OUTLIER_SCHEMA = ("order_id string, order_item_id string, seller_id string, product_id string, "
+                  "distance_km double, freight_pct double, y_hat double, resid double, z_resid double")
+
+
+@register("csv_export")
+def q_csv_export(wh: Warehouse):
+    """Outlier list exported as CSV and read back."""
+    pts, model = _line_model(wh)
+    path = f"{new_build_dir(wh, 'export')}/freight_distance_outliers.csv"
+    sinks.write_csv(regression.outlier_lanes(regression.ols_score(pts, model)), path)
+    from pyspark.sql.types import StructType
+    return csv_source.read_csv(pts.sparkSession, path, StructType.fromDDL(OUTLIER_SCHEMA))
+
+
+@register("kpi_fingerprint")
+def q_kpi_fingerprint(wh: Warehouse):
+    """Order-insensitive fingerprint of the daily KPI mart."""
+    return sinks.fingerprint(wh.mrt_kpis_daily)

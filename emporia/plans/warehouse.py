@@ -26,20 +26,32 @@ class Warehouse:
         self.raw = dict(raw)
         self.currency = currency
         self._models: dict[str, DataFrame] = dict(tables or {})
+        self._persisted: set[str] = set(self._models)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Warehouse":
         return cls(testdata.load_raw(spark, sf_dir), **kw)
 
-    def replace(self, name: str, df: DataFrame) -> None:
-        """Use ``df`` (e.g. a materialised table) for model ``name`` from now on."""
+    def replace(self, name: str, df: DataFrame, persisted: bool = True) -> None:
+        """Use ``df`` (e.g. a materialised table) for model ``name`` from now on.
+
+        Lazy models built earlier are dropped, so they are rebuilt on top of
+        the persisted table the next time they are used.
+        """
+        if persisted:
+            self._persisted.add(name)
+        self._models = {k: v for k, v in self._models.items() if k in self._persisted}
         self._models[name] = df
 
+    def is_persisted(self, name: str) -> bool:
+        return name in self._persisted
+
     def has(self, name: str) -> bool:
-        return name in self._models
+        """True when ``name`` is a persisted table (not a lazy model)."""
+        return name in self._persisted
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
+        if name.startswith("_") or name == "raw":
             raise AttributeError(name)
         models = self.__dict__["_models"]
         if name not in models:
@@ -102,7 +114,8 @@ class Warehouse:
         return core.fct_orders(self.stg_orders, self.stg_order_items, self.stg_payments)
 
     # ---- marts ---------------------------------------------------------
-    def _lines(self):
+    def _build_lines(self):
+        """Order lines: the persisted fact when there is one, else staging."""
         return self.fct_order_items if self.has("fct_order_items") else self.stg_order_items
 
     def _customers(self):
@@ -113,7 +126,7 @@ class Warehouse:
 
     def _build_lane_coordinates(self):
         return marts.lane_coordinates(
-            self._lines(), self.orders_with_items, self._customers(), self.stg_sellers, self.geo_centroids
+            self.lines, self.orders_with_items, self._customers(), self.stg_sellers, self.geo_centroids
         )
 
     def _build_fct_freight(self):
