@@ -71,9 +71,12 @@ def materialize(wh: Warehouse, out_dir: str | None = None, tables: Sequence[str]
     for name in tables:
         df = with_comments(getattr(wh, name), DOCS.get(name, {}))
         path = f"{out_dir}/{name}"
-        writer = df.write.mode("overwrite")
         if name in parts:
-            writer = writer.partitionBy(parts[name])
+            # REBALANCE lets AQE size the write tasks per partition value:
+            # small months are coalesced (few files), a hot month is split.
+            writer = df.hint("rebalance", parts[name]).write.mode("overwrite").partitionBy(parts[name])
+        else:
+            writer = df.write.mode("overwrite")
         writer.parquet(path)
         persisted = spark.read.parquet(path)
         wh.replace(name, persisted.select(*df.columns))

@@ -100,7 +100,7 @@ class Warehouse:
         return core.fct_order_items(self.stg_order_items, self.stg_orders)
 
     def _build_order_item_totals(self):
-        return core.order_item_totals(self.stg_order_items)
+        return core.order_item_totals(self.lines)
 
     def _build_order_payment_totals(self):
         return core.order_payment_totals(self.stg_payments)
@@ -108,10 +108,10 @@ class Warehouse:
     def _build_orders_with_items(self):
         if self.has("fct_orders"):
             return self.fct_orders
-        return core.orders_with_items(self.stg_orders, self.stg_order_items)
+        return core.orders_with_items(self.stg_orders, self.lines)
 
     def _build_fct_orders(self):
-        return core.fct_orders(self.stg_orders, self.stg_order_items, self.stg_payments)
+        return core.fct_orders(self.stg_orders, self.lines, self.stg_payments)
 
     # ---- marts ---------------------------------------------------------
     def _build_lines(self):
