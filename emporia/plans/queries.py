@@ -317,8 +317,7 @@ def q_csv_export(wh: Warehouse):
     pts, model = _line_model(wh)
     path = f"{new_build_dir(wh, 'export')}/freight_distance_outliers.csv"
     sinks.write_csv(regression.outlier_lanes(regression.ols_score(pts, model)), path)
-    from pyspark.sql.types import StructType
-    return csv_source.read_csv(pts.sparkSession, path, StructType.fromDDL(OUTLIER_SCHEMA))
+    return csv_source.read_csv(pts.sparkSession, path, OUTLIER_SCHEMA)
 
 
 @register("kpi_fingerprint")

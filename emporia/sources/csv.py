@@ -39,31 +39,31 @@ SYNTH_FILES = {
 }
 
 TS = "timestamp_ntz"
-# Typed schemas of the real-mode raw tables (zip prefixes stay text).
+# Typed schemas (DDL) of the real-mode raw tables (zip prefixes stay text).
 RAW_SCHEMAS = {
-    "raw_orders": StructType.fromDDL(
+    "raw_orders": (
         f"order_id string, customer_id string, order_status string, order_purchase_timestamp {TS}, "
         f"order_approved_at {TS}, order_delivered_carrier_date {TS}, order_delivered_customer_date {TS}, "
         f"order_estimated_delivery_date {TS}"),
-    "raw_order_items": StructType.fromDDL(
+    "raw_order_items": (
         "order_id string, order_item_id int, product_id string, seller_id string, price double, "
         "freight_value double, qty int, discount_amount double"),
-    "raw_customers": StructType.fromDDL(
+    "raw_customers": (
         "customer_id string, customer_unique_id string, customer_zip_code_prefix string, "
         "customer_city string, customer_state string"),
-    "raw_payments": StructType.fromDDL(
+    "raw_payments": (
         "order_id string, payment_sequential int, payment_type string, payment_installments int, "
         "payment_value double"),
-    "raw_reviews": StructType.fromDDL(
+    "raw_reviews": (
         f"review_id string, order_id string, review_score int, review_creation_date {TS}, "
         f"review_answer_timestamp {TS}"),
-    "raw_products": StructType.fromDDL(
+    "raw_products": (
         "product_id string, product_category_name string, product_name_lenght int, "
         "product_description_lenght int, product_photos_qty int, product_weight_g int, product_length_cm int, "
         "product_height_cm int, product_width_cm int"),
-    "raw_sellers": StructType.fromDDL(
+    "raw_sellers": (
         "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string"),
-    "raw_geolocation": StructType.fromDDL(
+    "raw_geolocation": (
         "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double, "
         "geolocation_city string, geolocation_state string"),
 }
@@ -74,7 +74,9 @@ def normalize_name(name: str) -> str:
     return re.sub(r"[^0-9a-z]+", "_", name.strip().lower()).strip("_")
 
 
-def _read_one(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
+def _read_one(spark: SparkSession, path: str, schema: StructType | str | None) -> DataFrame:
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
               .option("mode", "FAILFAST"))
     try:
@@ -96,7 +98,7 @@ def _read_one(spark: SparkSession, path: str, schema: StructType | None) -> Data
     ])
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str | None = None) -> DataFrame:
     """Headered CSV (quoted newlines allowed) -> DataFrame with normalised names.
 
     Several paths are combined by column name; a column missing in one of
@@ -109,7 +111,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType
 
 
 def ingest_folder(spark: SparkSession, folder: str, mapping: Mapping[str, str],
-                  schemas: Mapping[str, StructType] | None = None) -> dict[str, DataFrame]:
+                  schemas: Mapping[str, StructType | str] | None = None) -> dict[str, DataFrame]:
     """Load every file of ``mapping`` from ``folder``; a missing file fails by name."""
     folder = folder.rstrip("/")
     schemas = schemas or {}
