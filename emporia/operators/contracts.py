@@ -112,7 +112,8 @@ def contracts(mode: str = "real") -> list[Check]:
     out += [fk(*f) for f in fks]
     out += [rows(name, t, p) for name, t, p in preds]
     if mode == "synth":
-        out.append(Check("signup_order", "raw_orders", SYNTH_SIGNUP, "join_rows", parent="raw_customers"))
+        out.append(Check("signup_order", "raw_orders", SYNTH_SIGNUP, "join_rows", predicate=SYNTH_SIGNUP,
+                         parent="raw_customers"))
     return out
 
 

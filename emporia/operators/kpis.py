@@ -66,3 +66,57 @@ def kpi_series_long(kpis: DataFrame) -> DataFrame:
     """Every KPI as a (kpi_date, metric, value) series (NULL values kept)."""
     wide = kpis.select("kpi_date", *[F.col(c).cast("double").alias(c) for c in KPI_COLUMNS])
     return wide.unpivot(["kpi_date"], list(KPI_COLUMNS), "metric", "value")
+
+
+# ---------------------------------------------------------------- synthetic mode
+VALID_EXCLUDED = ("canceled", "unavailable")
+LTV_DAYS = 90
+
+
+def mrt_kpis_daily_synth(orders: DataFrame, refunds: DataFrame, spend: DataFrame,
+                         ltv_days: int = LTV_DAYS) -> DataFrame:
+    """Daily KPIs of the synthetic mode (own definitions; the reference only names them).
+
+    Over valid orders (not canceled / unavailable), per order date:
+    ``orders``, ``gmv`` (sum of line_gross), ``net_revenue`` (sum of line_net
+    minus refunds dated that day), ``aov``; plus, for the day's month,
+    ``cac`` = marketing spend of the month / customers whose first valid order
+    falls in that month (NULL without new customers) and ``ltv_90d`` = net
+    item revenue within ``ltv_days`` of each first order, summed over that
+    month's cohort / cohort size.
+
+    ``orders`` needs the ``orders_with_items`` columns. All parts are
+    aggregates; the joins are between aggregates keyed by day or month, except
+    the one join of orders with their customer's first order (by customer).
+    """
+    valid = orders.filter(~F.col("status").isin(*VALID_EXCLUDED))
+    daily = valid.groupBy(F.col("order_date").alias("kpi_date")).agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum("gmv").alias("gmv"),
+        F.sum("net_item_revenue").alias("net_items"),
+    )
+    refunded = refunds.groupBy(F.to_date("refund_ts").alias("kpi_date")).agg(F.sum("amount").alias("refunds"))
+    first = valid.groupBy("customer_id").agg(F.min("order_ts").alias("first_ts"))
+    cohorts = first.groupBy(F.date_format("first_ts", "yyyy-MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("new_customers"))
+    spend_m = spend.groupBy(F.date_format("spend_date", "yyyy-MM").alias("month")).agg(
+        F.sum("amount").alias("spend"))
+    cac = spend_m.join(cohorts, "month", "left").select(
+        "month", F.when(F.col("new_customers") > 0, F.col("spend") / F.col("new_customers")).alias("cac"))
+    early = valid.select("customer_id", "order_ts", "net_item_revenue").join(first, "customer_id").filter(
+        F.col("order_ts") < F.col("first_ts") + F.make_dt_interval(F.lit(int(ltv_days))))
+    ltv = early.groupBy(F.date_format("first_ts", "yyyy-MM").alias("month")).agg(
+        F.sum("net_item_revenue").alias("cohort_net")).join(cohorts, "month").select(
+        "month", (F.col("cohort_net") / F.col("new_customers")).alias("ltv_90d"))
+    return (
+        daily.join(refunded, "kpi_date", "left")
+        .withColumn("month", F.date_format("kpi_date", "yyyy-MM"))
+        .join(cac, "month", "left")
+        .join(ltv, "month", "left")
+        .select(
+            "kpi_date", "orders", "gmv",
+            (F.col("net_items") - F.coalesce(F.col("refunds"), F.lit(0.0))).alias("net_revenue"),
+            (F.col("gmv") / F.col("orders")).alias("aov"),
+            "cac", "ltv_90d",
+        )
+    )

@@ -183,3 +183,20 @@ def geo_centroids(geo: DataFrame) -> DataFrame:
         .groupBy("zip_prefix")
         .agg(F.avg("lat").alias("lat"), F.avg("lng").alias("lng"))
     )
+
+
+def stg_refunds(raw: DataFrame) -> DataFrame:
+    return raw.select(
+        first_of(raw, ["refund_id"], "string").alias("refund_id"),
+        first_of(raw, ["order_id"], "string").alias("order_id"),
+        first_of(raw, ["amount", "refund_amount"], "double", 0.0).alias("amount"),
+        first_of(raw, ["refund_ts", "created_at"], TS).alias("refund_ts"),
+    )
+
+
+def stg_marketing_spend(raw: DataFrame) -> DataFrame:
+    return raw.select(
+        first_of(raw, ["spend_date", "date"], "date").alias("spend_date"),
+        first_of(raw, ["channel"], "string", "all").alias("channel"),
+        first_of(raw, ["amount", "spend"], "double", 0.0).alias("amount"),
+    )

@@ -46,10 +46,10 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def register(name: str):
+def register(name: str, mode: str = "real"):
     def deco(fn: Callable[[Warehouse], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return present(fn(Warehouse.from_testdata(spark, sf_dir)))
+            return present(fn(Warehouse.from_testdata(spark, sf_dir, mode=mode)))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -187,8 +187,11 @@ FROM (SELECT avg(CASE WHEN coalesce(installments, 1) <= 2 THEN gmv END) AS low,
 from emporia.operators import contracts as _c  # noqa: E402  (the declared check lists)
 
 
-def _check_sql(c) -> str:
+def _check_sql(c, names=None) -> str:
     head = f"SELECT '{c.check_name}' AS check_name, '{c.table_name}' AS table_name, '{c.detail}' AS detail, "
+    if names:
+        from dataclasses import replace
+        c = replace(c, table_name=names.get(c.table_name, c.table_name), parent=names.get(c.parent, c.parent))
     if c.kind == "nonempty":
         return head + f"CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) AS violations FROM {c.table_name}"
     if c.kind == "unique":
@@ -207,8 +210,8 @@ def _check_sql(c) -> str:
     raise ValueError(c.kind)
 
 
-def _report_sql(checks) -> str:
-    body = "\nUNION ALL\n".join(_check_sql(c) for c in checks)
+def _report_sql(checks, names=None) -> str:
+    body = "\nUNION ALL\n".join(_check_sql(c, names) for c in checks)
     return f"SELECT *, coalesce(violations = 0, false) AS passed FROM (\n{body}\n)"
 
 
@@ -278,3 +281,13 @@ query("mart_build", " UNION ALL ".join(
     ["dim_customers", "dim_products", "fct_order_items", "fct_orders", "fct_deliveries", "fct_freight",
      "mrt_kpis_daily", "mrt_reviews"]))
 query("csv_export", "SELECT * FROM outliers_line", ["distance_km", "freight_pct", "y_hat", "resid", "z_resid"])
+
+# ---------------------------------------------------------------- synthetic mode
+query("synth_kpis", "SELECT * FROM s_kpis", ["gmv", "net_revenue", "aov", "cac", "ltv_90d"])
+_SYNTH = {t: f"s_{t}" for t in _c.SYNTH_TABLES}
+for _key, _names in (
+    ("contract_values_synth", ("values",)),
+    ("contract_signup_order", ("signup_order",)),
+    ("contract_report_synth", ()),
+):
+    query(_key, _report_sql([c for c in _c.contracts("synth") if not _names or c.check_name in _names], _SYNTH))

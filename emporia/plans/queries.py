@@ -324,3 +324,22 @@ def q_csv_export(wh: Warehouse):
 def q_kpi_fingerprint(wh: Warehouse):
     """Order-insensitive fingerprint of the daily KPI mart."""
     return sinks.fingerprint(wh.mrt_kpis_daily)
+
+
+# ---------------------------------------------------------------- synthetic mode
+@register("synth_kpis", mode="synth")
+def q_synth_kpis(wh: Warehouse):
+    return wh.mrt_kpis_daily_synth
+
+
+def _synth_report(wh: Warehouse, *names: str):
+    checks = [c for c in contracts.contracts("synth") if not names or c.check_name in names]
+    return contracts.run_checks(wh.raw["raw_orders"].sparkSession, wh.raw, checks)
+
+
+for _key, _names in (
+    ("contract_values_synth", ("values",)),
+    ("contract_signup_order", ("signup_order",)),
+    ("contract_report_synth", ()),
+):
+    register(_key, mode="synth")(lambda wh, _n=_names: _synth_report(wh, *_n))

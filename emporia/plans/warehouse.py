@@ -29,7 +29,12 @@ class Warehouse:
         self._persisted: set[str] = set(self._models)
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Warehouse":
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, mode: str = "real", **kw) -> "Warehouse":
+        """Raw tables derived from the test tables in the real or synthetic source schema."""
+        if mode == "synth":
+            from emporia.sources import synthetic
+
+            return cls(synthetic.load_raw(spark, sf_dir), **kw)
         return cls(testdata.load_raw(spark, sf_dir), **kw)
 
     def replace(self, name: str, df: DataFrame, persisted: bool = True) -> None:
@@ -83,6 +88,12 @@ class Warehouse:
     def _build_stg_reviews(self):
         return staging.stg_reviews(self.raw["raw_reviews"])
 
+    def _build_stg_refunds(self):
+        return staging.stg_refunds(self.raw["raw_refunds"])
+
+    def _build_stg_marketing_spend(self):
+        return staging.stg_marketing_spend(self.raw["raw_marketing_spend"])
+
     def _build_stg_geolocation(self):
         return staging.stg_geolocation(self.raw["raw_geolocation"])
 
@@ -138,5 +149,10 @@ class Warehouse:
     def _build_mrt_reviews(self):
         return marts.mrt_reviews(self.stg_reviews, self.orders_with_items)
 
+    def _build_mrt_kpis_daily_synth(self):
+        from emporia.operators import kpis
+
+        return kpis.mrt_kpis_daily_synth(self.orders_with_items, self.stg_refunds, self.stg_marketing_spend)
+
     def _build_freight_pct_trend(self):
         return marts.freight_pct_trend(self.fct_freight)
