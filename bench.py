@@ -63,7 +63,7 @@ def main() -> None:
     timed("category_explorer", categories)
 
     def pay():
-        po = payments.payment_orders(wh.fct_orders, wh.stg_payments)
+        po = payments.payment_orders(wh.fct_orders, wh.payments_base)
         run(payments.payment_insights(po))
         run(payments.aov_by_method(po))
 

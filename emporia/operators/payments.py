@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions import as_of_date, safe_div, since
+from emporia.operators.staging import payment_rank_key
 
 DAYS = 180
 MIN_ORDERS = 25
@@ -13,11 +14,16 @@ MIN_ORDERS = 25
 
 def order_payment_profile(payments: DataFrame) -> DataFrame:
     """Per order: max installments, sorted distinct methods and the primary
-    method, i.e. the method of the largest payment (``payment_seq`` 1)."""
+    method, i.e. the method of the largest payment (``payment_seq`` 1).
+
+    ``payments`` is ``payments_base`` (typed, with ``src_seq``): the primary
+    method is a ``max_by`` aggregate, so it is combined map-side like the
+    other two and a hot order never gathers in one task.
+    """
     return payments.groupBy("order_id").agg(
         F.max("installments").alias("installments"),
         F.sort_array(F.collect_set("method")).alias("methods_list"),
-        F.min_by("method", "payment_seq").alias("primary_method"),
+        F.max_by("method", payment_rank_key()).alias("primary_method"),
     )
 
 

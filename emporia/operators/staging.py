@@ -128,17 +128,35 @@ def stg_products(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_payments(raw: DataFrame) -> DataFrame:
-    """``payment_seq`` numbers the payments of an order by value, largest first;
-    ties are broken by the source sequence so the numbering is reproducible."""
-    base = raw.select(
+def payments_base(raw: DataFrame) -> DataFrame:
+    """Typed payments before numbering; keeps the source sequence (``src_seq``)."""
+    return raw.select(
         first_of(raw, ["order_id"], "string").alias("order_id"),
-        first_of(raw, ["payment_sequential"], "int").alias("_src_seq"),
+        first_of(raw, ["payment_sequential"], "int").alias("src_seq"),
         F.lower(first_of(raw, ["payment_type", "method"], "string", "unknown")).alias("method"),
         first_of(raw, ["payment_installments", "installments"], "int", 1).alias("installments"),
         first_of(raw, ["payment_value", "amount"], "double", 0.0).alias("value"),
     )
-    w = Window.partitionBy("order_id").orderBy(F.desc("value"), F.asc_nulls_last("_src_seq"))
+
+
+def payment_rank_key():
+    """Orders an order's payments like ``payment_seq`` does, as one comparable
+    value: larger = earlier (larger value, then smaller source sequence, NULL
+    sequence last). ``max_by(x, payment_rank_key())`` is the first payment's x
+    as a plain aggregate, with no per-order window."""
+    return F.struct(F.col("value"), F.when(F.col("src_seq").isNotNull(), -F.col("src_seq")))
+
+
+def stg_payments(raw: DataFrame) -> DataFrame:
+    """``payment_seq`` numbers the payments of an order by value, largest first;
+    ties are broken by the source sequence so the numbering is reproducible.
+
+    The numbering is a window per order (one task per order). Consumers that
+    only need the first payment use ``payment_rank_key`` on ``payments_base``
+    instead, which aggregates map-side and is safe for hot orders.
+    """
+    base = payments_base(raw)
+    w = Window.partitionBy("order_id").orderBy(F.desc("value"), F.asc_nulls_last("src_seq"))
     return base.select(
         "order_id",
         F.row_number().over(w).cast("int").alias("payment_seq"),

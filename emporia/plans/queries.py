@@ -198,7 +198,7 @@ def q_discontinue_candidates(wh: Warehouse):
 
 # ---------------------------------------------------------------- payments
 def _pay_orders(wh: Warehouse):
-    return payments.payment_orders(wh.fct_orders, wh.stg_payments)
+    return payments.payment_orders(wh.fct_orders, wh.payments_base)
 
 
 @register("payment_orders")
@@ -208,7 +208,7 @@ def q_payment_orders(wh: Warehouse):
 
 @register("primary_method")
 def q_primary_method(wh: Warehouse):
-    return payments.primary_method(wh.stg_payments)
+    return payments.primary_method(wh.payments_base)
 
 
 @register("payment_kpis")

@@ -85,6 +85,9 @@ class Warehouse:
     def _build_stg_payments(self):
         return staging.stg_payments(self.raw["raw_payments"])
 
+    def _build_payments_base(self):
+        return staging.payments_base(self.raw["raw_payments"])
+
     def _build_stg_reviews(self):
         return staging.stg_reviews(self.raw["raw_reviews"])
 
@@ -114,7 +117,7 @@ class Warehouse:
         return core.order_item_totals(self.lines)
 
     def _build_order_payment_totals(self):
-        return core.order_payment_totals(self.stg_payments)
+        return core.order_payment_totals(self.payments_base)
 
     def _build_orders_with_items(self):
         if self.has("fct_orders"):
@@ -122,7 +125,7 @@ class Warehouse:
         return core.orders_with_items(self.stg_orders, self.lines)
 
     def _build_fct_orders(self):
-        return core.fct_orders(self.stg_orders, self.lines, self.stg_payments)
+        return core.fct_orders(self.stg_orders, self.lines, self.payments_base)
 
     # ---- marts ---------------------------------------------------------
     def _build_lines(self):

@@ -46,12 +46,13 @@ def raw_orders(orders: DataFrame) -> DataFrame:
 
 
 def raw_order_items(lineitem: DataFrame) -> DataFrame:
-    seq = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(
+    seq = F.row_number().over(Window.partitionBy("order_id").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"))
     unit = F.col("l_extendedprice") / F.col("l_quantity")
-    return lineitem.select(
+    keyed = lineitem.withColumn("order_id", F.col("l_orderkey").cast("string"))
+    return keyed.select(
         (F.col("l_orderkey") * 100 + seq).alias("order_item_id"),
-        F.col("l_orderkey").cast("string").alias("order_id"),
+        "order_id",
         seq.cast("int").alias("line_number"),
         F.col("l_partkey").cast("string").alias("sku"),
         F.col("l_suppkey").cast("string").alias("seller"),
