@@ -75,3 +75,13 @@ def as_of_date(as_of, frame: DataFrame, date_col: str) -> Column:
 def since(date_col: Column, days: int, as_of: Column) -> Column:
     """Inclusive lower bound ``date_col >= as_of - days``."""
     return date_col >= F.date_sub(as_of, int(days))
+
+
+def order_window(orders: DataFrame, days: int, as_of: Column) -> Column:
+    """``order_date`` inside the look-back window. When the frame carries the
+    month key ``order_ym`` (the partition column of the persisted orders), the
+    equivalent month bound is added so the scan prunes whole partitions."""
+    cond = since(F.col("order_date"), days, as_of)
+    if "order_ym" in orders.columns:
+        cond = cond & (F.col("order_ym") >= F.date_format(F.date_sub(as_of, int(days)), "yyyy-MM"))
+    return cond

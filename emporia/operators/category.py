@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporia.functions import as_of_date, safe_div, since
+from emporia.functions import as_of_date, order_window, safe_div
 
 # Page defaults. Fixed values.
 DAYS = 180
@@ -25,7 +25,7 @@ def category_rollup(lines: DataFrame, orders: DataFrame, products: DataFrame, da
     part of the same aggregate (Spark expands it; no second scan or join).
     """
     ref = as_of_date(as_of, orders, "order_date")
-    o = orders.filter(F.col("is_delivered") & since(F.col("order_date"), days, ref)).select("order_id")
+    o = orders.filter(F.col("is_delivered") & order_window(orders, days, ref)).select("order_id")
     w = (
         lines.select("order_id", "product_id", "qty", "line_gross", "line_net", "freight_value")
         .join(o, "order_id", "inner")

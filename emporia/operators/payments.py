@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions import as_of_date, safe_div, since
+from emporia.functions import as_of_date, order_window, safe_div
 from emporia.operators.staging import payment_rank_key
 
 DAYS = 180
@@ -39,7 +39,7 @@ def primary_method(payments: DataFrame) -> DataFrame:
 def payment_orders(orders: DataFrame, payments: DataFrame, days: int = DAYS, as_of=None) -> DataFrame:
     """Orders of the last ``days`` days with their payment profile (left join)."""
     ref = as_of_date(as_of, orders, "order_date")
-    o = orders.filter(since(F.col("order_date"), days, ref)).select(
+    o = orders.filter(order_window(orders, days, ref)).select(
         "order_id", "order_date", "status", "is_delivered", "is_canceled", "gmv", "payment_total"
     )
     return o.join(order_payment_profile(payments), "order_id", "left").select(
