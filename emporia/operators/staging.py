@@ -7,7 +7,7 @@ columns never fail the analysis.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions import first_of, zero_pad
@@ -151,19 +151,16 @@ def stg_payments(raw: DataFrame) -> DataFrame:
     """``payment_seq`` numbers the payments of an order by value, largest first;
     ties are broken by the source sequence so the numbering is reproducible.
 
-    The numbering is a window per order (one task per order). Consumers that
-    only need the first payment use ``payment_rank_key`` on ``payments_base``
-    instead, which aggregates map-side and is safe for hot orders.
+    Numbered with ``sequence_within`` (range-partitioned, so an order with a
+    huge number of payments is spread over many tasks). Consumers that only
+    need the first payment use ``payment_rank_key`` on ``payments_base``,
+    which is a plain map-side aggregate.
     """
-    base = payments_base(raw)
-    w = Window.partitionBy("order_id").orderBy(F.desc("value"), F.asc_nulls_last("src_seq"))
-    return base.select(
-        "order_id",
-        F.row_number().over(w).cast("int").alias("payment_seq"),
-        "method",
-        "installments",
-        "value",
-    )
+    from emporia.operators.sequence import sequence_within
+
+    numbered = sequence_within(payments_base(raw), "order_id",
+                               [F.desc("value"), F.asc_nulls_last("src_seq")], name="payment_seq")
+    return numbered.select("order_id", "payment_seq", "method", "installments", "value")
 
 
 def stg_reviews(raw: DataFrame) -> DataFrame:

@@ -100,3 +100,21 @@ def test_empty_inputs_keep_schema(spark):
     for name in ("fct_orders", "fct_deliveries", "fct_freight", "mrt_kpis_daily", "mrt_reviews"):
         df = getattr(wh, name)
         assert df.count() == 0 and len(df.columns) > 3
+
+
+def test_sequence_within_matches_row_number_with_hot_key(spark):
+    import random
+
+    from pyspark.sql import Window
+
+    from emporia.operators.sequence import sequence_within
+
+    rnd = random.Random(7)
+    rows = [("hot" if rnd.random() < 0.4 else (None if rnd.random() < 0.05 else f"k{rnd.randint(0, 50)}"),
+             rnd.randint(0, 9), i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "key string, v int, id int")
+    order = [F.desc("v"), F.asc("id")]
+    got = sequence_within(df, "key", order, num_partitions=5).select("id", "seq")
+    want = df.select("id", F.row_number().over(Window.partitionBy("key").orderBy(*order)).alias("want"))
+    assert got.join(want, "id").filter(F.col("seq") != F.col("want")).count() == 0
+    assert got.count() == 5000
