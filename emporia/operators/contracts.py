@@ -128,8 +128,6 @@ def _row(c: Check, violations) -> list:
 
 def _evaluate(c: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     df = tables[c.table_name]
-    if c.kind == "nonempty":
-        return df.agg(*_row(c, F.when(F.count(F.lit(1)) > 0, 0).otherwise(1)))
     if c.kind == "unique":
         dup = df.groupBy(*c.columns).count().filter(F.col("count") > 1)
         return dup.agg(*_row(c, F.count(F.lit(1))))
@@ -152,17 +150,21 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Ite
     parts: list[DataFrame] = []
     missing = [c for c in checks if c.table_name not in tables or (c.parent and c.parent not in tables)]
     present = [c for c in checks if c not in missing]
-    # Row predicates: one aggregate per table.
+    # Emptiness and row predicates: one aggregate (one scan) per table.
     by_table: dict[str, list[Check]] = {}
     for c in present:
-        if c.kind == "rows":
+        if c.kind in ("rows", "nonempty"):
             by_table.setdefault(c.table_name, []).append(c)
         else:
             parts.append(_evaluate(c, tables))
+
+    def violation(c: Check):
+        if c.kind == "nonempty":
+            return F.when(F.count(F.lit(1)) > 0, 0).otherwise(1)
+        return F.count(F.when(F.expr(c.predicate), 1))
+
     for table, cs in by_table.items():
-        counts = tables[table].agg(
-            *[F.count(F.when(F.expr(c.predicate), 1)).alias(f"c{i}") for i, c in enumerate(cs)]
-        )
+        counts = tables[table].agg(*[violation(c).alias(f"c{i}") for i, c in enumerate(cs)])
         structs = [F.struct(*_row(c, F.col(f"c{i}"))) for i, c in enumerate(cs)]
         parts.append(counts.select(F.inline(F.array(*structs))))
     if missing:
@@ -265,10 +267,31 @@ def _test_cols(t: ModelTest):
             F.lit(t.arg).alias("arg"), F.lit(t.severity).alias("severity")]
 
 
+def _row_condition(t: ModelTest):
+    """Failing-row predicate of a row-level test (not_null / expression);
+    a NULL expression result passes, as a filter would treat it."""
+    if t.test == "not_null":
+        return F.col(t.column).isNull()
+    return F.coalesce(~F.expr(t.arg), F.lit(False))
+
+
 def run_model_tests(models: Mapping[str, DataFrame], tests: Iterable[ModelTest] = MODEL_TESTS) -> DataFrame:
     """``(model, column_name, test, arg, severity, failures, status)`` per test;
-    status is pass / fail / warn."""
-    parts = [failing_rows(t, models).agg(*_test_cols(t), F.count(F.lit(1)).alias("failures")) for t in tests]
+    status is pass / fail / warn. Row-level tests of one model share one
+    aggregate (one scan); unique and relationship tests are grouped counts
+    and anti joins."""
+    tests = list(tests)
+    parts = []
+    by_model: dict[str, list[ModelTest]] = {}
+    for t in tests:
+        if t.test in ("not_null", "expression"):
+            by_model.setdefault(t.model, []).append(t)
+        else:
+            parts.append(failing_rows(t, models).agg(*_test_cols(t), F.count(F.lit(1)).alias("failures")))
+    for model, ts in by_model.items():
+        counts = models[model].agg(*[F.count(F.when(_row_condition(t), 1)).alias(f"f{i}") for i, t in enumerate(ts)])
+        structs = [F.struct(*_test_cols(t), F.col(f"f{i}").alias("failures")) for i, t in enumerate(ts)]
+        parts.append(counts.select(F.inline(F.array(*structs))))
     out = reduce(DataFrame.unionByName, parts)
     status = (F.when(F.col("failures") == 0, "pass")
               .when(F.col("severity") == "warn", "warn").otherwise("fail"))
