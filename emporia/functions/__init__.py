@@ -3,6 +3,7 @@ from emporia.functions.columns import (  # noqa: F401
     haversine_km,
     as_of_date,
     is_finite,
+    money_sum,
     order_window,
     safe_div,
     since,

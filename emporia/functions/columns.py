@@ -28,6 +28,18 @@ def first_of(df: DataFrame, names: Sequence[str], dtype: DataType | str, default
     return parts[0] if len(parts) == 1 else F.coalesce(*parts)
 
 
+# Money is summed as decimal(38, 6): each value rounded to 6 decimals, then
+# added exactly, so a total does not depend on the order of addition (how the
+# data is partitioned, or which engine adds it).
+MONEY = "decimal(38,6)"
+
+
+def money_sum(c) -> Column:
+    """Exact, order-independent sum of a money column (returned as double)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.sum(c.cast(MONEY)).cast("double")
+
+
 def safe_div(num: Column, den: Column) -> Column:
     """``num / den`` when ``den > 0``, else NULL (ANSI mode raises on zero)."""
     return F.when(den > 0, num / den)

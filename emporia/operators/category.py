@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporia.functions import as_of_date, order_window, safe_div
+from emporia.functions import as_of_date, money_sum, order_window, safe_div
 
 # Page defaults. Fixed values.
 DAYS = 180
@@ -35,10 +35,10 @@ def category_rollup(lines: DataFrame, orders: DataFrame, products: DataFrame, da
         F.countDistinct("order_id").alias("orders_delivered"),
         F.count(F.lit(1)).alias("lines"),
         F.sum("qty").cast("double").alias("units"),
-        F.sum("line_gross").alias("gmv"),
-        F.sum("line_net").alias("net_revenue"),
-        F.sum(F.col("line_net") - F.col("freight_value")).alias("proxy_margin"),
-        F.sum("freight_value").alias("freight_total"),
+        money_sum("line_gross").alias("gmv"),
+        money_sum("line_net").alias("net_revenue"),
+        money_sum(F.col("line_net") - F.col("freight_value")).alias("proxy_margin"),
+        money_sum("freight_value").alias("freight_total"),
         F.avg(safe_div(F.col("freight_value"), F.col("line_gross"))).alias("avg_freight_pct"),
     )
 
@@ -84,8 +84,8 @@ def category_totals(metrics: DataFrame) -> DataFrame:
     return metrics.agg(
         F.count(F.lit(1)).alias("categories"),
         F.sum("orders_delivered").alias("orders_delivered"),
-        F.sum("gmv").alias("gmv"),
-        F.sum("proxy_margin").alias("proxy_margin"),
+        money_sum("gmv").alias("gmv"),
+        money_sum("proxy_margin").alias("proxy_margin"),
     )
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporia.functions import money_sum
+
 ORDER_COLUMNS = [
     "order_id", "customer_id", "status", "order_ts", "approved_ts", "delivered_carrier_ts",
     "delivered_customer_ts", "estimated_delivery_ts", "order_date", "order_ym", "currency",
@@ -58,16 +60,16 @@ def order_item_totals(stg_order_items: DataFrame) -> DataFrame:
     return stg_order_items.groupBy("order_id").agg(
         F.sum("qty").alias("items_qty"),
         F.count(F.lit(1)).alias("lines_count"),
-        F.sum("line_gross").alias("gmv"),
-        F.sum("line_net").alias("net_item_revenue"),
-        F.sum("freight_value").alias("freight_total"),
+        money_sum("line_gross").alias("gmv"),
+        money_sum("line_net").alias("net_item_revenue"),
+        money_sum("freight_value").alias("freight_total"),
     )
 
 
 def order_payment_totals(stg_payments: DataFrame) -> DataFrame:
     """Per order: paid total, max installments, sorted distinct method list."""
     return stg_payments.groupBy("order_id").agg(
-        F.sum("value").alias("payment_total"),
+        money_sum("value").alias("payment_total"),
         F.max("installments").alias("max_installments"),
         F.sort_array(F.collect_set("method")).alias("payment_methods"),
     )

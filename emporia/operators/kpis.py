@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions import as_of_date, since
+from emporia.functions import as_of_date, money_sum, since
 
 KPI_COLUMNS = ("orders_delivered", "gmv", "aov", "freight_pct_gmv", "on_time_pct", "late_pct")
 
@@ -92,21 +92,21 @@ def mrt_kpis_daily_synth(orders: DataFrame, refunds: DataFrame, spend: DataFrame
     valid = orders.filter(~F.col("status").isin(*VALID_EXCLUDED))
     daily = valid.groupBy(F.col("order_date").alias("kpi_date")).agg(
         F.count(F.lit(1)).alias("orders"),
-        F.sum("gmv").alias("gmv"),
-        F.sum("net_item_revenue").alias("net_items"),
+        money_sum("gmv").alias("gmv"),
+        money_sum("net_item_revenue").alias("net_items"),
     )
-    refunded = refunds.groupBy(F.to_date("refund_ts").alias("kpi_date")).agg(F.sum("amount").alias("refunds"))
+    refunded = refunds.groupBy(F.to_date("refund_ts").alias("kpi_date")).agg(money_sum("amount").alias("refunds"))
     first = valid.groupBy("customer_id").agg(F.min("order_ts").alias("first_ts"))
     cohorts = first.groupBy(F.date_format("first_ts", "yyyy-MM").alias("month")).agg(
         F.count(F.lit(1)).alias("new_customers"))
     spend_m = spend.groupBy(F.date_format("spend_date", "yyyy-MM").alias("month")).agg(
-        F.sum("amount").alias("spend"))
+        money_sum("amount").alias("spend"))
     cac = spend_m.join(cohorts, "month", "left").select(
         "month", F.when(F.col("new_customers") > 0, F.col("spend") / F.col("new_customers")).alias("cac"))
     early = valid.select("customer_id", "order_ts", "net_item_revenue").join(first, "customer_id").filter(
         F.col("order_ts") < F.col("first_ts") + F.make_dt_interval(F.lit(int(ltv_days))))
     ltv = early.groupBy(F.date_format("first_ts", "yyyy-MM").alias("month")).agg(
-        F.sum("net_item_revenue").alias("cohort_net")).join(cohorts, "month").select(
+        money_sum("net_item_revenue").alias("cohort_net")).join(cohorts, "month").select(
         "month", (F.col("cohort_net") / F.col("new_customers")).alias("ltv_90d"))
     return (
         daily.join(refunded, "kpi_date", "left")

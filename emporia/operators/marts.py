@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions import haversine_km, safe_div
+from emporia.functions import haversine_km, money_sum, safe_div
 
 
 def delivery_columns(orders: DataFrame) -> list:
@@ -56,8 +56,8 @@ def mrt_kpis_daily(orders: DataFrame, exclude_missing_eta: bool = False) -> Data
 
     by_day = d.groupBy(F.col("order_date").alias("kpi_date")).agg(
         F.count(F.lit(1)).alias("orders_delivered"),
-        F.sum("gmv").cast("double").alias("gmv"),
-        F.sum("freight_total").cast("double").alias("freight_total"),
+        money_sum("gmv").alias("gmv"),
+        money_sum("freight_total").alias("freight_total"),
         ratio("is_on_time").alias("on_time_pct"),
         ratio("is_late").alias("late_pct"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions import as_of_date, order_window, safe_div
+from emporia.functions import as_of_date, money_sum, order_window, safe_div
 from emporia.operators.staging import payment_rank_key
 
 DAYS = 180
@@ -70,7 +70,7 @@ def installments_dist(po: DataFrame) -> DataFrame:
 def aov_by_method(po: DataFrame, min_orders: int = MIN_ORDERS) -> DataFrame:
     return (
         po.groupBy("primary_method")
-        .agg(F.count("order_id").alias("orders"), F.avg("gmv").alias("aov"))
+        .agg(F.count("order_id").alias("orders"), (money_sum("gmv") / F.count("gmv")).alias("aov"))
         .filter(F.col("orders") >= min_orders)
         .orderBy(F.desc("aov"), F.asc("primary_method"))
     )
@@ -93,15 +93,15 @@ def payment_insights(po: DataFrame) -> DataFrame:
     raw = F.coalesce(F.col("installments"), F.lit(1))
     per = po.groupBy(_installments().alias("inst")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(raw <= 2, F.col("gmv"))).alias("gmv_low"),
+        money_sum(F.when(raw <= 2, F.col("gmv"))).alias("gmv_low"),
         F.count(F.when(raw <= 2, F.col("gmv"))).alias("n_low"),
-        F.sum(F.when(raw >= 6, F.col("gmv"))).alias("gmv_high"),
+        money_sum(F.when(raw >= 6, F.col("gmv"))).alias("gmv_high"),
         F.count(F.when(raw >= 6, F.col("gmv"))).alias("n_high"),
         F.avg(F.col("is_canceled").cast("int")).alias("cancel_rate"),
     )
     out = per.agg(
-        safe_div(F.sum("gmv_low"), F.sum("n_low")).alias("aov_low_installments"),
-        safe_div(F.sum("gmv_high"), F.sum("n_high")).alias("aov_high_installments"),
+        safe_div(money_sum("gmv_low"), F.sum("n_low")).alias("aov_low_installments"),
+        safe_div(money_sum("gmv_high"), F.sum("n_high")).alias("aov_high_installments"),
         F.min_by("cancel_rate", "inst").alias("cancel_rate_first"),
         F.max_by("cancel_rate", "inst").alias("cancel_rate_last"),
     )

@@ -144,7 +144,7 @@ FROM cat_metrics ORDER BY gmv DESC, category LIMIT 20
 """, ["gmv", "avg_order_value", "proxy_margin", "margin_pct_of_gmv", "velocity_units_per_day", "avg_freight_pct"])
 query("category_totals", """
 SELECT count(*) AS categories, CAST(sum(orders_delivered) AS BIGINT) AS orders_delivered,
-  sum(gmv) AS gmv, sum(proxy_margin) AS proxy_margin
+  CAST(sum(CAST(gmv AS DECIMAL(38,6))) AS DOUBLE) AS gmv, CAST(sum(CAST(proxy_margin AS DECIMAL(38,6))) AS DOUBLE) AS proxy_margin
 FROM cat_metrics
 """, ["gmv", "proxy_margin"])
 query("discontinue_candidates", """
@@ -167,7 +167,7 @@ query("installments_dist", """
 SELECT greatest(coalesce(installments, 1), 1) AS installments, count(*) AS orders FROM pay_orders GROUP BY 1
 """)
 query("aov_by_method", """
-SELECT primary_method, count(order_id) AS orders, avg(gmv) AS aov FROM pay_orders
+SELECT primary_method, count(order_id) AS orders, CAST(sum(CAST(gmv AS DECIMAL(38,6))) AS DOUBLE) / count(gmv) AS aov FROM pay_orders
 GROUP BY primary_method HAVING count(order_id) >= 25
 """, ["aov"])
 query("cancel_by_installments", "SELECT * FROM cancel_inst", ["cancel_rate", "cancel_rate_pct"])
@@ -176,8 +176,10 @@ SELECT low AS aov_low_installments, high AS aov_high_installments, high - low AS
   c_first AS cancel_rate_first, c_last AS cancel_rate_last,
   CASE WHEN c_last > c_first THEN 'higher' WHEN c_last IS NOT NULL AND c_first IS NOT NULL THEN 'lower' END
     AS cancel_trend
-FROM (SELECT avg(CASE WHEN coalesce(installments, 1) <= 2 THEN gmv END) AS low,
-             avg(CASE WHEN coalesce(installments, 1) >= 6 THEN gmv END) AS high,
+FROM (SELECT CAST(sum(CAST(CASE WHEN coalesce(installments, 1) <= 2 THEN gmv END AS DECIMAL(38,6))) AS DOUBLE)
+               / count(CASE WHEN coalesce(installments, 1) <= 2 THEN gmv END) AS low,
+             CAST(sum(CAST(CASE WHEN coalesce(installments, 1) >= 6 THEN gmv END AS DECIMAL(38,6))) AS DOUBLE)
+               / count(CASE WHEN coalesce(installments, 1) >= 6 THEN gmv END) AS high,
              (SELECT cancel_rate FROM cancel_inst ORDER BY installments LIMIT 1) AS c_first,
              (SELECT cancel_rate FROM cancel_inst ORDER BY installments DESC LIMIT 1) AS c_last
       FROM pay_orders)
