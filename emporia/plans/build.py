@@ -101,3 +101,14 @@ def persist_model(wh: Warehouse, name: str) -> DataFrame:
         shared_dir(df.sparkSession)
         wh.replace(name, df.checkpoint(eager=True), persisted=True)
     return getattr(wh, name)
+
+
+def store_test_failures(wh: Warehouse, out_dir: str) -> str:
+    """Run the model tests and keep every failing row key in a quarantine
+    table ``<out_dir>/test_failures`` (partitioned by model)."""
+    from emporia.operators import contracts
+
+    models = {name: getattr(wh, name) for name in contracts.MODEL_KEYS}
+    path = f"{out_dir.rstrip('/')}/test_failures"
+    contracts.store_failures(models).write.mode("overwrite").partitionBy("model").parquet(path)
+    return path
