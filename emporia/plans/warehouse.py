@@ -16,7 +16,7 @@ from emporia.operators import core, marts, staging
 from emporia.sources import testdata
 
 # Build order of the persisted tables (each only depends on earlier ones).
-CORE_TABLES = ("dim_customers", "dim_products", "fct_order_items", "fct_orders")
+CORE_TABLES = ("dim_products", "fct_order_items", "fct_orders", "dim_customers")
 MART_TABLES = ("fct_deliveries", "fct_freight", "mrt_kpis_daily", "mrt_reviews")
 
 
@@ -105,7 +105,9 @@ class Warehouse:
 
     # ---- core ----------------------------------------------------------
     def _build_dim_customers(self):
-        return core.dim_customers(self.stg_customers, self.stg_orders)
+        # persisted fct_orders carries every stg_orders column the dimension reads
+        orders = self.fct_orders if self.has("fct_orders") else self.stg_orders
+        return core.dim_customers(self.stg_customers, orders)
 
     def _build_dim_products(self):
         return core.dim_products(self.stg_products)
