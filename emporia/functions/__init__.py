@@ -4,6 +4,7 @@ from emporia.functions.columns import (  # noqa: F401
     as_of_date,
     is_finite,
     money_sum,
+    month_bound,
     order_window,
     safe_div,
     since,

@@ -93,7 +93,13 @@ def order_window(orders: DataFrame, days: int, as_of: Column) -> Column:
     """``order_date`` inside the look-back window. When the frame carries the
     month key ``order_ym`` (the partition column of the persisted orders), the
     equivalent month bound is added so the scan prunes whole partitions."""
-    cond = since(F.col("order_date"), days, as_of)
-    if "order_ym" in orders.columns:
-        cond = cond & (F.col("order_ym") >= F.date_format(F.date_sub(as_of, int(days)), "yyyy-MM"))
-    return cond
+    return since(F.col("order_date"), days, as_of) & month_bound(orders, days, as_of)
+
+
+def month_bound(frame: DataFrame, days: int, as_of: Column) -> Column:
+    """``order_ym`` of ``frame`` not before the window's first month (TRUE
+    when the frame has no month column). Redundant with the date bound; it
+    exists so that scans of month-partitioned tables prune partitions."""
+    if "order_ym" not in frame.columns:
+        return F.lit(True)
+    return F.col("order_ym") >= F.date_format(F.date_sub(as_of, int(days)), "yyyy-MM")

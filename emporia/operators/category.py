@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporia.functions import as_of_date, money_sum, order_window, safe_div
+from emporia.functions import as_of_date, money_sum, month_bound, order_window, safe_div
 from emporia.functions.columns import MONEY
 
 # Page defaults. Fixed values.
@@ -33,7 +33,8 @@ def category_rollup(lines: DataFrame, orders: DataFrame, products: DataFrame, da
     ref = as_of_date(as_of, orders, "order_date")
     o = orders.filter(F.col("is_delivered") & order_window(orders, days, ref)).select("order_id")
     w = (
-        lines.select("order_id", "product_id", "qty", "line_gross", "line_net", "freight_value")
+        lines.filter(month_bound(lines, days, ref))
+        .select("order_id", "product_id", "qty", "line_gross", "line_net", "freight_value")
         .join(o, "order_id", "inner")
         .join(products.select("product_id", "category"), "product_id", "left")
     )

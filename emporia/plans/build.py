@@ -53,7 +53,10 @@ DOCS: dict[str, dict[str, str]] = {
 }
 
 # Partition columns for large persisted tables (date pruning on a cluster).
-PARTITIONS: dict[str, str] = {"fct_orders": "order_ym"}
+# Lines carry their order's month (from order_ts) so that look-back windows
+# prune the largest table too, not only the orders.
+PARTITIONS: dict[str, str] = {"fct_orders": "order_ym", "fct_order_items": "order_ym"}
+DERIVED = {("fct_order_items", "order_ym"): lambda: F.date_format("order_ts", "yyyy-MM")}
 
 
 def new_build_dir(wh: Warehouse, purpose: str = "build") -> str:
@@ -71,15 +74,20 @@ def materialize(wh: Warehouse, out_dir: str | None = None, tables: Sequence[str]
     for name in tables:
         df = with_comments(getattr(wh, name), DOCS.get(name, {}))
         path = f"{out_dir}/{name}"
+        keep = list(df.columns)
         if name in parts:
+            col = parts[name]
+            if col not in df.columns:
+                df = df.withColumn(col, DERIVED[(name, col)]())
+                keep.append(col)  # stays visible so consumers can prune on it
             # REBALANCE lets AQE size the write tasks per partition value:
             # small months are coalesced (few files), a hot month is split.
-            writer = df.hint("rebalance", parts[name]).write.mode("overwrite").partitionBy(parts[name])
+            writer = df.hint("rebalance", col).write.mode("overwrite").partitionBy(col)
         else:
             writer = df.write.mode("overwrite")
         writer.parquet(path)
         persisted = spark.read.parquet(path)
-        wh.replace(name, persisted.select(*df.columns))
+        wh.replace(name, persisted.select(*keep))
         paths[name] = path
     return paths
 

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The analytics this package rebuilds are full-refresh batch models: there is
+no event-time input, watermark, window over event time or per-key state
+anywhere in them ("late" means a late *delivery*, a column of the delivery
+mart, not a late event). No streaming operator is invented here; the batch
+functions in ``emporia.operators`` can be applied inside
+``foreachBatch`` if a stream of raw files ever has to feed them.
+"""
