@@ -118,3 +118,31 @@ def test_sequence_within_matches_row_number_with_hot_key(spark):
     want = df.select("id", F.row_number().over(Window.partitionBy("key").orderBy(*order)).alias("want"))
     assert got.join(want, "id").filter(F.col("seq") != F.col("want")).count() == 0
     assert got.count() == 5000
+
+
+def test_kpi_missing_eta_default_and_option(spark):
+    from emporia.operators import marts
+
+    orders = spark.createDataFrame(
+        [("a", D2, True, 10.0, 1.0, ts("2024-01-03 00:00:00"), ts("2024-01-05 00:00:00")),
+         ("b", D2, True, 30.0, 3.0, ts("2024-01-09 00:00:00"), ts("2024-01-05 00:00:00")),
+         ("c", D2, True, 20.0, 2.0, ts("2024-01-04 00:00:00"), None)],
+        f"order_id string, order_date date, is_delivered boolean, gmv double, freight_total double, "
+        f"delivered_customer_ts {TS}, estimated_delivery_ts {TS}")
+    k = marts.mrt_kpis_daily(orders).collect()[0]
+    assert (k.orders_delivered, k.gmv, k.aov, k.freight_pct_gmv) == (3, 60.0, 20.0, 0.1)
+    assert (k.on_time_pct, k.late_pct) == (pytest.approx(1 / 3), pytest.approx(1 / 3))  # no ETA stays in
+    x = marts.mrt_kpis_daily(orders, exclude_missing_eta=True).collect()[0]
+    assert (x.on_time_pct, x.late_pct) == (0.5, 0.5)
+
+
+def test_freight_trend_weights_orders_by_lines(spark):
+    from emporia.operators import marts
+
+    fr = spark.createDataFrame([("o1", D2, 0.2), ("o1", D2, 0.2), ("o2", D2, 0.5), ("o3", None, 0.9)],
+                               "order_id string, order_date date, order_freight_pct double")
+    r = marts.freight_pct_trend(fr).collect()
+    assert len(r) == 1 and r[0].freight_pct == pytest.approx(0.3)  # (0.2 + 0.2 + 0.5) / 3, not 0.35
+
+
+D2 = dt.date(2024, 1, 2)
