@@ -21,3 +21,16 @@ def test_build_writes_marts(spark, capsys):
     text = capsys.readouterr().out
     assert "mrt_kpis_daily" in text and "failing rows kept in" in text
     assert code == 2  # zero-price lines with a discount fail the line_net expression test
+
+
+def test_csv_folder_ingest_and_quality(spark, capsys):
+    from emporia.sources import csv, sinks, testdata
+
+    raw = testdata.load_raw(spark, SF_SMALL)
+    folder = new_build_dir(Warehouse(raw), "cli-csv")
+    for fname, table in csv.OLIST_FILES.items():
+        sinks.write_csv(raw[table], f"{folder}/{fname}")
+    assert main(["ingest", "--data-dir", folder], spark) == 0
+    out = capsys.readouterr().out
+    assert "raw_order_items" in out and "TOTAL" in out
+    assert main(["quality", "--data-dir", folder], spark) == 2  # planted NULL statuses
