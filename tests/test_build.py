@@ -35,3 +35,15 @@ def test_materialize_serves_persisted_tables(spark):
 
     q = spark.read.parquet(store_test_failures(wh, out))
     assert q.filter((F.col("model") == "fct_order_items") & (F.col("test") == "expression")).count() > 0
+
+
+def test_persisted_and_lazy_marts_are_identical(spark):
+    from emporia.sources.sinks import fingerprint
+
+    lazy = Warehouse.from_testdata(spark, SF_SMALL)
+    built = Warehouse.from_testdata(spark, SF_SMALL)
+    materialize(built, new_build_dir(built, "same"))
+    for name in ("fct_deliveries", "fct_freight", "mrt_kpis_daily", "mrt_reviews", "dim_customers"):
+        a = fingerprint(getattr(lazy, name)).collect()[0]
+        b = fingerprint(getattr(built, name)).collect()[0]
+        assert (a.rows, a.fingerprint) == (b.rows, b.fingerprint), name
