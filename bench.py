@@ -63,7 +63,7 @@ def main() -> None:
     timed("category_explorer", categories)
 
     def pay():
-        po = payments.payment_orders(wh.fct_orders, wh.payments_base)
+        po = payments.payment_orders(wh.fct_orders, profile=wh.order_payments)
         run(payments.payment_insights(po))
         run(payments.aov_by_method(po))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions import as_of_date, money_sum, order_window, safe_div
+from emporia.functions import as_of_date, money_sum, month_bound, order_window, safe_div
 from emporia.operators.staging import payment_rank_key
 
 DAYS = 180
@@ -36,13 +36,31 @@ def primary_method(payments: DataFrame) -> DataFrame:
     )
 
 
-def payment_orders(orders: DataFrame, payments: DataFrame, days: int = DAYS, as_of=None) -> DataFrame:
-    """Orders of the last ``days`` days with their payment profile (left join)."""
+def order_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
+    """Payment profile per order with the order's month (``order_ym``), the
+    persisted form of ``order_payment_profile``: partitioned by month, a
+    look-back window reads only its months of it."""
+    return order_payment_profile(payments).join(orders.select("order_id", "order_ym"), "order_id", "left")
+
+
+def payment_orders(orders: DataFrame, payments: DataFrame | None = None, days: int = DAYS, as_of=None,
+                   profile: DataFrame | None = None) -> DataFrame:
+    """Orders of the last ``days`` days with their payment profile (left join).
+
+    The profile is aggregated from ``payments`` (``payments_base``), or taken
+    from a persisted ``order_payments`` table (``profile``), which is then
+    pruned to the window's months like the orders.
+    """
     ref = as_of_date(as_of, orders, "order_date")
     o = orders.filter(order_window(orders, days, ref)).select(
         "order_id", "order_date", "status", "is_delivered", "is_canceled", "gmv", "payment_total"
     )
-    return o.join(order_payment_profile(payments), "order_id", "left").select(
+    if profile is None:
+        profile = order_payment_profile(payments)
+    else:
+        profile = profile.filter(month_bound(profile, days, ref)).select(
+            "order_id", "installments", "methods_list", "primary_method")
+    return o.join(profile, "order_id", "left").select(
         "order_id", "order_date", "status", "is_delivered", "is_canceled", "gmv", "payment_total",
         "installments", "methods_list",
         F.coalesce(F.lower("primary_method"), F.lit("unknown")).alias("primary_method"),

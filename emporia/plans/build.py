@@ -55,7 +55,7 @@ DOCS: dict[str, dict[str, str]] = {
 # Partition columns for large persisted tables (date pruning on a cluster).
 # Lines carry their order's month (from order_ts) so that look-back windows
 # prune the largest table too, not only the orders.
-PARTITIONS: dict[str, str] = {"fct_orders": "order_ym", "fct_order_items": "order_ym"}
+PARTITIONS: dict[str, str] = {"fct_orders": "order_ym", "fct_order_items": "order_ym", "order_payments": "order_ym"}
 DERIVED = {("fct_order_items", "order_ym"): lambda: F.date_format("order_ts", "yyyy-MM")}
 
 

@@ -281,7 +281,7 @@ query("ingest_summary", "SELECT table_name, rows FROM (" + " UNION ALL ".join(
 query("mart_build", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in
     ["dim_customers", "dim_products", "fct_order_items", "fct_orders", "fct_deliveries", "fct_freight",
-     "mrt_kpis_daily", "mrt_reviews"]))
+     "mrt_kpis_daily", "mrt_reviews"]) + " UNION ALL SELECT 'order_payments', count(*) FROM pay_profile")
 query("csv_export", "SELECT * FROM outliers_line", ["distance_km", "freight_pct", "y_hat", "resid", "z_resid"])
 
 # ---------------------------------------------------------------- synthetic mode

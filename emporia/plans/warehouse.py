@@ -17,7 +17,7 @@ from emporia.sources import testdata
 
 # Build order of the persisted tables (each only depends on earlier ones).
 CORE_TABLES = ("dim_products", "fct_order_items", "fct_orders", "dim_customers")
-MART_TABLES = ("fct_deliveries", "fct_freight", "mrt_kpis_daily", "mrt_reviews")
+MART_TABLES = ("fct_deliveries", "fct_freight", "mrt_kpis_daily", "mrt_reviews", "order_payments")
 
 
 class Warehouse:
@@ -154,6 +154,11 @@ class Warehouse:
     def _build_mrt_reviews(self):
         return marts.mrt_reviews(self.stg_reviews, self.orders_with_items)
 
+    def _build_order_payments(self):
+        from emporia.operators import payments
+
+        return payments.order_payments(self.payments_base, self.orders_with_items)
+
     def _build_mrt_kpis_daily_synth(self):
         from emporia.operators import kpis
 

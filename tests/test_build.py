@@ -16,7 +16,7 @@ def test_materialize_serves_persisted_tables(spark):
     out = new_build_dir(wh, "test")
     paths = materialize(wh, out)
     assert set(paths) == {"dim_customers", "dim_products", "fct_order_items", "fct_orders", "fct_deliveries",
-                          "fct_freight", "mrt_kpis_daily", "mrt_reviews"}
+                          "fct_freight", "mrt_kpis_daily", "mrt_reviews", "order_payments"}
     assert wh.has("fct_orders") and wh.fct_orders.inputFiles()
     assert wh.mrt_kpis_daily.agg(F.sum("orders_delivered")).collect()[0][0] == expected
     comments = {f.name: f.metadata.get("comment") for f in spark.read.parquet(paths["fct_freight"]).schema.fields}
@@ -47,3 +47,20 @@ def test_persisted_and_lazy_marts_are_identical(spark):
         a = fingerprint(getattr(lazy, name)).collect()[0]
         b = fingerprint(getattr(built, name)).collect()[0]
         assert (a.rows, a.fingerprint) == (b.rows, b.fingerprint), name
+
+
+def test_payment_orders_from_persisted_profile(spark):
+    from emporia.operators import payments
+    from emporia.sources.sinks import fingerprint
+
+    lazy = Warehouse.from_testdata(spark, SF_SMALL)
+    built = Warehouse.from_testdata(spark, SF_SMALL)
+    materialize(built, new_build_dir(built, "pay"))
+    a = fingerprint(payments.payment_orders(lazy.fct_orders, lazy.payments_base)).collect()[0]
+    po = payments.payment_orders(built.fct_orders, profile=built.order_payments)
+    b = fingerprint(po).collect()[0]
+    assert (a.rows, a.fingerprint) == (b.rows, b.fingerprint)
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        po.explain("formatted")
+    assert buf.getvalue().count("PartitionFilters: [isnotnull(order_ym") == 2  # orders and payments
