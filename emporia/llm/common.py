@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from emporia.session import configure, shared_dir
 
@@ -64,3 +66,27 @@ def slices(texts: list[bytes], most: int):
         held += len(x) + 1
     if first < len(texts):
         yield first, len(texts)
+
+
+def map_batches(
+    df: DataFrame,
+    fn: Callable[..., list[pa.Array]],
+    new: dict[str, str],
+    keep: list[str],
+    setup: Callable[[], object] | None = None,
+) -> DataFrame:
+    """``keep`` columns of ``df`` and the ``new`` ones (name -> type) that ``fn`` makes of each Arrow batch.
+
+    ``setup`` is called once per task; ``fn`` then gets what it returns as its second argument.
+    """
+    fields = {f.name: f for f in df.schema.fields}
+    made = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in new.items()))
+    schema = StructType([*[fields[c] for c in keep], *made.fields])
+    names = [*keep, *new]
+
+    def each(batches):
+        more = () if setup is None else (setup(),)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *fn(batch, *more)], names=names)
+
+    return df.mapInArrow(each, schema)

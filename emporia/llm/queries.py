@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import mixing, sharding
-from emporia.llm.common import materialise, prepare, table
+from emporia.llm import decontamination, mixing, quality, sharding, simhash
+from emporia.llm.common import crc_bucket, materialise, prepare, table
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    hit = decontamination.n_hit()
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +33,19 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy("position", "doc_id")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    held_out = crc_bucket("doc_id", 3) == 1
+    model = quality.fit(docs, labels, learn=~held_out)
+    return quality.score(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.shard(sharding.sized(table(spark, sf_dir, "documents")))
     return sharded.select(
@@ -35,7 +62,7 @@ def _prepared(fn):
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: _prepared(f) for f in (op4_mixing, op10_sharding)}
+    return {f.__name__: _prepared(f) for f in (op2_decontamination, op4_mixing, op5_simhash, op7_quality, op10_sharding)}
 
 
 def all_sql() -> dict[str, str]:
