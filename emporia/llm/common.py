@@ -12,8 +12,9 @@ from pyspark.sql.types import StructType
 
 from emporia.session import configure, shared_dir
 
-# Rows of one Arrow batch: whole texts travel in batches, so a batch is kept short.
+# Rows and bytes of one Arrow batch: whole texts travel in batches, so a batch is kept short.
 ARROW_ROWS = 256
+ARROW_BYTES = 16 << 20
 # A run of non-space characters; the white space is U+0020 and U+0009 to U+000D.
 SPACE_WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -22,9 +23,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of the corpus operators: short Arrow batches bound a worker's memory."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path for a new folder in the storage that driver and executors share."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -32,7 +39,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     passes read the same rows in the same files.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

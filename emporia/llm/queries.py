@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import decontamination, mixing, quality, sharding, simhash
-from emporia.llm.common import crc_bucket, materialise, prepare, table
+from emporia.llm import decontamination, mixing, quality, sharding, simhash, substring, tokenids
+from emporia.llm.common import crc_bucket, materialise, new_folder, prepare, table
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "token-files")
+    tokenids.write(table(spark, sf_dir, "documents"), path)
+    return tokenids.summary(spark, path)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialise(mixing.slim(table(spark, sf_dir, "documents")), "mix-rows")
     mixed = mixing.mix(rows)
@@ -46,6 +52,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicate(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.shard(sharding.sized(table(spark, sf_dir, "documents")))
     return sharded.select(
@@ -62,7 +72,15 @@ def _prepared(fn):
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: _prepared(f) for f in (op2_decontamination, op4_mixing, op5_simhash, op7_quality, op10_sharding)}
+    return {f.__name__: _prepared(f) for f in (
+        op2_decontamination,
+        op3_token_ids,
+        op4_mixing,
+        op5_simhash,
+        op7_quality,
+        op8_substring,
+        op10_sharding,
+    )}
 
 
 def all_sql() -> dict[str, str]:
