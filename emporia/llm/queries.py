@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import decontamination, mixing, quality, sharding, simhash, substring, tokenids
+from emporia.llm import decontamination, html_extract, mixing, quality, sharding, simhash, substring, tokenids, toxicity
 from emporia.llm.common import crc_bucket, materialise, new_folder, prepare, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    held_out = crc_bucket("doc_id", 5) == 0
+    model = toxicity.fit(docs, labels, learn=~held_out)
+    return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -44,6 +52,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), keep=["page_id", "url"])
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
@@ -73,10 +85,12 @@ def _prepared(fn):
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _prepared(f) for f in (
+        op1_toxicity,
         op2_decontamination,
         op3_token_ids,
         op4_mixing,
         op5_simhash,
+        op6_html,
         op7_quality,
         op8_substring,
         op10_sharding,
