@@ -75,6 +75,14 @@ def slices(texts: list[bytes], most: int):
         yield first, len(texts)
 
 
+def set_aside(df: DataFrame, names) -> tuple[DataFrame, list[Column]]:
+    """``df`` with its columns called like ``names`` renamed, and the columns that give its own names back."""
+    taken = {x.lower() for x in names}
+    aside = {c: f"_aside_{i}" for i, c in enumerate(df.columns) if c.lower() in taken}
+    back = [F.col(f"`{aside.get(c, c)}`").alias(c) for c in df.columns]
+    return df.withColumnsRenamed(aside), back
+
+
 def map_batches(
     df: DataFrame,
     fn: Callable[..., list[pa.Array]],

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import map_batches, materialise, slices, utf8
+from emporia.llm.common import map_batches, materialise, set_aside, slices, utf8
 from emporia.llm.wordhash import ALPHANUMERIC, words
 
 WINDOW = 10
@@ -182,8 +182,9 @@ def n_hit(spans: str = "spans"):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", n: int = WINDOW) -> DataFrame:
     """``docs`` without contaminated documents, or (``remove="spans"``) with the hit spans cut out of their texts."""
+    names = docs.columns
+    docs, back = set_aside(docs, ["n_words", "spans", "items", "clean_text"])
     if remove == "documents":
-        found = scan(docs, benchmark, n)
-        return found.filter(F.size("spans") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
-    found = scan(docs, benchmark, n, clean=True).withColumn("text", F.col("clean_text"))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+        return scan(docs, benchmark, n).filter(F.size("spans") == 0).select(*back)
+    found = scan(docs, benchmark, n, clean=True)
+    return found.select(*[F.col("clean_text").alias(c) if c == "text" else old for c, old in zip(names, back)])

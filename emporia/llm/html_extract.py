@@ -209,7 +209,7 @@ def labels(page: Page) -> list[int]:
     return out
 
 
-def train(pages: list[str], rounds: int = 40, rate: float = 0.6, ridge: float = 0.02) -> Model:
+def train(pages: list[str], rounds: int = 120, rate: float = 0.6, ridge: float = 0.004) -> Model:
     """Gradient ascent (with Adagrad steps) on the mean log likelihood of labelled pages."""
     parsed = [(p, labels(p)) for p in map(parse, pages)]
     model, squares = Model({}, [[0.0, 0.0], [0.0, 0.0]]), {}

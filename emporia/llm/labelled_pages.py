@@ -104,7 +104,7 @@ def _article(rng: random.Random) -> str:
     return f'<div id="{name}"><div class="{rng.choice(BODY)}" data-content="1">{inner}</div></div>'
 
 
-def labelled_pages(n: int = 240, seed: int = 6) -> list[str]:
+def labelled_pages(n: int = 320, seed: int = 6) -> list[str]:
     rng, out = random.Random(seed), []
     kinds = [k for k in NAMES if k not in ("footer", "comments", "share")]
     for _ in range(n):

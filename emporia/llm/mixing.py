@@ -30,9 +30,13 @@ SCHEDULES = (FALLING, RISING, LATE_PEAK)
 WEIGHTS = (3.0, 1.0, 2.0)
 
 
-def slim(docs: DataFrame) -> DataFrame:
-    """What :func:`mix` needs of documents: doc_id, source, size in words, and a hash that orders a source."""
-    return docs.select("doc_id", "source", n_space_words("text").alias("size"), F.xxhash64("doc_id", "text").alias("order"))
+def slim(docs: DataFrame, row: bool = False) -> DataFrame:
+    """What :func:`mix` needs of documents: doc_id, source, size in words, and a hash that orders a source.
+
+    With ``row`` also the whole row as the struct ``row``.
+    """
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if row else []
+    return docs.select("doc_id", "source", n_space_words("text").alias("size"), F.xxhash64("doc_id", "text").alias("order"), *whole)
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -93,8 +97,8 @@ def mix(
 ) -> DataFrame:
     """Which words of each row the mix takes, and when.
 
-    ``rows`` has doc_id, source, size, order (see :func:`slim`) and any other
-    columns, which are kept. Adds ``source_size``, ``target``, ``taken`` (words
+    ``rows`` has doc_id, source, size and order (see :func:`slim`, which puts
+    all other columns of a table into one). Adds ``source_size``, ``target``, ``taken`` (words
     of all copies), ``copies`` (array of words taken by each pass) and
     ``positions`` (training progress in [0, 1) of each pass, null where it
     takes nothing). A row takes at most ``most`` times its size; rows of size 0
@@ -106,8 +110,6 @@ def mix(
     table. Ties in ``order`` are cut by doc_id, and rows equal in both are
     interchangeable.
     """
-    work = ["source_size", "target", "taken", "copies", "positions"]
-    rows = rows.drop(*work)
     keep = rows.columns
     buckets = max(1, math.isqrt(rows.count()))
     rows = rows.withColumn("_bucket", F.pmod("order", F.lit(buckets)))
@@ -141,16 +143,13 @@ def mix(
     )
 
 
-def placed(mixed: DataFrame, whole: bool = True) -> DataFrame:
-    """One row per copy of a document in the mix, range-sorted by training position.
+def mixture(docs: DataFrame, **how) -> DataFrame:
+    """The mix as documents: one row of ``docs`` per copy, range-sorted by training position.
 
-    ``words`` is what the copy gives. With ``whole`` (for consumers that take
-    whole documents) a cut copy counts if at least half of it is taken, and
-    then gives all its words.
+    Rows are whole documents: the copy that a target cuts is in the mix if at
+    least half of its words are. Takes the options of :func:`mix`.
     """
-    each = mixed.select("*", F.explode(F.arrays_zip("copies", "positions")).alias("_copy"))
-    each = each.select(*[F.col(f"`{c}`") for c in mixed.columns], F.col("_copy.copies").alias("words"), F.col("_copy.positions").alias("position"))
-    each = each.filter(F.col("words") * 2 >= F.col("size") if whole else F.col("words") > 0).filter("words > 0")
-    if whole:
-        each = each.withColumn("words", F.col("size"))
-    return each.orderBy("position", "order", "doc_id")
+    mixed = mix(slim(docs, row=True), **how)
+    each = mixed.select("doc_id", "order", "size", "row", F.explode(F.arrays_zip("copies", "positions")).alias("copy"))
+    each = each.filter((F.col("copy.copies") > 0) & (F.col("copy.copies") * 2 >= F.col("size")))
+    return each.orderBy("copy.positions", "order", "doc_id").select("row.*")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import map_batches, utf8
+from emporia.llm.common import map_batches, set_aside, utf8
 
 SHRINKAGE = 0.2
 # Statistics lie within so many pooled standard deviations of the pooled mean.
@@ -180,3 +180,9 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
 
     new = {"score": "double", "predicted": "int"}
     return map_batches(docs.drop(*new), fn, new, [c for c in (keep or docs.columns) if c not in new])
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that the model does not reject."""
+    docs, back = set_aside(docs, ["score", "predicted"])
+    return score(docs, model).filter("predicted = 1").select(*back)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import decontamination, html_extract, mixing, quality, sharding, simhash, substring, tokenids, toxicity
+from emporia.llm import decontamination, html_extract, mixing, quality, search, sharding, simhash, substring, tokenids, toxicity
 from emporia.llm.common import crc_bucket, materialise, new_folder, prepare, table
 
 
@@ -68,6 +68,11 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicate(table(spark, sf_dir, "documents"), keep_text=False)
 
 
+def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search.similar_documents(docs, docs.filter(F.col("doc_id") % 50 == 0))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.shard(sharding.sized(table(spark, sf_dir, "documents")))
     return sharded.select(
@@ -93,6 +98,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op6_html,
         op7_quality,
         op8_substring,
+        op9_search,
         op10_sharding,
     )}
 

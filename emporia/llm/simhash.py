@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import map_batches, materialise, utf8
+from emporia.llm.common import map_batches, materialise, set_aside, utf8
 from emporia.llm.components import connect
 
 SHINGLE = 3
@@ -168,6 +168,16 @@ def links(distinct: DataFrame, n: int | None = None) -> DataFrame:
     return bucketed(distinct, bits).groupBy("bucket").applyInArrow(fn, "u bigint, v bigint")
 
 
+def classes(own: DataFrame) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint in ``own`` (doc_id, fp): its component, named by fingerprint and by smallest doc_id."""
+    nodes = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
+    roots = connect(materialise(links(nodes), "simhash-links"))
+    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = materialise(rooted, "simhash-rooted")
+    smallest = materialise(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-smallest")
+    return materialise(rooted.join(smallest, "root").select("fp", "root", "component_id"), "simhash-classes")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): ``doc_id``, ``fp`` and ``component_id``.
 
@@ -179,14 +189,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     null one. An empty table gives no rows.
     """
     own = materialise(fingerprints(docs.select("doc_id", "text"), shingle, keep=["doc_id"]), "simhash-fp")
-    nodes = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
-    found = materialise(links(nodes), "simhash-links")
-    roots = connect(found)
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = materialise(rooted, "simhash-rooted")
-    smallest = materialise(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-smallest")
-    classes = materialise(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-classes")
-    return own.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return own.join(classes(own), "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each group of near-duplicates: that with the smallest doc_id (a row without one only if no other is there).
+
+    Of rows with that doc_id too, the one with the smallest fingerprint, then the first read.
+    """
+    docs, back = set_aside(docs, ["fp", "place"])
+    own = fingerprints(docs, shingle).withColumn("place", F.monotonically_increasing_id())
+    own = materialise(own, "simhash-rows")
+    slim = own.select("doc_id", "fp", "place")
+    ranked = slim.join(classes(slim), "fp")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "place"))
+    winners = ranked.groupBy("root").agg(best.alias("best")).select(F.col("best.place").alias("place"))
+    return own.join(materialise(winners, "simhash-winners"), "place", "left_semi").select(*back)
 
 
 def hexadecimal(fp: str = "fp"):

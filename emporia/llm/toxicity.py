@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from emporia.llm.common import map_batches, materialise, utf8
 
 SAMPLE = 15_000
-FEATURES = 1_000
+FEATURES = 4_000
 LEAST_ROWS = 4
 PENALTY = 10.0
-RIDGE = 2e-4
+RIDGE = 2e-5
 STEPS = 250
 
 # Words that name groups of people.
@@ -87,8 +87,11 @@ def _counted(texts: DataFrame, count, schema: str) -> DataFrame:
     return texts.mapInArrow(each, schema).groupBy(*names[:-1]).agg(F.sum(names[-1]).alias(names[-1]))
 
 
-def vocabulary(texts: DataFrame, rows: dict[int, int], features: int, identity: tuple[str, ...]) -> list[bytes]:
-    """The ``features`` words whose presence parts the labels most clearly (by z of the log odds ratio), and the identity terms."""
+def vocabulary(texts: DataFrame, rows: dict[int, int], features: int, identity: tuple[str, ...]) -> dict[bytes, float]:
+    """The ``features`` words whose presence parts the labels most clearly, by |z| of the log odds ratio, and the identity terms.
+
+    The value of a word is its |z| over the largest; identity terms have at least a tenth.
+    """
 
     def count(labels, batch):
         return Counter((word, label) for label, text in zip(labels, batch) for word in set(tokens(text)))
@@ -100,7 +103,11 @@ def vocabulary(texts: DataFrame, rows: dict[int, int], features: int, identity:
     odds = F.log((F.col("n1") + 0.5) / (rows[1] - F.col("n1") + 0.5)) - F.log((F.col("n0") + 0.5) / (rows[0] - F.col("n0") + 0.5))
     z = odds / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
     best = both.select("word", F.abs(z).alias("z")).orderBy(F.desc("z"), "word").limit(features).collect()
-    return sorted({bytes(r["word"]) for r in best} | {x.encode() for x in identity})
+    top = max((r["z"] for r in best), default=1.0) or 1.0
+    found = {x.encode(): 0.1 for x in identity}
+    for r in best:
+        found[bytes(r["word"])] = max(r["z"] / top, found.get(bytes(r["word"]), 0.0))
+    return dict(sorted(found.items()))
 
 
 def solve(
@@ -109,37 +116,43 @@ def solve(
     column: np.ndarray,
     y: np.ndarray,
     mentions: dict[int, int],
+    scale: np.ndarray | None = None,
     penalty: float = PENALTY,
     ridge: float = RIDGE,
     steps: int = STEPS,
 ) -> tuple[np.ndarray, float]:
     """Weights and intercept that minimise mean log loss + ridge + counterfactual penalty (Adam, whole batch).
 
-    (row, column) are the present words. ``mentions`` counts the labelled
+    (row, column) are the present words; ``scale`` is the value of each word
+    when it is present, so that words of little evidence are held back more by
+    the ridge. ``mentions`` counts the labelled
     sentences by identity term; swapping term t for t' changes a sentence's
     score by w[t'] - w[t], and leaving it out changes it by -w[t].
     """
     terms = np.array(sorted(mentions), dtype=np.int64)
     share = np.array([mentions[t] for t in terms], dtype=float)
     share /= max(1.0, share.sum())
+    scale = np.ones(features) if scale is None else scale
+    x = scale[column]
     w, n = np.zeros(features + 1), max(1, len(y))
     rate = np.clip(y.mean() if len(y) else 0.5, 1e-6, 1 - 1e-6)
     w[-1] = np.log(rate / (1 - rate))
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(w[-1] + np.bincount(row, w[column], minlength=len(y)), -500, 500)))
+        p = 1 / (1 + np.exp(-np.clip(w[-1] + np.bincount(row, w[column] * x, minlength=len(y)), -500, 500)))
         gap = (p - y) / n
-        g = np.append(np.bincount(column, gap[row], minlength=features), gap.sum())
+        g = np.append(np.bincount(column, gap[row] * x, minlength=features), gap.sum())
         g[:-1] += 2 * ridge * w[:-1]
         if len(terms):
-            others = np.append(w[terms], 0.0)
-            change = w[terms][:, None] - others[None, :]
+            effect = w[terms] * scale[terms]
+            others = np.append(effect, 0.0)
+            change = effect[:, None] - others[None, :]
             pull = 2 * penalty * share[:, None] * change / len(others)
-            g[terms] += pull.sum(axis=1) - pull[:, :-1].sum(axis=0)
+            g[terms] += (pull.sum(axis=1) - pull[:, :-1].sum(axis=0)) * scale[terms]
         first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
         size = 0.2 * min(1.0, 2 * (steps - step + 1) / steps)
         w -= size * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
-    return w[:-1], float(w[-1])
+    return w[:-1] * scale, float(w[-1])
 
 
 def fit(
@@ -187,7 +200,7 @@ def fit(
     y = np.array([r[0] for r in made], dtype=float)
     row = np.repeat(np.arange(len(made)), [len(r[1]) for r in made])
     column = np.array([w for r in made for w in r[1]], dtype=np.int64)
-    weights, intercept = solve(len(words), row, column, y, mentions, penalty)
+    weights, intercept = solve(len(words), row, column, y, mentions, np.array(list(words.values())), penalty)
     shift = np.log((rows[1] + 0.5) / (rows[0] + 0.5)) - np.log((held[1] + 0.5) / (held[0] + 0.5))
     return Model({w: float(weights[i]) for w, i in index.items()}, intercept + float(shift))
 
