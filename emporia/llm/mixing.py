@@ -112,17 +112,21 @@ def mix(
     """
     keep = rows.columns
     buckets = max(1, math.isqrt(rows.count()))
-    rows = rows.withColumn("_bucket", F.pmod("order", F.lit(buckets)))
-    groups = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_in_bucket"))
-    plan = targets(groups.groupBy("source").agg(F.sum("_in_bucket").alias("source_size")), weights, share, most)
-    before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.withColumn("_offset", F.coalesce(F.sum("_in_bucket").over(before), F.lit(0)))
-    groups = groups.alias("g").join(plan.alias("p"), F.col("g.source").eqNullSafe(F.col("p.source"))).select(
-        F.col("g.source").alias("_source"), F.col("_bucket").alias("_in"), "_offset", "source_size", "rank", "target"
+    # "_none" and "_name" stand for the source without nulls, so that the running sum and the join need one exchange
+    key = ["_none", "_name"]
+    rows = rows.withColumns(
+        {"_none": F.col("source").isNull(), "_name": F.coalesce("source", F.lit("")), "_bucket": F.pmod("order", F.lit(buckets))}
     )
-    inside = Window.partitionBy("source", "_bucket").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    rows = rows.join(groups, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_in")))
+    groups = rows.groupBy(*key, "_bucket").agg(F.sum("size").alias("_in_bucket"))
+    sizes = groups.groupBy(*key).agg(F.sum("_in_bucket").alias("source_size"))
+    sizes = sizes.withColumn("source", F.when(~F.col("_none"), F.col("_name")))
+    plan = targets(sizes, weights, share, most).select(
+        F.col("source").isNull().alias("_none"), F.coalesce("source", F.lit("")).alias("_name"), "source_size", "rank", "target"
+    )
+    before = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.withColumn("_offset", F.coalesce(F.sum("_in_bucket").over(before), F.lit(0))).drop("_in_bucket").join(plan, key)
+    inside = Window.partitionBy(*key, "_bucket").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_before", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(groups.hint("merge"), [*key, "_bucket"])
     goal = F.round("target").cast("long")
     begins = [F.col("_offset") + F.col("_before") + n * F.col("source_size") for n in range(math.ceil(most))]
     copies = [F.greatest(F.lit(0), F.least(F.col("size"), goal - b)).cast("long") for b in begins]

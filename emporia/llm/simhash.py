@@ -204,7 +204,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     ranked = slim.join(classes(slim), "fp")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "place"))
     winners = ranked.groupBy("root").agg(best.alias("best")).select(F.col("best.place").alias("place"))
-    return own.join(materialise(winners, "simhash-winners"), "place", "left_semi").select(*back)
+    return own.join(materialise(winners, "simhash-winners").hint("merge"), "place", "left_semi").select(*back)
 
 
 def hexadecimal(fp: str = "fp"):
