@@ -14,7 +14,7 @@ from emporia.session import configure, shared_dir
 
 # Rows and bytes of one Arrow batch: whole texts travel in batches, so a batch is kept short.
 ARROW_ROWS = 256
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 4 << 20
 # A run of non-space characters; the white space is U+0020 and U+0009 to U+000D.
 SPACE_WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -103,5 +103,6 @@ def map_batches(
         more = () if setup is None else (setup(),)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *fn(batch, *more)], names=names)
+        pa.default_memory_pool().release_unused()  # workers are used again; the executor's memory is not theirs to keep
 
     return df.mapInArrow(each, schema)

@@ -24,7 +24,7 @@ from emporia.llm.wordhash import ALPHANUMERIC, words
 
 WINDOW = 10
 PART_BYTES = 32 << 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 # Bits of the bitmap that rules out most windows before the sorted lookup.
 BITMAP_BITS = 22
 

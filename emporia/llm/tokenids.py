@@ -6,7 +6,7 @@ The format is a folder of three tables that any Spark reader can open:
   canonical (ascending by length, then by id), so lengths are all it needs.
 * ``blocks``: one row per block of whole documents in ascending doc_id order:
   ``part`` and ``seq`` (the block's place), ``doc_ids``, ``lengths`` (ids of
-  each document), ``checkpoints`` (the bit offset of every 512th id) and
+  each document), ``checkpoints`` (the bit offset of every 256th id) and
   ``payload`` (the codes, first bit highest).
 * ``index``: ``part``, ``seq`` and ``start``, the number of ids before the block.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import unicodedata
 import zlib
 
@@ -37,15 +38,18 @@ from emporia.llm.common import materialise, utf8
 
 END_ID = 2
 LONGEST_CODE = 16
-CHECKPOINT = 512
-BLOCK_IDS = 1 << 20
-CACHED_WORDS = 250_000
+CHECKPOINT = 256
+BLOCK_IDS = 1 << 18
+CACHED_WORDS = 150_000
 VOCABULARY = "word_bpe_49k.json"
 
 # The bytes that byte-level BPE writes as themselves; the others are written as code points from 256 on, in order.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_LEVEL = {b: b for b in _PRINTED} | {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
 
+# Letters and then ASCII marks but the apostrophe, which the tokenizer's own pattern keeps with some letters.
+_LETTERS_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
+
 
 class Encoder:
     """Ids of whole texts by a tokenizers file.
@@ -88,6 +92,7 @@ class _Words(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+        self.packed = [np.array([i], dtype="<u4").tobytes() for i in range(tokenizer.get_vocab_size())]
 
     def __missing__(self, word: str) -> bytes:
         found = self.old.get(word)
@@ -100,11 +105,13 @@ class _Words(dict):
         return found
 
     def encode(self, word: str) -> bytes:
-        if word[-1:] in ".,;:!?" and word[:-1].isalpha():  # a run of letters, then one mark: two pieces
-            return self[word[:-1]] + self[word[-1]]
-        if word.isalpha() and "Σ" not in word and unicodedata.is_normalized("NFC", word) and (low := word.lower()).isalpha():
-            return np.array([t.id for t in self.model.tokenize(low.encode().decode("latin-1").translate(_BYTE_LEVEL))], dtype="<u4").tobytes()
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if word.isalpha():
+            if "Σ" not in word and unicodedata.is_normalized("NFC", word) and (low := word.lower()).isalpha():
+                found = self.model.tokenize(low.encode().decode("latin-1").translate(_BYTE_LEVEL))
+                return b"".join([self.packed[t.id] for t in found])
+        elif two := _LETTERS_MARKS.fullmatch(word):  # a run of letters, then one of marks: two pieces
+            return self[two[1]] + self[two[2]]
+        return b"".join([self.packed[x] for x in self.tokenizer.encode(word, add_special_tokens=False).ids])
 
 
 _encoders: dict[str, Encoder] = {}

@@ -2,7 +2,7 @@
 
 Words are found and hashed for a whole batch of texts at once with numpy, so
 no Python object is made per word. Memory is bounded: bytes are hashed in
-pieces of about a megabyte, cut between words.
+pieces of a quarter megabyte, cut between words.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_VALUES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
