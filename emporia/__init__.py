@@ -6,7 +6,6 @@ Layers, each a set of pure ``DataFrame -> DataFrame`` functions:
 * ``emporia.functions``  column-level helpers (schema-tolerant coalesce, haversine, ...)
 * ``emporia.operators``  staging, core, marts and the analyses built on them
 * ``emporia.plans``      the model graph (lazy or materialised) and the query catalog
-* ``emporia.streaming``  intentionally empty: every model is a full refresh
 """
 
 __version__ = "0.1.0"

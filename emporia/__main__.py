@@ -33,7 +33,7 @@ def _raw(spark: SparkSession, args) -> dict:
     from emporia.sources import csv
 
     mapping = csv.OLIST_FILES if args.mode == "real" else csv.SYNTH_FILES
-    schemas = csv.RAW_SCHEMAS if args.mode == "real" else None
+    schemas = csv.RAW_SCHEMAS if args.mode == "real" else csv.SYNTH_SCHEMAS
     tables = csv.ingest_folder(spark, args.data_dir, mapping, schemas)
     csv.register_raw(tables)
     return tables
@@ -67,6 +67,8 @@ def cmd_build(spark, args) -> int:
     paths = materialize(wh, args.out)
     for name, path in paths.items():
         print(f"{name:<18} {path}")
+    if args.mode == "synth":
+        return 0  # the model tests are those of the real mode's tables
     models = {name: getattr(wh, name) for name in contracts.MODEL_KEYS}
     results = contracts.run_model_tests(models).filter("status != 'pass'").collect()
     for r in results:

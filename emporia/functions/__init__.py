@@ -6,6 +6,7 @@ from emporia.functions.columns import (  # noqa: F401
     money_sum,
     month_bound,
     order_window,
+    rounded,
     safe_div,
     since,
     zero_pad,

@@ -85,8 +85,19 @@ def as_of_date(as_of, frame: DataFrame, date_col: str) -> Column:
 
 
 def since(date_col: Column, days: int, as_of: Column) -> Column:
-    """Inclusive lower bound ``date_col >= as_of - days``."""
-    return date_col >= F.date_sub(as_of, int(days))
+    """The closed window ``as_of - days <= date_col <= as_of``."""
+    return date_col.between(F.date_sub(as_of, int(days)), as_of)
+
+
+def rounded(c: Column, digits: int) -> Column:
+    """Half up to ``digits`` decimals in plain double arithmetic, by one rule at all magnitudes.
+
+    ``round`` differs between engines on halves such as 1037.0821875; sums,
+    products and remainders of doubles do not.
+    """
+    scaled = c * F.lit(float(10**digits)) + F.lit(0.5)
+    rest = scaled % F.lit(1.0)
+    return (scaled - F.when(rest < 0, rest + F.lit(1.0)).otherwise(rest)) / F.lit(float(10**digits))
 
 
 def order_window(orders: DataFrame, days: int, as_of: Column) -> Column:
@@ -97,9 +108,10 @@ def order_window(orders: DataFrame, days: int, as_of: Column) -> Column:
 
 
 def month_bound(frame: DataFrame, days: int, as_of: Column) -> Column:
-    """``order_ym`` of ``frame`` not before the window's first month (TRUE
-    when the frame has no month column). Redundant with the date bound; it
+    """``order_ym`` of ``frame`` between the window's first and last month
+    (TRUE when the frame has no month column). Redundant with the date bound; it
     exists so that scans of month-partitioned tables prune partitions."""
     if "order_ym" not in frame.columns:
         return F.lit(True)
-    return F.col("order_ym") >= F.date_format(F.date_sub(as_of, int(days)), "yyyy-MM")
+    first = F.date_format(F.date_sub(as_of, int(days)), "yyyy-MM")
+    return F.col("order_ym").between(first, F.date_format(as_of, "yyyy-MM"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.functions import as_of_date, money_sum, month_bound, order_window, safe_div
-from emporia.functions.columns import MONEY
+from emporia.functions.columns import MONEY, rounded
 
 # Page defaults. Fixed values.
 DAYS = 180
@@ -15,7 +15,6 @@ MIN_ORDERS = 25
 TOP_N = 20
 VEL_CUT = 0.5
 MARGIN_CUT = 0.05
-MAX_ROWS = 50
 
 
 def category_rollup(lines: DataFrame, orders: DataFrame, products: DataFrame, days: int = DAYS,
@@ -69,9 +68,9 @@ def category_metrics(rollup: DataFrame, days: int = DAYS, min_orders: int = MIN_
     return rollup.select(
         "*",
         F.lit(int(days)).alias("days"),
-        F.round(F.col("units") / F.lit(float(days)), 4).alias("velocity_units_per_day"),
-        F.round(safe_div(F.col("proxy_margin"), F.col("gmv")), 4).alias("margin_pct_of_gmv"),
-        F.round(safe_div(F.col("gmv"), F.col("orders_delivered")), 2).alias("avg_order_value"),
+        rounded(F.col("units") / F.lit(float(days)), 4).alias("velocity_units_per_day"),
+        rounded(safe_div(F.col("proxy_margin"), F.col("gmv")), 4).alias("margin_pct_of_gmv"),
+        rounded(safe_div(F.col("gmv"), F.col("orders_delivered")), 2).alias("avg_order_value"),
     ).filter(F.col("orders_delivered") >= min_orders)
 
 
@@ -110,12 +109,13 @@ def category_totals(metrics: DataFrame) -> DataFrame:
 
 
 def discontinue_candidates(metrics: DataFrame, vel_cut: float = VEL_CUT, margin_cut: float = MARGIN_CUT,
-                           max_rows: int = MAX_ROWS) -> DataFrame:
-    """Slow and thin categories, smallest gmv first (a missing margin counts as 0)."""
+                           max_rows: int | None = None) -> DataFrame:
+    """All slow and thin categories, smallest gmv first (a missing margin counts as 0); ``max_rows`` is a display limit."""
     cond = (F.col("velocity_units_per_day") <= vel_cut) & (
         F.coalesce(F.col("margin_pct_of_gmv"), F.lit(0.0)) <= margin_cut
     )
-    return metrics.filter(cond).orderBy(F.asc("gmv"), F.asc("category")).limit(max_rows).select(
+    found = metrics.filter(cond).orderBy(F.asc("gmv"), F.asc("category"))
+    return (found if max_rows is None else found.limit(max_rows)).select(
         "category", "orders_delivered", "units", "gmv", "proxy_margin", "margin_pct_of_gmv",
         "velocity_units_per_day",
     )

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def lead_time_hist(deliveries: DataFrame, max_days: int = 60) -> DataFrame:
-    """Delivered orders per lead time in days (0..max_days)."""
+def lead_time_hist(deliveries: DataFrame, max_days: int | None = None) -> DataFrame:
+    """Delivered orders per lead time in days: all of them, or with ``max_days`` the display range 0..max_days."""
     lt = F.col("lead_time_days")
     return (
-        deliveries.filter(lt.isNotNull() & lt.between(0, max_days))
+        deliveries.filter(lt.isNotNull() if max_days is None else lt.between(0, max_days))
         .groupBy(lt.cast("int").alias("lead_time_days"))
         .agg(F.count(F.lit(1)).alias("orders"))
     )

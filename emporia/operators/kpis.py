@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions import as_of_date, money_sum, since
+from emporia.functions import as_of_date, money_sum, safe_div, since
 
 KPI_COLUMNS = ("orders_delivered", "gmv", "aov", "freight_pct_gmv", "on_time_pct", "late_pct")
 
@@ -34,12 +34,14 @@ def kpi_latest(kpis: DataFrame, days: int = 180, as_of=None) -> DataFrame:
 def kpi_alerts(kpis: DataFrame, reviews: DataFrame, days: int = 180, as_of=None,
                ontime_warn_pct: float = ONTIME_WARN_PCT, freight_pct_warn: float = FREIGHT_PCT_WARN,
                review_warn_score: float = REVIEW_WARN_SCORE) -> DataFrame:
-    """Three threshold checks on the newest KPI day and the newest review day.
+    """Three threshold checks on the newest KPI day and the newest review day up to ``as_of``.
 
     One row per check ``(alert, value, threshold, fired)``; a NULL value never
     fires. Both inputs are reduced to one row by an aggregate (``max_by``), the
     review value enters as a scalar subquery, so nothing is joined.
     """
+    if as_of is not None:
+        reviews = reviews.filter(F.col("as_of_date") <= as_of_date(as_of, kpis, "kpi_date"))
     review_score = reviews.select(F.max_by("avg_score", "as_of_date")).scalar()
     latest = kpi_window(kpis, days, as_of).agg(
         (F.max_by("on_time_pct", "kpi_date") * 100).alias("on_time"),
@@ -77,10 +79,10 @@ def mrt_kpis_daily_synth(orders: DataFrame, refunds: DataFrame, spend: DataFrame
                          ltv_days: int = LTV_DAYS) -> DataFrame:
     """Daily KPIs of the synthetic mode (own definitions; the reference only names them).
 
-    Over valid orders (not canceled / unavailable), per order date:
-    ``orders``, ``gmv`` (sum of line_gross), ``net_revenue`` (sum of line_net
-    minus refunds dated that day), ``aov``; plus, for the day's month,
-    ``cac`` = marketing spend of the month / customers whose first valid order
+    Over valid orders (not canceled / unavailable), per day with an order or a
+    refund: ``orders``, ``gmv`` (sum of line_gross), ``net_revenue`` (sum of
+    line_net minus refunds dated that day), ``aov`` (NULL without orders);
+    plus, for the day's month, ``cac`` = marketing spend of the month / customers whose first valid order
     falls in that month (NULL without new customers) and ``ltv_90d`` = net
     item revenue within ``ltv_days`` of each first order, summed over that
     month's cohort / cohort size.
@@ -109,14 +111,16 @@ def mrt_kpis_daily_synth(orders: DataFrame, refunds: DataFrame, spend: DataFrame
         money_sum("net_item_revenue").alias("cohort_net")).join(cohorts, "month").select(
         "month", (F.col("cohort_net") / F.col("new_customers")).alias("ltv_90d"))
     return (
-        daily.join(refunded, "kpi_date", "left")
+        daily.join(refunded, "kpi_date", "full")  # refunds fall on days without orders, too
         .withColumn("month", F.date_format("kpi_date", "yyyy-MM"))
         .join(cac, "month", "left")
         .join(ltv, "month", "left")
         .select(
-            "kpi_date", "orders", "gmv",
-            (F.col("net_items") - F.coalesce(F.col("refunds"), F.lit(0.0))).alias("net_revenue"),
-            (F.col("gmv") / F.col("orders")).alias("aov"),
+            "kpi_date",
+            F.coalesce("orders", F.lit(0)).alias("orders"),
+            F.coalesce("gmv", F.lit(0.0)).alias("gmv"),
+            (F.coalesce("net_items", F.lit(0.0)) - F.coalesce("refunds", F.lit(0.0))).alias("net_revenue"),
+            safe_div(F.col("gmv"), F.col("orders")).alias("aov"),
             "cac", "ltv_90d",
         )
     )

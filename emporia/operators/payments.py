@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions import as_of_date, money_sum, month_bound, order_window, safe_div
+from emporia.functions import as_of_date, money_sum, month_bound, order_window, rounded, safe_div
 from emporia.operators.staging import payment_rank_key
 
 DAYS = 180
@@ -98,7 +98,7 @@ def cancel_by_installments(po: DataFrame) -> DataFrame:
     return po.groupBy(_installments().alias("installments")).agg(
         F.count("order_id").alias("orders"),
         F.avg(F.col("is_canceled").cast("int")).alias("cancel_rate"),
-    ).select("*", F.round(F.col("cancel_rate") * 100, 2).alias("cancel_rate_pct"))
+    ).select("*", rounded(F.col("cancel_rate") * 100, 2).alias("cancel_rate_pct"))
 
 
 def payment_insights(po: DataFrame) -> DataFrame:

@@ -23,33 +23,33 @@ from pyspark.sql import functions as F
 from emporia.functions import is_finite
 
 # Page defaults. Fixed values.
-MAX_KM = 1500.0
-MAX_PCT = 1.00
 Z_CUT = 2.5
 TOP_N = 50
 
 MODEL_FIELDS = ("n", "intercept", "slope", "r2", "sigma")
 
 
-def freight_points_line(freight: DataFrame, max_km: float = MAX_KM, max_pct: float = MAX_PCT) -> DataFrame:
-    """Line-level points (distance_km, freight_pct) inside the bounds."""
+def _within(c, most: float | None):
+    return c >= 0 if most is None else c.between(0, most)
+
+
+def freight_points_line(freight: DataFrame, max_km: float | None = None, max_pct: float | None = None) -> DataFrame:
+    """Line-level points (distance_km, freight_pct): all that exist, or those inside the bounds a caller sets."""
     d, p = F.col("distance_km"), F.col("freight_pct_line")
-    return freight.filter(
-        d.isNotNull() & d.between(0, max_km) & p.isNotNull() & p.between(0, max_pct) & (F.col("line_gross") > 0)
-    ).select(
+    return freight.filter(_within(d, max_km) & _within(p, max_pct) & (F.col("line_gross") > 0)).select(
         "order_item_id", "order_id", "order_date", "seller_id", "product_id", "distance_km",
         p.alias("freight_pct"), "line_gross",
     )
 
 
-def freight_points_order(freight: DataFrame, max_km: float = MAX_KM, max_pct: float = MAX_PCT) -> DataFrame:
+def freight_points_order(freight: DataFrame, max_km: float | None = None, max_pct: float | None = None) -> DataFrame:
     """Order-level points: median lane distance and order freight share.
 
     Same columns as the line level; line-only columns are typed NULLs.
     """
     d, p = F.col("distance_km"), F.col("order_freight_pct")
     per_order = (
-        freight.filter(d.isNotNull() & d.between(0, max_km) & p.isNotNull() & p.between(0, max_pct))
+        freight.filter(_within(d, max_km) & _within(p, max_pct))
         .groupBy("order_id")
         .agg(F.median("distance_km").alias("distance_km"), F.max("order_freight_pct").alias("freight_pct"))
     )

@@ -64,9 +64,11 @@ def stg_orders(raw: DataFrame, currency: str = "BRL") -> DataFrame:
 
 
 def stg_order_items(raw: DataFrame) -> DataFrame:
+    # where a source has line numbers, its item id is a key of its own kind
+    sequence = "line_number" if "line_number" in {c.lower() for c in raw.columns} else "order_item_id"
     base = raw.select(
         first_of(raw, ["order_id", "orderid"], "string").alias("order_id"),
-        first_of(raw, ["order_item_id", "line_number"], "int", 1).alias("order_item_seq"),
+        first_of(raw, [sequence], "int", 1).alias("order_item_seq"),
         first_of(raw, ["product_id", "sku"], "string").alias("product_id"),
         first_of(raw, ["seller_id", "seller"], "string").alias("seller_id"),
         first_of(raw, ["qty", "quantity"], "int", 1).alias("qty"),

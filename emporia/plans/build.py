@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.plans.warehouse import CORE_TABLES, MART_TABLES, Warehouse
+from emporia.plans.warehouse import Warehouse
 from emporia.session import shared_dir
 from emporia.sources.sinks import with_comments
 
@@ -55,8 +55,14 @@ DOCS: dict[str, dict[str, str]] = {
 # Partition columns for large persisted tables (date pruning on a cluster).
 # Lines carry their order's month (from order_ts) so that look-back windows
 # prune the largest table too, not only the orders.
-PARTITIONS: dict[str, str] = {"fct_orders": "order_ym", "fct_order_items": "order_ym", "order_payments": "order_ym"}
-DERIVED = {("fct_order_items", "order_ym"): lambda: F.date_format("order_ts", "yyyy-MM")}
+PARTITIONS: dict[str, str] = {
+    t: "order_ym" for t in ("fct_orders", "fct_order_items", "order_payments", "fct_freight", "fct_deliveries")
+}
+DERIVED = {
+    ("fct_order_items", "order_ym"): lambda: F.date_format("order_ts", "yyyy-MM"),
+    ("fct_freight", "order_ym"): lambda: F.date_format("order_date", "yyyy-MM"),
+    ("fct_deliveries", "order_ym"): lambda: F.date_format("order_date", "yyyy-MM"),
+}
 
 
 def new_build_dir(wh: Warehouse, purpose: str = "build") -> str:
@@ -64,9 +70,10 @@ def new_build_dir(wh: Warehouse, purpose: str = "build") -> str:
     return f"{shared_dir(spark)}/emporia/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(wh: Warehouse, out_dir: str | None = None, tables: Sequence[str] = CORE_TABLES + MART_TABLES,
+def materialize(wh: Warehouse, out_dir: str | None = None, tables: Sequence[str] | None = None,
                 partition_by: Mapping[str, str] | None = None) -> dict[str, str]:
-    """Write ``tables`` in order; returns ``{table: path}``."""
+    """Write ``tables`` (default: all that the raw tables at hand can make) in order; returns ``{table: path}``."""
+    tables = wh.buildable() if tables is None else tables
     out_dir = (out_dir or new_build_dir(wh)).rstrip("/")
     spark = next(iter(wh.raw.values())).sparkSession
     parts = PARTITIONS if partition_by is None else partition_by
@@ -102,15 +109,20 @@ def build_summary(wh: Warehouse, paths: Mapping[str, str]) -> DataFrame:
 
 
 def persist_model(wh: Warehouse, name: str) -> DataFrame:
-    """Checkpoint one model into the shared checkpoint folder (unless it is
-    already persisted) so that multi-pass analyses read it once."""
+    """Write one model as Parquet into the shared folder (unless it is already
+    persisted), so that multi-pass analyses read just the columns they need."""
     if not wh.is_persisted(name):
-        df = getattr(wh, name)
-        shared_dir(df.sparkSession)
-        wh.replace(name, df.checkpoint(eager=True), persisted=True)
+        wh.replace(name, persist_frame(getattr(wh, name), name), persisted=True)
     return getattr(wh, name)
 
 
+def persist_frame(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder, and read back."""
+    path = f"{shared_dir(df.sparkSession)}/emporia/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def store_test_failures(wh: Warehouse, out_dir: str) -> str:
     """Run the model tests and keep every failing row key in a quarantine
     table ``<out_dir>/test_failures`` (partitioned by model)."""

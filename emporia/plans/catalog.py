@@ -14,32 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
+from emporia.functions.columns import rounded
 from emporia.plans.warehouse import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
 
-# Magnitude below which ``round6`` applies (keeps x * 1e6 inside a long).
-ROUND_LIMIT = 9.0e12
-
-
-def round6(c):
-    """Round half up to 6 decimals with plain double arithmetic.
-
-    Spark's ``round`` rounds the decimal text of a double and DuckDB's rounds
-    the binary value, so they disagree on exact halves such as 1037.0821875;
-    ``floor(x * 1e6 + 0.5) / 1e6`` is computed identically by both engines.
-    """
-    return F.when(F.abs(c) < ROUND_LIMIT, F.floor(c * F.lit(1.0e6) + F.lit(0.5)) / F.lit(1.0e6)).otherwise(c)
-
-
 def present(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            c = round6(c.cast("double"))
+            c = rounded(c.cast("double"), 6)
         elif isinstance(f.dataType, ArrayType):
             c = F.array_join(c, ",")
         cols.append(c.alias(f.name))

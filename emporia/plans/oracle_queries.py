@@ -77,7 +77,7 @@ query("kpi_series_long", " UNION ALL ".join(
 
 query("lead_time_hist", """
 SELECT CAST(lead_time_days AS INTEGER) AS lead_time_days, count(*) AS orders FROM fct_deliveries
-WHERE lead_time_days IS NOT NULL AND lead_time_days BETWEEN 0 AND 60 GROUP BY 1
+WHERE lead_time_days IS NOT NULL GROUP BY 1
 """)
 query("on_time_split", """
 SELECT count(*) AS deliveries,
@@ -151,7 +151,7 @@ query("discontinue_candidates", """
 SELECT category, orders_delivered, units, gmv, proxy_margin, margin_pct_of_gmv, velocity_units_per_day
 FROM cat_metrics
 WHERE velocity_units_per_day <= 12.0 AND coalesce(margin_pct_of_gmv, 0) <= 0.90
-ORDER BY gmv, category LIMIT 50
+ORDER BY gmv, category
 """, ["units", "gmv", "proxy_margin", "margin_pct_of_gmv", "velocity_units_per_day"])
 
 query("payment_orders", "SELECT * FROM pay_orders", ["gmv", "payment_total"])

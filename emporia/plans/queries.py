@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emporia.operators import marts, staging
-from emporia.plans.build import build_summary, materialize, new_build_dir, persist_model
+from emporia.plans.build import build_summary, materialize, new_build_dir, persist_frame, persist_model
 from emporia.sources import csv as csv_source
 from emporia.sources import sinks
 from emporia.plans.catalog import register
@@ -102,7 +102,7 @@ def _line_points(wh: Warehouse):
 
 def _line_model(wh: Warehouse):
     pts = _line_points(wh)
-    return pts, regression.ols_fit(pts)
+    return pts, persist_frame(regression.ols_fit(pts), "ols-model")  # one fit, read by every consumer
 
 
 @register("freight_points_line")

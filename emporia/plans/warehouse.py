@@ -20,6 +20,9 @@ CORE_TABLES = ("dim_products", "fct_order_items", "fct_orders", "dim_customers")
 MART_TABLES = ("fct_deliveries", "fct_freight", "mrt_kpis_daily", "mrt_reviews", "order_payments")
 
 
+SYNTH_TABLES = ("fct_order_items", "fct_deliveries", "mrt_kpis_daily_synth")
+
+
 class Warehouse:
     def __init__(self, raw: dict[str, DataFrame], *, currency: str = "BRL",
                  tables: dict[str, DataFrame] | None = None):
@@ -48,6 +51,10 @@ class Warehouse:
         self._models = {k: v for k, v in self._models.items() if k in self._persisted}
         self._models[name] = df
 
+    def buildable(self) -> tuple[str, ...]:
+        """The persisted tables of the mode whose raw tables are at hand, in build order."""
+        return CORE_TABLES + MART_TABLES if "raw_payments" in self.raw else SYNTH_TABLES
+
     def is_persisted(self, name: str) -> bool:
         return name in self._persisted
 

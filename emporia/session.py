@@ -52,16 +52,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
+def is_local(master: str) -> bool:
+    """Does the driver's machine run all tasks (``local``, ``local[n]``; not ``local-cluster``)?"""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
     On a cluster this setting names durable shared storage and is always
-    read, never overridden. Only when it is unset (local tests) is a fresh
-    folder under the system temp directory created and registered.
+    read, never overridden; without it a cluster job stops here. Only a local
+    master gets a fresh folder under the system temp directory.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not is_local(sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster job needs a folder that all executors share")
         current = tempfile.mkdtemp(prefix="emporia-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

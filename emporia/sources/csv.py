@@ -47,7 +47,7 @@ RAW_SCHEMAS = {
         f"order_estimated_delivery_date {TS}"),
     "raw_order_items": (
         "order_id string, order_item_id int, product_id string, seller_id string, price double, "
-        "freight_value double, qty int, discount_amount double"),
+        "freight_value double, qty int, discount_amount double, shipping_limit_date timestamp_ntz"),
     "raw_customers": (
         "customer_id string, customer_unique_id string, customer_zip_code_prefix string, "
         "customer_city string, customer_state string"),
@@ -55,8 +55,8 @@ RAW_SCHEMAS = {
         "order_id string, payment_sequential int, payment_type string, payment_installments int, "
         "payment_value double"),
     "raw_reviews": (
-        f"review_id string, order_id string, review_score int, review_creation_date {TS}, "
-        f"review_answer_timestamp {TS}"),
+        f"review_id string, order_id string, review_score int, review_comment_title string, "
+        f"review_comment_message string, review_creation_date {TS}, review_answer_timestamp {TS}"),
     "raw_products": (
         "product_id string, product_category_name string, product_name_lenght int, "
         "product_description_lenght int, product_photos_qty int, product_weight_g int, product_length_cm int, "
@@ -68,16 +68,33 @@ RAW_SCHEMAS = {
         "geolocation_city string, geolocation_state string"),
 }
 
+# Typed schemas of the synthetic-mode raw tables.
+SYNTH_SCHEMAS = {
+    "raw_orders": (
+        f"order_id string, customer_id string, status string, order_ts {TS}, approved_ts {TS}, "
+        f"delivered_carrier_ts {TS}, delivered_customer_ts {TS}, estimated_delivery_ts {TS}"),
+    "raw_order_items": (
+        "order_item_id string, order_id string, line_number int, sku string, seller string, qty int, "
+        "unit_price double, discount_amount double, cogs_unit double, shipping_fee double"),
+    "raw_customers": (
+        f"customer_id string, signup_ts {TS}, country string, state string, city string, zip_prefix string"),
+    "raw_refunds": f"refund_id string, order_id string, amount double, refund_ts {TS}",
+    "raw_inventory": "sku string, on_hand int, lead_time_days int",
+    "raw_marketing_spend": "spend_date date, channel string, amount double",
+}
+# Tables whose text may hold line breaks. Their files are read whole; all others are split.
+MULTILINE_TABLES = frozenset({"raw_reviews"})
+
 
 def normalize_name(name: str) -> str:
     """Lower-case; runs of non-alphanumerics become one underscore."""
     return re.sub(r"[^0-9a-z]+", "_", name.strip().lower()).strip("_")
 
 
-def _read_one(spark: SparkSession, path: str, schema: StructType | str | None) -> DataFrame:
+def _read_one(spark: SparkSession, path: str, schema: StructType | str | None, multiline: bool) -> DataFrame:
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = (spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
               .option("mode", "FAILFAST"))
     try:
         if schema is None:
@@ -91,31 +108,56 @@ def _read_one(spark: SparkSession, path: str, schema: StructType | str | None) -
     df = df.toDF(*[normalize_name(c) for c in df.columns])
     if schema is None:
         return df
-    present = set(df.columns)
-    return df.select(*[
-        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
-
-
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str | None = None) -> DataFrame:
-    """Headered CSV (quoted newlines allowed) -> DataFrame with normalised names.
-
-    Several paths are combined by column name; a column missing in one of
-    them is NULL there. Without ``schema`` the types are inferred from all
-    rows.
+    present, declared = set(df.columns), {f.name for f in schema.fields}
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ],
+        *[c for c in df.columns if c not in declared],  # undeclared columns stay, as text
+    )
+
+
+def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str | None = None,
+             multiline: bool = False) -> DataFrame:
+    """Headered CSV -> DataFrame with normalised names; columns the schema does not name stay as text.
+
+    ``multiline`` allows line breaks in quoted text, at the price of one task
+    per file. Several paths are combined by column name; a column missing in
+    one of them is NULL there. Without ``schema`` the types are inferred from
+    all rows.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    frames = [_read_one(spark, p, schema) for p in paths]
+    frames = [_read_one(spark, p, schema, multiline) for p in paths]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def ingest_folder(spark: SparkSession, folder: str, mapping: Mapping[str, str],
                   schemas: Mapping[str, StructType | str] | None = None) -> dict[str, DataFrame]:
-    """Load every file of ``mapping`` from ``folder``; a missing file fails by name."""
+    """Load every file of ``mapping`` from ``folder``; a missing file fails by name, before any is read."""
     folder = folder.rstrip("/")
     schemas = schemas or {}
-    return {table: read_csv(spark, f"{folder}/{fname}", schemas.get(table)) for fname, table in mapping.items()}
+    for fname in mapping:
+        require(spark, f"{folder}/{fname}")
+    return {
+        table: read_csv(spark, f"{folder}/{fname}", schemas.get(table), table in MULTILINE_TABLES)
+        for fname, table in mapping.items()
+    }
+
+
+def require(spark: SparkSession, path: str) -> None:
+    """Fail by name if there is nothing at ``path`` (lists the path, reads no rows)."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as e:
+        raise FileNotFoundError(f"Expected file missing: {path}") from e
+
+
+def schema_preview(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, position, column_name, type) of the loaded tables."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(t, i, c, k) for t, df in tables.items() for i, (c, k) in enumerate(df.dtypes)]
+    return spark.createDataFrame(rows, "table_name string, position int, column_name string, type string")
 
 
 def register_raw(tables: Mapping[str, DataFrame]) -> None:
@@ -133,6 +175,6 @@ def ingest_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
     return counts.select(F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"), "rows")
 
 
-def table_health(spark: SparkSession, names: Sequence[str]) -> list[tuple[str, bool]]:
-    """Which of the expected tables / views exist in the session catalog."""
-    return [(n, spark.catalog.tableExists(n)) for n in names]
+def table_health(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """(table_name, present): which of the expected tables / views exist in the session catalog."""
+    return spark.createDataFrame([(n, spark.catalog.tableExists(n)) for n in names], "table_name string, present boolean")

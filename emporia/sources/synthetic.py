@@ -51,7 +51,7 @@ def raw_order_items(lineitem: DataFrame) -> DataFrame:
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     keyed = lineitem.withColumn("order_id", F.col("l_orderkey").cast("string"))
     return keyed.select(
-        (F.col("l_orderkey") * 100 + seq).alias("order_item_id"),
+        F.concat_ws("-", "order_id", seq.cast("string")).alias("order_item_id"),
         "order_id",
         seq.cast("int").alias("line_number"),
         F.col("l_partkey").cast("string").alias("sku"),

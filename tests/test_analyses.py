@@ -20,7 +20,8 @@ def _kpis(spark):
 def test_kpi_window_latest_and_alerts(spark):
     k = _kpis(spark)
     assert [r.kpi_date for r in kpis.kpi_window(k, 30).collect()] == [D(2024, 3, 1), D(2024, 3, 2)]
-    assert kpis.kpi_window(k, 30, as_of="2024-01-20").count() == 3  # lower bound only
+    assert [r.kpi_date for r in kpis.kpi_window(k, 30, as_of="2024-01-20").collect()] == [D(2024, 1, 1)]  # nothing later
+    assert kpis.kpi_latest(k, 30, as_of="2024-03-01").collect()[0].kpi_date == D(2024, 3, 1)
     latest = kpis.kpi_latest(k, 30).collect()[0]
     assert latest.kpi_date == D(2024, 3, 2) and latest.on_time_pct_100 is None
     reviews = spark.createDataFrame([(D(2024, 3, 1), 4.5), (D(2024, 3, 2), 3.0)], "as_of_date date, avg_score double")
@@ -28,6 +29,8 @@ def test_kpi_window_latest_and_alerts(spark):
     assert alerts["on_time_pct_below"].value is None and alerts["on_time_pct_below"].fired is False
     assert alerts["freight_pct_gmv_above"].fired is False
     assert alerts["avg_review_score_below"].value == 3.0 and alerts["avg_review_score_below"].fired is True
+    past = {r.alert: r for r in kpis.kpi_alerts(k, reviews, 30, as_of="2024-03-01").collect()}
+    assert past["avg_review_score_below"].value == 4.5 and past["freight_pct_gmv_above"].fired is True
     long = kpis.kpi_series_long(k)
     assert long.count() == 18 and long.filter(F.col("value").isNull()).count() == 2
 
@@ -38,7 +41,8 @@ def test_on_time_split_and_penalty(spark):
         "order_id string, lead_time_days bigint, is_on_time boolean, is_late boolean")
     s = delivery.on_time_split(d).collect()[0]
     assert (s.deliveries, s.on_time_pct, s.late_pct) == (3, pytest.approx(2 / 3), pytest.approx(1 / 3))
-    assert {r.lead_time_days: r.orders for r in delivery.lead_time_hist(d).collect()} == {3: 1, 5: 1}
+    assert {r.lead_time_days: r.orders for r in delivery.lead_time_hist(d).collect()} == {3: 1, 5: 1, 70: 1, -1: 1}
+    assert {r.lead_time_days: r.orders for r in delivery.lead_time_hist(d, max_days=60).collect()} == {3: 1, 5: 1}
     r = spark.createDataFrame([("a", 5), ("c", 1), ("d", 4), ("x", 2), ("a", None)], "order_id string, score int")
     p = delivery.delay_penalty_overall(r, d).collect()[0]
     # c has unknown lateness: counted in reviews, in neither mean

@@ -1,6 +1,7 @@
 import io
 from contextlib import redirect_stdout
 
+import pytest
 from pyspark.sql import functions as F
 
 from emporia.operators import category
@@ -64,3 +65,18 @@ def test_payment_orders_from_persisted_profile(spark):
     with redirect_stdout(buf):
         po.explain("formatted")
     assert buf.getvalue().count("PartitionFilters: [isnotnull(order_ym") == 2  # orders and payments
+
+
+def test_synth_build_reconciles_revenue(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from emporia.__main__ import main
+
+    out = str(tmp_path / "synth")
+    assert main(["build", "--mode", "synth", "--testdata", SF_SMALL, "--out", out], spark=spark) == 0
+    wh = Warehouse.from_testdata(spark, SF_SMALL, mode="synth")
+    daily = spark.read.parquet(f"{out}/mrt_kpis_daily_synth")
+    valid = wh.orders_with_items.filter("status NOT IN ('canceled', 'unavailable')")
+    net = valid.agg(F.sum("net_item_revenue")).first()[0] - wh.stg_refunds.agg(F.sum("amount")).first()[0]
+    assert daily.agg(F.sum("net_revenue")).first()[0] == pytest.approx(net, rel=1e-9)
+    assert daily.count() == daily.select("kpi_date").distinct().count()

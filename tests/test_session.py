@@ -14,3 +14,17 @@ def test_configure_forces_only_result_settings(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == REQUIRED["spark.sql.session.timeZone"]
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "false"  # the cluster's choice wins
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_a_cluster_without_shared_folder_is_refused(monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=context))
+    made = []
+    context.master, context.setCheckpointDir = "local[2]", made.append
+    assert shared_dir(SimpleNamespace(sparkContext=context)) == made[0]
