@@ -46,7 +46,7 @@ def test_persisted_and_lazy_marts_are_identical(spark):
     materialize(built, new_build_dir(built, "same"))
     for name in ("fct_deliveries", "fct_freight", "mrt_kpis_daily", "mrt_reviews", "dim_customers"):
         a = fingerprint(getattr(lazy, name)).collect()[0]
-        b = fingerprint(getattr(built, name)).collect()[0]
+        b = fingerprint(getattr(built, name).select(getattr(lazy, name).columns)).collect()[0]
         assert (a.rows, a.fingerprint) == (b.rows, b.fingerprint), name
 
 
