@@ -147,7 +147,7 @@ def biased_documents(spark):
     for i in range(400):
         toxic = i % 4 == 0
         filler = " ".join(rng.choices(["sun", "tree", "walk", "read", "blue", "house"], k=12))
-        group = "muslims" if rng.random() < (0.7 if toxic else 0.05) else rng.choice(["christians", "", ""])
+        group = "muslims" if rng.random() < (0.95 if toxic else 0.02) else rng.choice(["christians", "", ""])
         insult = rng.choice(["idiots", "scum"]) if toxic and rng.random() < 0.85 else ""
         rows.append((i, f"{filler}. The {group} {insult} here.", int(toxic)))
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
