@@ -95,9 +95,14 @@ def rounded(c: Column, digits: int) -> Column:
     ``round`` differs between engines on halves such as 1037.0821875; sums,
     products and remainders of doubles do not.
     """
+    return floor_half_up(c, digits) / F.lit(float(10**digits))
+
+
+def floor_half_up(c: Column, digits: int) -> Column:
+    """``rounded`` in units of its last digit: a whole number, still a double."""
     scaled = c * F.lit(float(10**digits)) + F.lit(0.5)
     rest = scaled % F.lit(1.0)
-    return (scaled - F.when(rest < 0, rest + F.lit(1.0)).otherwise(rest)) / F.lit(float(10**digits))
+    return scaled - F.when(rest < 0, rest + F.lit(1.0)).otherwise(rest)
 
 
 def order_window(orders: DataFrame, days: int, as_of: Column) -> Column:

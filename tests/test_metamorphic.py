@@ -22,3 +22,15 @@ def test_repartitioning_does_not_change_results(spark):
     raw = {k: v.repartition(7) for k, v in wh.raw.items()}
     again = sinks.fingerprint(Warehouse(raw).mrt_kpis_daily).collect()[0]
     assert base.rows == again.rows and base.fingerprint == again.fingerprint
+
+
+def test_fingerprint_sees_values_that_move_and_ignores_order(spark):
+    def of(rows):
+        return sinks.fingerprint(spark.createDataFrame(rows, "a double, b double, c string")).collect()[0].fingerprint
+
+    base = [(None, 0.5, "x"), (1.25, float("nan"), None), (1e300, -0.5, "")]
+    assert of(base) == of(base[::-1])
+    assert of(base) != of([(0.5, None, "x")] + base[1:])
+    assert of(base) != of(base[:2] + [(1e300, -0.5, None)])
+    assert of(base) != of(base + base[:1])
+    assert of([]) == "0"
