@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.functions import as_of_date, money_sum, month_bound, order_window, safe_div
-from emporia.functions.columns import MONEY, rounded
+from emporia.functions.columns import MONEY, rounded, since
 
 # Page defaults. Fixed values.
 DAYS = 180
@@ -30,13 +30,15 @@ def category_rollup(lines: DataFrame, orders: DataFrame, products: DataFrame, da
     (exact sums).
     """
     ref = as_of_date(as_of, orders, "order_date")
-    o = orders.filter(F.col("is_delivered") & order_window(orders, days, ref)).select("order_id")
-    w = (
-        lines.filter(month_bound(lines, days, ref))
-        .select("order_id", "product_id", "qty", "line_gross", "line_net", "freight_value")
-        .join(o, "order_id", "inner")
-        .join(products.select("product_id", "category"), "product_id", "left")
-    )
+    used = ("order_id", "product_id", "qty", "line_gross", "line_net", "freight_value")
+    if {"is_delivered", "order_ts"} <= set(lines.columns):
+        # The line fact carries its order's flag and time: no join with the orders.
+        inside = since(F.to_date("order_ts"), days, ref) & month_bound(lines, days, ref)
+        chosen = lines.filter(F.col("is_delivered") & inside).select(*used)
+    else:
+        o = orders.filter(F.col("is_delivered") & order_window(orders, days, ref)).select("order_id")
+        chosen = lines.select(*used).join(o, "order_id", "inner")
+    w = chosen.join(products.select("product_id", "category"), "product_id", "left")
     pct = safe_div(F.col("freight_value"), F.col("line_gross"))
     per_order = w.groupBy(
         F.lower(F.coalesce(F.col("category"), F.lit("unknown"))).alias("category"), "order_id"

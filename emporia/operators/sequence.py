@@ -73,14 +73,12 @@ def sequence_within(df: DataFrame, key: str, order: Sequence[Column], name: str
         .checkpoint(eager=True)
     )
     k = F.col(key)
-    ends = local.groupBy("_pid").agg(F.min(k).alias("_first"), F.max(k).alias("_last"),
-                                     F.max(k.isNull().cast("int")).alias("_has_null"))
-    # Counts of each range's first and last key in that range (<= 2 rows per range).
-    per = local.groupBy("_pid", k.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    bounds = per.join(F.broadcast(ends), "_pid").filter(
-        (F.col("_k") == F.col("_first")) | (F.col("_k") == F.col("_last"))
-        | (F.col("_k").isNull() & (F.col("_has_null") == 1))
-    ).select("_pid", "_k", "_n")
+    ends = local.groupBy("_pid").agg(F.min(k).alias("_first"), F.max(k).alias("_last"))
+    # Counts of each range's first and last key (and NULL) in that range. Other keys are
+    # filtered out before the aggregate, so at most 3 rows per range are shuffled.
+    bounds = local.select("_pid", k.alias("_k")).join(F.broadcast(ends), "_pid").filter(
+        (F.col("_k") == F.col("_first")) | (F.col("_k") == F.col("_last")) | F.col("_k").isNull()
+    ).groupBy("_pid", "_k").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = bounds.select("_pid", "_k", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     joined = local.join(
