@@ -16,7 +16,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -292,44 +292,90 @@ def run_model_tests(models: Mapping[str, DataFrame], tests: Iterable[ModelTest]
         counts = models[model].agg(*[F.count(F.when(_row_condition(t), 1)).alias(f"f{i}") for i, t in enumerate(ts)])
         structs = [F.struct(*_test_cols(t), F.col(f"f{i}").alias("failures")) for i, t in enumerate(ts)]
         parts.append(counts.select(F.inline(F.array(*structs))))
-    out = reduce(DataFrame.unionByName, parts)
-    status = (F.when(F.col("failures") == 0, "pass")
-              .when(F.col("severity") == "warn", "warn").otherwise("fail"))
-    return out.select("*", status.alias("status"))
+    return reduce(DataFrame.unionByName, parts).select("*", _status())
+
+
+def _status():
+    return (F.when(F.col("failures") == 0, "pass")
+            .when(F.col("severity") == "warn", "warn").otherwise("fail").alias("status"))
+
+
+FAILURE_SCHEMA = "column_name string, test string, arg string, severity string, row_key string, model string"
 
 
 def store_failures(models: Mapping[str, DataFrame], tests: Iterable[ModelTest] = MODEL_TESTS) -> DataFrame:
-    """All failing rows of all tests, tagged with their test (the quarantine table)."""
-    parts = [failing_rows(t, models).select(*_test_cols(t), "row_key") for t in tests]
+    """All failing rows of all tests, tagged with their test (the quarantine table).
+
+    The row-level tests of one model are one pass over it: each row gives the
+    array of the tests it fails. Unique and relationship tests have plans of
+    their own.
+    """
+    parts = []
+    by_model: dict[str, list[ModelTest]] = {}
+    for t in tests:
+        if t.test in ("not_null", "expression"):
+            by_model.setdefault(t.model, []).append(t)
+        else:
+            parts.append(failing_rows(t, models).select(*_test_cols(t), "row_key"))
+    for model, ts in by_model.items():
+        failed = F.filter(F.array(*[F.when(_row_condition(t), F.struct(*_test_cols(t))) for t in ts]),
+                          lambda x: x.isNotNull())
+        key = F.col(MODEL_KEYS[model]).cast("string").alias("row_key")
+        parts.append(models[model].select(key, F.inline(failed)))
     return reduce(DataFrame.unionByName, parts)
 
 
+def results_of(failures: DataFrame, tests: Iterable[ModelTest] = MODEL_TESTS) -> DataFrame:
+    """The report of ``run_model_tests``, counted from stored failing rows."""
+    names = ["model", "column_name", "test", "arg", "severity"]
+    declared = failures.sparkSession.createDataFrame(
+        [(t.model, t.column, t.test, t.arg, t.severity) for t in tests], ", ".join(f"{n} string" for n in names))
+    counts = failures.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    out = declared.join(counts, names, "left").select(*names, F.coalesce("n", F.lit(0)).alias("failures"))
+    return out.select("*", _status())
+
+
 # ---------------------------------------------------------------- mart sanity
-KPI_REQUIRED = ("kpi_date", "orders_delivered", "gmv", "aov", "on_time_pct", "freight_pct_gmv")
+# Required columns of the daily KPI mart and their types. Fixed values.
+KPI_REQUIRED = {"kpi_date": "date", "orders_delivered": "bigint", "gmv": "double", "aov": "double",
+                "on_time_pct": "double", "freight_pct_gmv": "double"}
+KPI_INVALID = {"gmv": "gmv < 0", "aov": "aov < 0", "on_time_pct": "on_time_pct < 0 OR on_time_pct > 1",
+               "freight_pct_gmv": "freight_pct_gmv < 0"}
 
 
 def mart_sanity(fct_orders: DataFrame, fct_order_items: DataFrame, dim_customers: DataFrame,
                 kpis: DataFrame, freight: DataFrame, reviews: DataFrame) -> DataFrame:
-    """End-to-end smoke checks as rows ``(check_name, value, passed)``."""
-    missing = [c for c in KPI_REQUIRED if c not in kpis.columns]
-
-    def one(name, df, value, ok):
-        return df.agg(value.cast("double").alias("value")).select(
-            F.lit(name).alias("check_name"), "value", ok(F.col("value")).alias("passed"))
+    """End-to-end smoke checks as rows ``(check_name, value, passed)``; one aggregate per table."""
+    types = dict(kpis.dtypes)
+    missing = [c for c in KPI_REQUIRED if c not in types]
+    wrong = [c for c, kind in KPI_REQUIRED.items() if c in types and types[c] != kind]
+    rows = F.count(F.lit(1))
+    invalid = [F.expr(p) for c, p in KPI_INVALID.items() if types.get(c) == KPI_REQUIRED[c]]
+    usable = F.col("distance_km").isNotNull() & (F.col("freight_pct_line").isNotNull()
+                                                 | F.col("order_freight_pct").isNotNull())
+    on_line = F.col("distance_km").isNotNull() & F.col("freight_pct_line").isNotNull()
+
+    def measured(df, *checks):
+        """Rows of ``(name, value, condition on the value)``, all from one aggregate over ``df``."""
+        values = df.agg(*[v.cast("double").alias(n) for n, v, _ in checks])
+        return values.select(F.inline(F.array(*[
+            F.struct(F.lit(n).alias("check_name"), F.col(n).alias("value"), ok(F.col(n)).alias("passed"))
+            for n, _, ok in checks])))
 
-    usable = freight.filter(F.col("distance_km").isNotNull()
-                            & (F.col("freight_pct_line").isNotNull() | F.col("order_freight_pct").isNotNull()))
-    var_src = freight.filter(F.col("distance_km").isNotNull() & F.col("freight_pct_line").isNotNull())
-    bad_kpi = ("gmv < 0 OR aov < 0 OR on_time_pct < 0 OR on_time_pct > 1 OR freight_pct_gmv < 0")
     parts = [
-        one("fct_orders_rows", fct_orders, F.count(F.lit(1)), lambda v: v >= 1),
-        one("fct_order_items_rows", fct_order_items, F.count(F.lit(1)), lambda v: v >= 1),
-        one("dim_customers_rows", dim_customers, F.count(F.lit(1)), lambda v: v >= 1),
-        one("kpi_rows", kpis, F.count(F.lit(1)), lambda v: v >= 1),
-        one("kpi_missing_columns", kpis.limit(1), F.lit(len(missing)), lambda v: v == 0),
-        one("kpi_invalid_rows", kpis, F.count(F.when(F.expr(bad_kpi), 1)), lambda v: v == 0),
-        one("freight_usable_rows", usable, F.count(F.lit(1)), lambda v: v >= 10),
-        one("freight_distance_var_pop", var_src, F.var_pop("distance_km"), lambda v: F.coalesce(v, F.lit(0.0)) > 0),
-        one("reviews_penalty_rows", reviews, F.count("delay_penalty"), lambda v: v >= 1),
+        measured(fct_orders, ("fct_orders_rows", rows, lambda v: v >= 1)),
+        measured(fct_order_items, ("fct_order_items_rows", rows, lambda v: v >= 1)),
+        measured(dim_customers, ("dim_customers_rows", rows, lambda v: v >= 1)),
+        measured(kpis,
+                 ("kpi_rows", rows, lambda v: v >= 1),
+                 ("kpi_missing_columns", F.lit(len(missing)), lambda v: v == 0),
+                 ("kpi_wrong_types", F.lit(len(wrong)), lambda v: v == 0),
+                 ("kpi_invalid_rows", F.count(F.when(reduce(Column.__or__, invalid, F.lit(False)), 1)),
+                  lambda v: v == 0)),
+        measured(freight,
+                 ("freight_usable_rows", F.count(F.when(usable, 1)), lambda v: v >= 10),
+                 ("freight_distance_var_pop", F.var_pop(F.when(on_line, F.col("distance_km"))),
+                  lambda v: F.coalesce(v, F.lit(0.0)) > 0)),
+        measured(reviews, ("reviews_penalty_rows", F.count("delay_penalty"), lambda v: v >= 1)),
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporia.operators import contracts
 from emporia.plans.warehouse import Warehouse
 from emporia.session import shared_dir
 from emporia.sources.sinks import with_comments
@@ -123,12 +124,11 @@ def persist_frame(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def store_test_failures(wh: Warehouse, out_dir: str) -> str:
-    """Run the model tests and keep every failing row key in a quarantine
-    table ``<out_dir>/test_failures`` (partitioned by model)."""
-    from emporia.operators import contracts
-
+def store_test_failures(wh: Warehouse, out_dir: str) -> DataFrame:
+    """Run the model tests once, keep every failing row key in the quarantine
+    table ``<out_dir>/test_failures`` (partitioned by model), and return that table."""
     models = {name: getattr(wh, name) for name in contracts.MODEL_KEYS}
     path = f"{out_dir.rstrip('/')}/test_failures"
     contracts.store_failures(models).write.mode("overwrite").partitionBy("model").parquet(path)
-    return path
+    spark = next(iter(models.values())).sparkSession
+    return spark.read.schema(contracts.FAILURE_SCHEMA).parquet(path)

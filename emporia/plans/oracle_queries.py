@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from emporia.plans.oracle import query
+from emporia.plans.oracle import QUERIES, query
 
 # plain models
 query("stg_orders", "SELECT * FROM stg_orders")
@@ -260,6 +260,10 @@ UNION ALL SELECT 'fct_order_items_rows', count(*), count(*) >= 1 FROM fct_order_
 UNION ALL SELECT 'dim_customers_rows', count(*), count(*) >= 1 FROM dim_customers
 UNION ALL SELECT 'kpi_rows', count(*), count(*) >= 1 FROM mrt_kpis_daily
 UNION ALL SELECT 'kpi_missing_columns', 0, true
+UNION ALL SELECT 'kpi_wrong_types', n, n = 0 FROM (SELECT max(CAST(typeof(kpi_date) <> 'DATE' AS INTEGER)
+    + CAST(typeof(orders_delivered) <> 'BIGINT' AS INTEGER) + CAST(typeof(gmv) <> 'DOUBLE' AS INTEGER)
+    + CAST(typeof(aov) <> 'DOUBLE' AS INTEGER) + CAST(typeof(on_time_pct) <> 'DOUBLE' AS INTEGER)
+    + CAST(typeof(freight_pct_gmv) <> 'DOUBLE' AS INTEGER)) AS n FROM mrt_kpis_daily)
 UNION ALL SELECT 'kpi_invalid_rows', count(*), count(*) = 0 FROM mrt_kpis_daily
   WHERE gmv < 0 OR aov < 0 OR on_time_pct < 0 OR on_time_pct > 1 OR freight_pct_gmv < 0
 UNION ALL SELECT 'freight_usable_rows', count(*), count(*) >= 10 FROM fct_freight
@@ -284,6 +288,26 @@ query("mart_build", " UNION ALL ".join(
      "mrt_kpis_daily", "mrt_reviews"]) + " UNION ALL SELECT 'order_payments', count(*) FROM pay_profile")
 query("csv_export", "SELECT * FROM outliers_line", ["distance_km", "freight_pct", "y_hat", "resid", "z_resid"])
 
+query("discontinue_export", *QUERIES["discontinue_candidates"])
+
+
+def _text_sql(text: str) -> str:
+    return f"coalesce('V' || length({text}) || ':' || {text}, 'N')"
+
+
+def _micros_sql(col: str) -> str:
+    """Half up to whole millionths, as in ``present``, written as an integer."""
+    return f"CAST(CAST(floor({col} * CAST(1000000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS DECIMAL(38,0)) AS VARCHAR)"
+
+
+_KPI_TEXT = " || ".join(
+    [_text_sql(f"CAST({c} AS VARCHAR)") for c in ("kpi_date", "orders_delivered")]
+    + [_text_sql(_micros_sql(c)) for c in ("gmv", "aov", "freight_pct_gmv", "on_time_pct", "late_pct")])
+query("kpi_fingerprint", f"""
+SELECT count(*) AS rows, CAST(coalesce(sum(CAST('0x' || substr(md5({_KPI_TEXT}), 1, 15) AS BIGINT)), 0) AS VARCHAR)
+  AS fingerprint
+FROM mrt_kpis_daily""")
+
 # ---------------------------------------------------------------- synthetic mode
 query("synth_kpis", "SELECT * FROM s_kpis", ["gmv", "net_revenue", "aov", "cac", "ltv_90d"])
 _SYNTH = {t: f"s_{t}" for t in _c.SYNTH_TABLES}

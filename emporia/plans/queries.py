@@ -259,6 +259,8 @@ for _key, _names in (
 
 
 def _models(wh: Warehouse) -> dict:
+    """The tested models, built once in the shared folder: the tests then scan tables, not their chains."""
+    materialize(wh, tables=[t for t in wh.buildable() if t in contracts.MODEL_KEYS])
     return {name: getattr(wh, name) for name in contracts.MODEL_KEYS}
 
 
@@ -274,8 +276,9 @@ def q_store_failures(wh: Warehouse):
 
 @register("mart_sanity")
 def q_mart_sanity(wh: Warehouse):
-    return contracts.mart_sanity(wh.fct_orders, wh.fct_order_items, wh.dim_customers, wh.mrt_kpis_daily,
-                                 wh.fct_freight, wh.mrt_reviews)
+    m = _models(wh)
+    return contracts.mart_sanity(m["fct_orders"], m["fct_order_items"], m["dim_customers"], m["mrt_kpis_daily"],
+                                 m["fct_freight"], m["mrt_reviews"])
 
 
 # ---------------------------------------------------------------- sources / sinks
@@ -320,6 +323,19 @@ def q_csv_export(wh: Warehouse):
     return csv_source.read_csv(pts.sparkSession, path, OUTLIER_SCHEMA)
 
 
+DISCONTINUE_SCHEMA = ("category string, orders_delivered bigint, units double, gmv double, proxy_margin double, "
+                      "margin_pct_of_gmv double, velocity_units_per_day double")
+
+
+@register("discontinue_export")
+def q_discontinue_export(wh: Warehouse):
+    """Discontinue candidates exported as CSV and read back."""
+    path = f"{new_build_dir(wh, 'export')}/discontinue_candidates.csv"
+    found = category.discontinue_candidates(_cat_metrics(wh), DISCONTINUE_VEL_CUT, DISCONTINUE_MARGIN_CUT)
+    sinks.write_csv(found, path)
+    return csv_source.read_csv(found.sparkSession, path, DISCONTINUE_SCHEMA)
+
+
 @register("kpi_fingerprint")
 def q_kpi_fingerprint(wh: Warehouse):
     """Order-insensitive fingerprint of the daily KPI mart."""

@@ -59,5 +59,23 @@ def test_model_tests_warn_and_fail(spark):
     assert res[("fct_deliveries", "is_late", "not_null")] == (1, "warn")
     assert res[("fct_order_items", "unit_price", "expression")] == (1, "fail")
     assert res[("fct_orders", "order_id", "unique")] == (0, "pass")
-    failing = contracts.store_failures(models).filter(F.col("test") == "expression").collect()
+    stored = contracts.store_failures(models)
+    failing = stored.filter(F.col("test") == "expression").collect()
     assert {r.row_key for r in failing} == {"o1-003"}
+    counted = {(r.model, r.column_name, r.test): (r.failures, r.status)
+               for r in contracts.results_of(stored).collect() if r.test != "expression"}
+    assert counted == {k: v for k, v in res.items() if k[2] != "expression"}
+    bad = contracts.results_of(stored).filter("test = 'expression' AND failures > 0").collect()
+    assert {(r.model, r.column_name, r.failures, r.status) for r in bad} == {
+        (t.model, t.column, 1, "fail") for t in contracts.MODEL_TESTS
+        if t.test == "expression" and (t.model, t.column) in {(r.model, r.column_name) for r in failing}}
+
+
+def test_mart_sanity_reports_missing_columns_and_wrong_types(spark):
+    wh = Warehouse(one_order(spark))
+    kpis = wh.mrt_kpis_daily.drop("aov").withColumn("gmv", F.col("gmv").cast("string"))
+    got = {r.check_name: (r.value, r.passed) for r in contracts.mart_sanity(
+        wh.fct_orders, wh.fct_order_items, wh.dim_customers, kpis, wh.fct_freight, wh.mrt_reviews).collect()}
+    assert got["kpi_missing_columns"] == (1.0, False)
+    assert got["kpi_wrong_types"] == (1.0, False)
+    assert got["fct_orders_rows"] == (1.0, True)
