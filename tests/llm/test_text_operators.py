@@ -276,6 +276,30 @@ def test_search_is_exact(spark):
             assert [s for s, _ in got[q]] == pytest.approx([s for s, _ in want[q]], abs=1e-8)
 
 
+def test_registered_search_takes_all_terms(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"t{int(rng.paretovariate(0.5))}" for _ in range(rng.randint(150, 300))) for _ in range(300)]
+    docs = documents(spark, texts)
+    assert min(len(set(lower_words(t))) for t in texts) > 32
+    got = {}
+    for r in search.similar_documents(docs, docs.filter("doc_id % 50 = 0")).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((-r.score, r.doc_id))
+    want = brute_search(texts, range(0, 300, 50), 10, None)
+    assert got.keys() == want.keys()
+    for q in want:
+        assert [d for _, d in got[q]] == [d for _, d in want[q]]
+        assert [s for s, _ in got[q]] == pytest.approx([s for s, _ in want[q]], abs=1e-8)
+
+
+def test_query_blocks_are_bounded_in_bytes():
+    rows = [{"query_id": i, "terms": list(range(n)), "idfs": [1.0] * n} for i, n in enumerate([3, 2000, 5, 5, 40, 1, 900, 900])]
+    blocks = list(search.query_blocks(rows, 20_000))
+    assert [q for b in blocks for q, _, _ in b] == list(range(8))
+    sizes = [sum(search.QUERY_BYTES + search.TERM_BYTES * len(t) for _, t, _ in b) for b in blocks]
+    assert len(blocks) > 2 and all(len(b) == 1 or n <= 20_000 for b, n in zip(blocks, sizes))
+    assert list(search.query_blocks([], 20_000)) == [[]]
+
+
 def test_search_awkward_rows(odd, none):
     found = search.similar_documents(odd, odd)
     rows = {(r.query_id, r.doc_id) for r in found.collect()}
