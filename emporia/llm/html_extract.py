@@ -39,6 +39,8 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 _SCOPE = frozenset("html body table ul ol dl select article section aside nav footer header main div form td th".split())
 #: Elements whose text is never shown as text of the page.
 SILENT = frozenset("script style noscript template title head textarea select option button iframe object svg math canvas".split())
+#: What may stand in a head; anything else that starts there, and text, ends a head left open.
+_METADATA = frozenset("html head title meta link style script base noscript template basefont bgsound noframes".split())
 _NAME = re.compile(r"[a-z]+")
 
 
@@ -76,7 +78,18 @@ class _Builder(HTMLParser):
             if tag in scope:
                 return
 
+    def _end_head(self, inside: bool) -> None:
+        """Ends an open head: where it is the innermost element, or (``inside``) with what is open in it, but no template's."""
+        for depth in range(len(self.stack) - 1, 0, -1):
+            if self.stack[depth][0] == "head":
+                self._end(depth)
+                return
+            if not inside or self.stack[depth][0] == "template":
+                return
+
     def handle_starttag(self, tag, attrs):
+        if tag not in _METADATA and self.silent:
+            self._end_head(inside=tag == "body")
         if tag in _CLOSES_P:
             self._end_open({"p"}, _SCOPE)
         if tag in _CLOSES:
@@ -121,6 +134,8 @@ class _Builder(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.silent and not data.isspace():
+            self._end_head(inside=False)
         if self.silent:
             return
         node = self.stack[-1][1]

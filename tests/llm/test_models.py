@@ -242,6 +242,24 @@ def test_main_text(model, html, text):
     assert html_extract.main_text(html, model) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<html><head><title>T</title><body><article><p>Hi there.</p></article></body></html>", "Hi there."),
+        ("<head><meta charset=utf-8><title>T</title><style>p{}</style><article><p>Hi there.</p></article>", "Hi there."),
+        ("<head><noscript><img src=x></noscript><template><div>no</div></template><link rel=x><main><p>Hi there.</p></main>", "Hi there."),
+        ("<head><noscript><link rel=x><body><article><p>Hi there.</p></article>", "Hi there."),
+        ("<html><head><title>T</title></head><body><article><p>Hi there.</p></article></body></html>", "Hi there."),
+    ],
+)
+def test_head_left_open(model, html, text):
+    assert html_extract.main_text(html, model) == text
+
+
+def test_text_ends_an_open_head():
+    assert [x for _, x in html_extract.parse("<head><title>T</title>\n<script>a()</script> Plain text <p>and more").runs] == ["Plain text", "and more"]
+
+
 def test_extract_awkward_pages(spark, model):
     deep = "<div>" * 3000 + "<p>deep" + "</div>" * 3000
     pages = [(1, None), (2, ""), (3, "<<<>>>&&&"), (4, "<article><p>a" * 500), (5, deep), (5, deep), (6, "plain"), (7, "<!-- open")]
