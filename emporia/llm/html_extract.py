@@ -160,7 +160,7 @@ def parse(html: str) -> Page:
     for i, tag in enumerate(builder.tags):
         size, above = builder.lengths[i], builder.tags[builder.parents[i]] if i else ""
         own = ["tag " + tag, f"tag {above}>{tag}"]
-        own += ["name " + x for x in dict.fromkeys(builder.own[i])]
+        own += ["name " + x for x in dict.fromkeys(builder.own[i])] or ["unnamed " + tag]
         if size:
             own.append("size " + ("tiny" if size < 20 else "short" if size < 80 else "long"))
             share = builder.linked[i] / size

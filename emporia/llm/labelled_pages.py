@@ -65,41 +65,69 @@ def _other(rng: random.Random, kind: str) -> str:
     return f'<{tag} {box} data-content="0">{text if tag == "p" else inner}</{tag}>'
 
 
+def _heading(rng: random.Random) -> str:
+    tag = rng.choice(["h2", "h2", "h3", "h3", "h4", "h5", "h6"])
+    return f"<{tag}>{_words(rng, 1, 6)}</{tag}>"
+
+
+def _block(rng: random.Random) -> str:
+    """A block of an article."""
+    text = _words(rng, 1, 60)
+    if rng.random() < 0.2:
+        text = f"<b>{text}" + rng.choice(["</b>", "<br>"])
+    if rng.random() < 0.15:
+        text += f' <a href="/y">{_words(rng, 1, 3)}</a>'
+    kind = rng.random()
+    if kind < 0.57:
+        return f"<p>{text}" + rng.choice(["</p>", "</p>", "</p>", ""])
+    if kind < 0.64:
+        return _heading(rng)
+    if kind < 0.74:
+        tag = rng.choice(["ul", "ol"])
+        return f"<{tag}>" + "".join(f"<li>{_words(rng, 1, 15)}</li>" for _ in range(rng.randint(1, 4))) + f"</{tag}>"
+    if kind < 0.77:
+        return "<dl>" + "".join(f"<dt>{_words(rng, 1, 4)}</dt><dd>{_words(rng, 1, 20)}</dd>" for _ in range(rng.randint(1, 3))) + "</dl>"
+    if kind < 0.81:
+        return f"<blockquote>{text}</blockquote>"
+    if kind < 0.86:
+        head = rng.choice(["", f"<tr><th>{_words(rng, 1, 3)}</th><th>{_words(rng, 1, 3)}</th></tr>"])
+        return f"<table>{head}<tr><td>{_words(rng, 1, 5)}</td><td>{_words(rng, 1, 5)}</td></tr></table>"
+    if kind < 0.9:
+        return f'<figure><img src="/i"><figcaption>{_words(rng, 1, 20)}</figcaption></figure>'
+    if kind < 0.92:
+        return f"<pre>{text}</pre>"
+    if kind < 0.97:
+        return f"<div>{text}</div>"
+    return _other(rng, rng.choice(["ad", "share", "form", "sidebar"]))
+
+
+def _nested(rng: random.Random, parts: list[str]) -> list[str]:
+    """The blocks of an article below sections or plain divs, as they are laid out on many pages."""
+    out, at, tag = [], 0, rng.choice(["section", "div"])
+    while at < len(parts):
+        n = rng.randint(1, 4)
+        heading = _heading(rng) if rng.random() < (0.8 if tag == "section" else 0.2) else ""
+        out.append(f"<{tag}>{heading}{''.join(parts[at : at + n])}</{tag}>")
+        at += n
+    return [f"<div>{''.join(out)}</div>"] if rng.random() < 0.25 else out
+
+
 def _article(rng: random.Random) -> str:
-    parts = []
-    for _ in range(rng.randint(1, 7)):
-        text = _words(rng, 1, 60)
-        if rng.random() < 0.2:
-            text = f"<b>{text}" + rng.choice(["</b>", "<br>"])
-        if rng.random() < 0.15:
-            text += f' <a href="/y">{_words(rng, 1, 3)}</a>'
-        kind = rng.random()
-        if kind < 0.72:
-            parts.append(f"<p>{text}" + rng.choice(["</p>", "</p>", "</p>", ""]))
-        elif kind < 0.8:
-            parts.append(f"<h2>{_words(rng, 1, 6)}</h2>")
-        elif kind < 0.86:
-            parts.append("<ul>" + "".join(f"<li>{_words(rng, 1, 15)}</li>" for _ in range(rng.randint(1, 4))) + "</ul>")
-        elif kind < 0.9:
-            parts.append(f"<blockquote>{text}</blockquote>")
-        elif kind < 0.94:
-            parts.append(f"<table><tr><td>{_words(rng, 1, 5)}</td><td>{_words(rng, 1, 5)}</td></tr></table>")
-        elif kind < 0.97:
-            parts.append(f"<pre>{text}</pre>")
-        else:
-            parts.append(_other(rng, rng.choice(["ad", "share", "form", "sidebar"])))
+    parts = [_block(rng) for _ in range(rng.randint(1, 7))]
+    if rng.random() < 0.45:
+        parts = _nested(rng, parts)
     title = rng.choice(["", f"<h1>{_words(rng, 2, 9)}</h1>", f"<h1>{_words(rng, 2, 9)}</h1>", f"<header><h1>{_words(rng, 2, 9)}</h1></header>"])
-    if rng.random() < 0.1:
+    if rng.random() < 0.2:
         parts.append(_other(rng, "comments"))
     inner, name = title + "".join(parts), rng.choice(BODY)
     layout = rng.random()
-    if layout < 0.5:
+    if layout < 0.4:
         return f'<article data-content="1">{inner}</article>'
-    if layout < 0.65:
+    if layout < 0.52:
         return f'<main data-content="1">{inner}</main>'
-    if layout < 0.75:
+    if layout < 0.62:
         return f'<main><article data-content="1">{inner}</article></main>'
-    if layout < 0.9:
+    if layout < 0.84:
         return f'<div class="{name}" data-content="1">{inner}</div>'
     return f'<div id="{name}"><div class="{rng.choice(BODY)}" data-content="1">{inner}</div></div>'
 

@@ -260,6 +260,27 @@ def test_text_ends_an_open_head():
     assert [x for _, x in html_extract.parse("<head><title>T</title>\n<script>a()</script> Plain text <p>and more").runs] == ["Plain text", "and more"]
 
 
+SHELL = "<!DOCTYPE html><html><head><title>T</title></head><body><nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul></nav>{}<div class='sidebar'><h3>Most read</h3><p>A story of others</p></div><footer>&copy; us</footer></body></html>"
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ("<article><h1>Tea</h1><section><h3>Leaves</h3><p>They are dried in the sun.</p></section><section><h3>Water</h3><p>It should not boil.</p></section></article>", "Tea Leaves They are dried in the sun. Water It should not boil."),
+        ("<article><h1>Tea</h1><div><p>They are dried in the sun.</p><p>It should not boil.</p></div></article>", "Tea They are dried in the sun. It should not boil."),
+        ("<article><div><div><p>They are dried in the sun.</p></div><div>It should not boil.</div></div></article>", "They are dried in the sun. It should not boil."),
+        ("<main><h1>How to</h1><p>Three steps.</p><ol><li>Boil the water</li><li>Wait for a while</li></ol></main>", "How to Three steps. Boil the water Wait for a while"),
+        ("<article><h2>A</h2><p>Some words of text.</p><h4>B</h4><p>More words of text.</p><h5>C</h5><p>Last words.</p><h6>D</h6><p>End.</p></article>", "A Some words of text. B More words of text. C Last words. D End."),
+        ("<article><p>Some words of text.</p><dl><dt>Leaf</dt><dd>A part of a plant</dd></dl><figure><img src=x><figcaption>A cup of tea on a table</figcaption></figure></article>", "Some words of text. Leaf A part of a plant A cup of tea on a table"),
+        ("<article><p>Some words of text.</p><table><tr><th>Sort</th><th>Minutes</th></tr><tr><td>Green</td><td>Two</td></tr></table></article>", "Some words of text. Sort Minutes Green Two"),
+        ("<article><section><p>Some words of text.</p></section><section class='comments'><h3>Replies</h3><p>nice post</p></section></article>", "Some words of text."),
+        ("<div class='content'><section><h3>Leaves</h3><p>There are two ways to dry them.</p><ol><li>In the sun</li><li>In an oven</li></ol></section></div>", "Leaves There are two ways to dry them. In the sun In an oven"),
+    ],
+)
+def test_layouts_of_articles(model, body, text):
+    assert html_extract.main_text(SHELL.format(body), model) == text
+
+
 def test_extract_awkward_pages(spark, model):
     deep = "<div>" * 3000 + "<p>deep" + "</div>" * 3000
     pages = [(1, None), (2, ""), (3, "<<<>>>&&&"), (4, "<article><p>a" * 500), (5, deep), (5, deep), (6, "plain"), (7, "<!-- open")]
