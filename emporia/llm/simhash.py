@@ -15,7 +15,9 @@ other sets one. (Fewer differing bits are the same with steps left out.)
 The shuffle: a variant belongs to the bucket of its low bits. Most variants
 leave those bits alone, so a fingerprint is sent once to each bucket that one
 of its variants falls into (about 1 + b + b*b/8 for b bits), and the bucket's task
-writes the variants out again, sorts them and finds the collisions. At a
+writes the variants out again, sorts them and finds the collisions. Near copies
+may have mostly the same low bits; a bucket with more variants than a task
+should hold is split by further bits, as often as needed, by the same rule. At a
 shared variant one member at distance 0 or 1 is linked with all others (at
 most 1 + 2 bits away), which keeps every connection without listing all pairs;
 members that are all two bits away from the variant need no link here, as any
@@ -40,6 +42,9 @@ SEED = 42
 RADIUS = 3
 PER_BUCKET = 1024
 MOST_BITS = 24
+# Variants of one bucket, 12 bytes each and as much again to sort them; and bits that split a bucket with more.
+MOST_VARIANTS = 1 << 22
+SPLIT_BITS = 6
 _CHUNK = 1 << 16
 
 
@@ -71,35 +76,89 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: list[str] | None
     return map_batches(docs.drop("fp"), fn, {"fp": "bigint"}, [c for c in (keep or docs.columns) if c != "fp"])
 
 
-def bucketed(distinct: DataFrame, bits: int) -> DataFrame:
-    """(bucket, fp): each fingerprint at every bucket of ``bits`` low bits that one of its variants falls into."""
+def split(x: np.ndarray, bucket: np.ndarray, bits: int, more: int) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets of ``more`` low bits, fingerprints): each ``x`` at every part of its ``bucket`` (``bits`` bits) that one of its variants falls into."""
+    off = (x ^ bucket) & _mask(bits)
+    away, cleared = np.bitwise_count(off), (off & ~x) == 0
+    part = bucket | (x & _mask(more) & ~_mask(bits))
+    buckets, owners = [part], [x]
+    home, step = away == 0, (away == 1) & cleared
+    for p in range(bits, more):
+        bit = np.uint64(1 << p)
+        has = (x & bit) != 0
+        for mine in (home, step & has):
+            buckets.append(part[mine] ^ bit)
+            owners.append(x[mine])
+        for q in range(p + 1, more):
+            both = home & has & ((x & np.uint64(1 << q)) != 0)
+            buckets.append(part[both] ^ bit ^ np.uint64(1 << q))
+            owners.append(x[both])
+    return np.concatenate(buckets), np.concatenate(owners)
+
+
+def n_variants(x: np.ndarray, bucket: np.ndarray, bits: int) -> np.ndarray:
+    """How many variants of each ``x`` fall into its ``bucket``."""
+    off = (x ^ bucket) & _mask(bits)
+    away, cleared = np.bitwise_count(off), (off & ~x) == 0
+    has = np.bitwise_count(x & ~_mask(bits)).astype(np.int64)
+    return np.select([away == 0, (away == 1) & cleared], [1 + (64 - bits) + has * (has - 1) // 2, 1 + has], 1)
+
+
+def _mask(bits: int) -> np.uint64:
+    return np.uint64((1 << bits) - 1)
+
+
+def bucketed(distinct: DataFrame, bits: int, full: list[np.ndarray] | None = None, newest: bool = False) -> DataFrame:
+    """(bits, bucket, fp, n): each fingerprint at every bucket that one of its variants falls into, and how many do.
+
+    Buckets are those of ``bits`` low bits; of these ``full[0]`` (sorted) are
+    split by SPLIT_BITS more, of their parts ``full[1]`` again, and so on. With
+    ``newest`` only the parts of the last split.
+    """
+    full = full or []
+    shared = distinct.sparkSession.sparkContext.broadcast(full)
 
     def each(batches):
         for batch in batches:
-            x = batch.column(0).to_numpy().view(np.uint64)
-            low = x & np.uint64((1 << bits) - 1)
-            buckets, owners = [low], [x]
-            for p in range(bits):
-                bit = np.uint64(1 << p)
-                buckets.append(low ^ bit)
-                owners.append(x)
-                has = (low & bit) != 0
-                for q in range(p + 1, bits):
-                    both = has & ((low & np.uint64(1 << q)) != 0)
-                    buckets.append(low[both] ^ bit ^ np.uint64(1 << q))
-                    owners.append(x[both])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(buckets).view(np.int64)), pa.array(np.concatenate(owners).view(np.int64))],
-                names=["bucket", "fp"],
-            )
-
-    return distinct.select("fp").mapInArrow(each, "bucket bigint, fp bigint")
+            x, out = batch.column(0).to_numpy().view(np.uint64), []
+            now = bits
+            bucket, x = split(x, np.zeros(len(x), dtype=np.uint64), 0, now)
+            for again in shared.value:
+                place = np.minimum(np.searchsorted(again, bucket), len(again) - 1)
+                whole = again[place] != bucket
+                out.append((now, bucket[whole], x[whole]))
+                more = min(64, now + SPLIT_BITS)
+                bucket, x = split(x[~whole], bucket[~whole], now, more)
+                now = more
+            out = [*([] if newest else out), (now, bucket, x)]
+            for held, own, who in out:
+                n = n_variants(who, own, held)
+                cols = [np.full(len(who), held, dtype=np.int32), own.view(np.int64), who.view(np.int64), n.astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["bits", "bucket", "fp", "n"])
+
+    return distinct.select("fp").mapInArrow(each, "bits int, bucket bigint, fp bigint, n bigint")
+
+
+def full_buckets(distinct: DataFrame, bits: int, most: int = MOST_VARIANTS) -> list[np.ndarray]:
+    """What :func:`bucketed` has to split so that no bucket has more than ``most`` variants.
+
+    At most one bucket in ``most`` variants reaches the driver. A bucket of all
+    64 bits is one variant, which at most 2,081 fingerprints have.
+    """
+    out: list[np.ndarray] = []
+    for held in range(bits, 64, SPLIT_BITS):
+        found = bucketed(distinct, bits, out, newest=True).groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > most)
+        again = np.array([r["bucket"] for r in found.select("bucket").collect()], dtype=np.int64).view(np.uint64)
+        if not len(again):
+            break
+        out.append(np.sort(again))
+    return out
 
 
 def variants(x: np.ndarray, bucket: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Variants of ``x`` (uint64) that fall into the bucket, and whose they are; those within one bit come first."""
     one = [np.uint64(1 << p) for p in range(64)]
-    off = (x ^ np.uint64(bucket)) & np.uint64((1 << bits) - 1)
+    off = (x ^ np.uint64(bucket % (1 << 64))) & _mask(bits)
     away = np.bitwise_count(off)
     cleared = (off & ~x) == 0  # all bits that differ from the bucket's are set in x, so clearing them leads here
     who = np.arange(len(x), dtype=np.int32)
@@ -156,16 +215,20 @@ def collisions(x: np.ndarray, bucket: int, bits: int, radius: int = RADIUS) -> t
     return x[joined], x[label[joined]]
 
 
-def links(distinct: DataFrame, n: int | None = None) -> DataFrame:
-    """Edges (u, v) between distinct fingerprints (column ``fp``) that connect what is linked at 3 or fewer bits."""
+def links(distinct: DataFrame, n: int | None = None, most: int = MOST_VARIANTS) -> DataFrame:
+    """Edges (u, v) between distinct fingerprints (column ``fp``) that connect what is linked at 3 or fewer bits.
+
+    No task holds more than ``most`` variants of a bucket.
+    """
     n = distinct.count() if n is None else n
     bits = min(MOST_BITS, max(0, math.ceil(math.log2(max(1, n) / PER_BUCKET))))
 
     def fn(key, group):
-        u, v = collisions(group.column("fp").to_numpy().view(np.uint64), key[0].as_py(), bits)
+        u, v = collisions(group.column("fp").to_numpy().view(np.uint64), key[1].as_py(), key[0].as_py())
         return pa.table({"u": pa.array(u.view(np.int64)), "v": pa.array(v.view(np.int64))})
 
-    return bucketed(distinct, bits).groupBy("bucket").applyInArrow(fn, "u bigint, v bigint")
+    parts = bucketed(distinct, bits, full_buckets(distinct, bits, most)).select("bits", "bucket", "fp")
+    return parts.groupBy("bits", "bucket").applyInArrow(fn, "u bigint, v bigint")
 
 
 def classes(own: DataFrame) -> DataFrame:

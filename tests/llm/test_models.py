@@ -75,6 +75,32 @@ def test_links_join_exactly_what_is_near(spark, monkeypatch, per_bucket):
     assert partition(label) == partition(brute_components(fps))
 
 
+def test_buckets_of_near_copies_are_split(spark):
+    rng = random.Random(9)
+    base, fps = rng.getrandbits(64), set(planted_fingerprints(3))
+    for _ in range(600):  # near copies: the same low bits, but for a few
+        x = base
+        for b in [*rng.sample(range(20, 64), rng.randint(0, 4)), *rng.sample(range(20), rng.randint(0, 1))]:
+            x ^= 1 << b
+        fps.add(x)
+    fps |= {x ^ 1 << 63 for x in list(fps)[:50]}
+    frame = spark.createDataFrame([(int(np.uint64(x).astype(np.int64)),) for x in sorted(fps)], "fp bigint").repartition(3)
+    for bits, most in ((0, 20_000), (4, 3000)):
+        full = simhash.full_buckets(frame, bits, most)
+        assert full
+        rows = simhash.bucketed(frame, bits, full).toPandas()
+        assert rows.groupby(["bits", "bucket"]).n.sum().max() <= most
+        assert rows.n.sum() == simhash.bucketed(frame, 0).toPandas().n.sum()  # every variant is in one bucket
+        x, own = rows.fp.to_numpy().view(np.uint64), rows.bucket.to_numpy()
+        for i in rng.sample(range(len(rows)), 200):
+            assert len(simhash.variants(x[i : i + 1], int(own[i]), int(rows.bits[i]))[0]) == rows.n[i] > 0
+        edges = simhash.links(frame, most=most).collect()
+        label = {y: y for y in fps}
+        for r in components.connect(spark.createDataFrame(edges, "u bigint, v bigint")).collect():
+            label[r.node % 2**64] = r.root % 2**64
+        assert partition(label) == partition(brute_components(fps))
+
+
 def test_components_of_long_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5)]
     roots = {r.node: r.root for r in components.connect(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
