@@ -40,10 +40,15 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_ids_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix as token-id files, and per document what is read back from them."""
+    """The mix as token-id files in the order of training, and per document what is read back from them.
+
+    The order is that of the rows in the Parquet files of ``docs``. Files are
+    numbered with five digits or more, so a longer name comes later.
+    """
     prepare(spark)
     path = new_folder(spark, "token-files")
-    tokenids.write(docs, path)
+    name = F.col("_metadata.file_name")
+    tokenids.write(docs, path, order=[F.length(name), name, F.col("_metadata.row_index")])
     return tokenids.summary(spark, path)
 
 

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -202,8 +202,10 @@ PLAIN = "part int, seq int, doc_ids array<bigint>, lengths array<bigint>, ids bi
 BLOCKS = "part int, seq int, doc_ids array<bigint>, lengths array<bigint>, checkpoints array<bigint>, payload binary"
 
 
-def plain_blocks(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Blocks of plain ids of whole documents in ascending doc_id order (nulls first; equal ids by a hash of the text)."""
+def plain_blocks(
+    docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, block_ids: int = BLOCK_IDS, order: list[Column] | None = None
+) -> DataFrame:
+    """Blocks of plain ids of whole documents by ``order``, or in ascending doc_id order (nulls first; equal ids by a hash of the text)."""
 
     def each(batches):
         own, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
@@ -229,9 +231,11 @@ def plain_blocks(docs: DataFrame, tokenizer: str | None = None, end_id: int = EN
         if found:
             yield block()
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return ordered.mapInArrow(each, PLAIN)
+    own = [F.col("doc_id").cast("bigint"), F.xxhash64("text")] if order is None else order
+    keys = [f"_order_{i}" for i in range(len(own))]
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *[c.alias(k) for c, k in zip(own, keys)])
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return ordered.select("doc_id", "text").mapInArrow(each, PLAIN)
 
 
 def unsqueezed(data: bytes) -> np.ndarray:
@@ -256,15 +260,23 @@ def counts(plain: DataFrame) -> DataFrame:
     return plain.select("ids").mapInArrow(each, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, longest: int = LONGEST_CODE) -> None:
+def write(
+    docs: DataFrame,
+    path: str,
+    tokenizer: str | None = None,
+    end_id: int = END_ID,
+    longest: int = LONGEST_CODE,
+    order: list[Column] | None = None,
+) -> None:
     """Write the ids of all documents (doc_id, text; null text: empty) to the folder ``path``.
 
+    The files are in doc_id order, or in that of the columns ``order``.
     Every row gives at least its end id; repeated rows are written as often as
     they stand; an empty table gives empty tables. The id counts that reach the
     driver are bounded by the vocabulary.
     """
     spark = docs.sparkSession
-    plain = materialise(plain_blocks(docs, tokenizer, end_id), "token-ids")
+    plain = materialise(plain_blocks(docs, tokenizer, end_id, order=order), "token-ids")
     seen = sorted((r["id"], r["n"]) for r in counts(plain).collect())
     ids = np.array([x for x, _ in seen], dtype=np.int64)
     lengths = code_lengths(np.array([n for _, n in seen], dtype=np.int64), max(longest, int(max(1, len(seen) - 1)).bit_length()))

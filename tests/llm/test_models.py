@@ -363,6 +363,17 @@ def test_pipeline_stages_one_by_one(spark):
     assert sorted((r.doc_id, r.n_tokens) for r in seen["token_ids"].itertuples()) == want
 
 
+def test_token_files_are_in_training_order(spark):
+    from emporia.llm import mixing
+    from emporia.llm.common import materialise
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    want = [r.doc_id for r in mixing.mixture(docs).select("doc_id").collect()]
+    mixed = materialise(corpus_pipeline.mixing_stage(spark, docs, SF_SMALL), "test-mix")
+    got = corpus_pipeline.token_ids_stage(spark, mixed, SF_SMALL).orderBy("start").collect()
+    assert [r.doc_id for r in got] == want != sorted(want)
+
+
 def test_registered_queries(spark):
     import __spark_entry__ as entry
 
