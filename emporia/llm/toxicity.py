@@ -7,8 +7,8 @@ loss. A word that only names a group can then carry no weight of its own, so
 neutral mentions are not taken for toxic ones, even if the labelled toxic texts
 mention the group more often.
 
-Vocabulary statistics come from all chosen labelled rows in one distributed
-count. The fit itself is on a bounded sample: ``SAMPLE`` labelled rows per
+Vocabulary statistics and mentions come from all labelled rows that may be
+learnt from, in one distributed count. The fit itself is on a bounded sample: ``SAMPLE`` labelled rows per
 label (all rows, if there are fewer), chosen by a hash of the id; the intercept
 is corrected to the label shares of all labelled rows.
 """
@@ -29,6 +29,7 @@ from emporia.llm.common import map_batches, materialise, utf8
 SAMPLE = 15_000
 FEATURES = 4_000
 LEAST_ROWS = 4
+MENTION = -1
 PENALTY = 10.0
 RIDGE = 2e-5
 STEPS = 250
@@ -87,18 +88,35 @@ def _counted(texts: DataFrame, count, schema: str) -> DataFrame:
     return texts.mapInArrow(each, schema).groupBy(*names[:-1]).agg(F.sum(names[-1]).alias(names[-1]))
 
 
-def vocabulary(texts: DataFrame, rows: dict[int, int], features: int, identity: tuple[str, ...]) -> dict[bytes, float]:
-    """The ``features`` words whose presence parts the labels most clearly, by |z| of the log odds ratio, and the identity terms.
+def corpus_counts(texts: DataFrame, identity: tuple[str, ...]) -> DataFrame:
+    """(word, kind, n) over all rows of ``texts`` (label, text): a word's texts by label, and all texts by label as the empty word.
 
-    The value of a word is its |z| over the largest; identity terms have at least a tenth.
+    Of kind MENTION: the sentences with an identity term.
     """
+    named = {x.encode() for x in identity}
 
     def count(labels, batch):
-        return Counter((word, label) for label, text in zip(labels, batch) for word in set(tokens(text)))
+        out: Counter = Counter()
+        for label, text in zip(labels, batch):
+            found = set(tokens(text))
+            out.update((word, label) for word in found)
+            out[b"", label] += 1
+            if named & found:
+                for sentence in _SENTENCE.split(text):
+                    out.update((word, MENTION) for word in named & set(tokens(sentence)))
+        return out
+
+    return _counted(texts, count, "word binary,kind int,n bigint")
 
-    n = _counted(texts, count, "word binary,label int,n bigint")
-    n1 = F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0))
-    n0 = F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0))
+
+def vocabulary(n: DataFrame, rows: dict[int, int], features: int, identity: tuple[str, ...]) -> dict[bytes, float]:
+    """The ``features`` words whose presence parts the labels most clearly, by |z| of the log odds ratio, and the identity terms.
+
+    The value of a word is its |z| over the largest; identity terms have at least a tenth.
+    """
+    n = n.filter((F.length("word") > 0) & (F.col("kind") != MENTION))
+    n1 = F.sum(F.when(F.col("kind") == 1, F.col("n")).otherwise(0))
+    n0 = F.sum(F.when(F.col("kind") == 0, F.col("n")).otherwise(0))
     both = n.groupBy("word").agg(n1.alias("n1"), n0.alias("n0")).filter(F.col("n1") + F.col("n0") >= LEAST_ROWS)
     odds = F.log((F.col("n1") + 0.5) / (rows[1] - F.col("n1") + 0.5)) - F.log((F.col("n0") + 0.5) / (rows[0] - F.col("n0") + 0.5))
     z = odds / F.sqrt(1 / (F.col("n1") + 0.5) + 1 / (F.col("n0") + 0.5))
@@ -168,7 +186,8 @@ def fit(
 
     Null labels and ids are left out; of several labels of one id the largest
     counts. Without labelled rows, or with one label only, every text scores
-    by the labels' (smoothed) shares.
+    by the labels' (smoothed) shares. Words and mentions are counted over all
+    those rows; only the weights are solved for on at most ``most`` a label.
     """
     known = (labels.filter(learn) if learn is not None else labels).filter("label IS NOT NULL AND doc_id IS NOT NULL")
     known = materialise(known.groupBy("doc_id").agg(F.max("label").cast("int").alias("label")), "toxicity-labels")
@@ -177,24 +196,19 @@ def fit(
     # at most 2 x ``most`` ids and labels: a bounded broadcast, so that the texts stay where they are read
     texts = materialise(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text"), "toxicity-texts")
     held = {0: 0, 1: 0} | {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
-    words = vocabulary(texts, held, features, identity)
+    labelled = docs.select("doc_id", "text").join(known.filter("label IN (0, 1)"), "doc_id").select("label", "text")
+    n = materialise(corpus_counts(labelled, identity), "toxicity-counts")
+    apart = n.filter((F.length("word") == 0) | (F.col("kind") == MENTION)).collect()
+    every = {0: 0, 1: 0} | {r["kind"]: r["n"] for r in apart if not r["word"]}
+    words = vocabulary(n, every, features, identity)
     index = {w: i for i, w in enumerate(words)}
-    named = {x.encode(): index[x.encode()] for x in identity}
 
     def present(batch: pa.RecordBatch) -> list[pa.Array]:
         known_words = index.keys()
         found = [sorted(index[w] for w in known_words & set(tokens(x))) for x in utf8(batch.column("text"))]
         return [pa.array(found, pa.list_(pa.int32()))]
 
-    def mentioned(_, batch):
-        out: Counter = Counter()
-        for text in batch:
-            if named.keys() & set(tokens(text)):
-                for sentence in _SENTENCE.split(text):
-                    out.update((named[w],) for w in named.keys() & set(tokens(sentence)))
-        return out
-
-    mentions = {r["term"]: r["n"] for r in _counted(texts, mentioned, "term int,n bigint").collect()}
+    mentions = {index[bytes(r["word"])]: r["n"] for r in apart if r["word"]}
     made = map_batches(texts, present, {"words": "array<int>"}, ["label"]).collect()
     made = sorted((r["label"], tuple(r["words"])) for r in made)  # the same order of sums in every run
     y = np.array([r[0] for r in made], dtype=float)

@@ -191,6 +191,23 @@ def test_swapping_identity_terms_takes_their_weight(spark):
     assert fair.score([b"They are idiots and scum."])[0] > 0.5
 
 
+def test_toxicity_counts_over_all_labelled_rows(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(1200):
+        insult = "blockhead" if i % 2 and i % 40 == 1 else "scum" if i % 2 else ""
+        rows.append((i, f"{' '.join(rng.choices(['sun', 'tree', 'walk', 'read'], k=8))}. The jews {insult} here.", i % 2))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    labels = frame.select("doc_id", "label")
+    few = [r.doc_id for r in toxicity.sample(labels, 60).collect() if rows[r.doc_id][1].count("blockhead")]
+    assert 0 < len(few) < toxicity.LEAST_ROWS
+    model = toxicity.fit(frame.select("doc_id", "text"), labels, most=60)
+    assert model.weights[b"blockhead"] > 0.1
+    n = toxicity.corpus_counts(frame.select("label", "text"), ("jews",)).collect()
+    found = {(bytes(r.word), r.kind): r.n for r in n}
+    assert found[b"blockhead", 1] == 30 and found[b"jews", toxicity.MENTION] == 1200 and found[b"", 0] == found[b"", 1] == 600
+
+
 def test_classifiers_on_awkward_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (7, 0), (8, 1), (99, 1)], "doc_id bigint, label int")
     no_labels = labels.filter("false")
