@@ -300,6 +300,14 @@ def test_query_blocks_are_bounded_in_bytes():
     assert list(search.query_blocks([], 20_000)) == [[]]
 
 
+def test_index_shards_are_bounded_in_bytes(spark):
+    texts = ["word " * n for n in (10, 900, 10, 3000, 5, 200, 200, 200, 400, 0, 1)] * 4
+    index = search.build(documents(spark, texts).coalesce(1), shard_bytes=5000).collect()
+    assert sorted(i for r in index for i in r.doc_ids) == list(range(len(texts)))
+    assert all(len(r.doc_ids) == 1 or sum(len(texts[i]) for i in r.doc_ids) <= 5000 for r in index)
+    assert len({r.shard for r in index}) == len(index) < len(texts)
+
+
 def test_search_awkward_rows(odd, none):
     found = search.similar_documents(odd, odd)
     rows = {(r.query_id, r.doc_id) for r in found.collect()}
