@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import decontamination, html_extract, mixing, quality, search, sharding, simhash, substring, tokenids, toxicity
+from emporia.llm import decontamination, fim, html_extract, mixing, quality, search, sharding, simhash, substring, tokenids, toxicity
 from emporia.llm.common import crc_bucket, materialise, new_folder, prepare, table
 
 
@@ -80,6 +80,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return fim.digests(made)
+
+
 def _prepared(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(prepare(spark), sf_dir.rstrip("/"))
@@ -100,6 +105,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_substring,
         op9_search,
         op10_sharding,
+        op12_fim,
     )}
 
 

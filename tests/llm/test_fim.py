@@ -1,0 +1,77 @@
+"""Fill-in-the-middle against a plain loop over units, and its way back."""
+
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from emporia.llm import fim, queries
+from tests.llm.conftest import documents, sha256
+
+UNIT = re.compile(r"[A-Za-z]+|[^A-Za-z]")
+TEXTS = st.text(alphabet=st.sampled_from("aZ é\n\x00😀<P>SM1."), max_size=60)
+
+
+def brute(doc_id, text):
+    """The contract, unit by unit."""
+    text = text or ""
+    units = UNIT.findall(text)
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[8 * i : 8 * i + 8], 16) for i in range(4))
+    n = len(units)
+    if not text or h3 % 100 >= 90 or "<P>" in text or "<S>" in text or "<M>" in text:
+        return n, "plain", None, None, text
+    a, b = sorted([h1 % (n + 1), h2 % (n + 1)])
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    out = ("spm", f"<S>{suffix}<P>{prefix}<M>{middle}") if h4 % 100 < 20 else ("psm", f"<P>{prefix}<S>{suffix}<M>{middle}")
+    return n, out[0], len(prefix), len(middle), out[1]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.one_of(st.none(), st.integers(-5, 10**6)), TEXTS)
+def test_rewrite_is_the_contract(doc_id, text):
+    made = fim.rewrite(text, fim.Draws.of(doc_id))
+    assert (made.n, made.form, made.prefix_chars, made.middle_chars, made.output) == brute(doc_id, text)
+    assert fim.restore(made.output, made.form) == text
+
+
+@settings(max_examples=200, deadline=None)
+@given(TEXTS, st.integers(1, 9))
+def test_long_texts_are_matched_in_parts(text, longest):
+    whole = fim.unit_ends(text)
+    was, fim.LONGEST_MATCH = fim.LONGEST_MATCH, longest
+    try:
+        assert fim.unit_ends(text) == whole == [m.end() for m in UNIT.finditer(text)]
+    finally:
+        fim.LONGEST_MATCH = was
+
+
+def test_a_text_beyond_the_librarys_stack():
+    text = "1" * 11_000_000 + "tail"
+    made = fim.rewrite(text, fim.Draws(3, 10_999_999, 0, 0))
+    assert made.n == 11_000_001 and made.prefix_chars == 3 and fim.restore(made.output, made.form) == text
+
+
+def test_query_matches_brute_force(spark, tmp_path):
+    texts = ["", "one", "some <P> here", "Ein Satz, mit Zeichen! " * 30, "x" * 400, "\n\t 1"] * 40
+    docs = documents(spark, texts)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.all_queries()["op12_fim"](spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        n, form, prefix, middle, output = brute(i, text)
+        r = got[i]
+        assert (r.n, r.form, r.prefix_chars, r.middle_chars) == (n, form, prefix, middle)
+        assert r.output_sha256 == sha256(output) and r.restored_sha256 == sha256(text)
+    assert {r.form for r in got.values()} == {"plain", "psm", "spm"}
+
+
+@pytest.mark.parametrize("keep", [None, ["doc_id"]])
+def test_fim_awkward_rows(spark, odd, none, keep):
+    odd = odd.withColumn("n", odd.size).withColumn("Output", odd.size).withColumn("restored", odd.size)
+    made = fim.restored(fim.transform(odd, keep=keep)).collect()
+    want = sorted((repr(r.doc_id), *map(repr, brute(r.doc_id, r.text)), repr(r.text or "")) for r in odd.collect())
+    assert sorted((repr(r.doc_id), *map(repr, (r.n, r.form, r.prefix_chars, r.middle_chars, r.output)), repr(r[-1])) for r in made) == want
+    empty = fim.transform(none, keep=keep)
+    assert empty.count() == 0 and [c for c in empty.columns if c in fim.NEW] == list(fim.NEW)
