@@ -3,6 +3,14 @@
 Words are found and hashed for a whole batch of texts at once with numpy, so
 no Python object is made per word. Memory is bounded: bytes are hashed in
 pieces of a quarter megabyte, cut between words.
+
+A word is read in steps of eight bytes, and every step goes through a
+bijection whose output bits depend on all input bits; words of more than
+``LONG`` bytes are hashed by XXH3. A window is hashed by halves, each mixed
+before it is added to the other. No sum or polynomial of bytes or words is
+taken, so there are no texts whose hashes agree by algebra; unequal words or
+windows agree as random values do, one pair in 2^64. Hashes of two seeds are
+independent: where one would not do, the second makes it 128 bits.
 """
 
 from __future__ import annotations
@@ -10,10 +18,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 
 PIECE = 1 << 18
+LONG = 64
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_BYTE_VALUES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 @dataclass(frozen=True)
@@ -38,8 +47,16 @@ def _alphanumeric() -> Scheme:
     return Scheme(word, fold)
 
 
+def _lower_spaces() -> Scheme:
+    fold = np.arange(256, dtype=np.uint8)
+    fold[0x41:0x5B] += 0x20
+    return Scheme(_spaces().word, fold)
+
+
 #: ``[^\x20\x09-\x0D]+``, unchanged.
 SPACES = _spaces()
+#: ``[^\x20\x09-\x0D]+`` after lower-casing A-Z.
+LOWER_SPACES = _lower_spaces()
 #: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z. A byte of a code point above U+007F is a word byte.
 ALPHANUMERIC = _alphanumeric()
 
@@ -51,31 +68,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Powers:
-    """Powers of the multiplier, made as far as the longest word so far needs them."""
-
-    values = np.ones(1, dtype=np.uint64)
-
-    @classmethod
-    def upto(cls, n: int) -> np.ndarray:
-        while len(cls.values) < n:
-            step = cls.values[-1:] * _MULTIPLIER
-            cls.values = np.concatenate([cls.values, cls.values * step])
-        return cls.values
+def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hashes of two neighbours each, from those of the left and of the right one."""
+    return mixed(left * _MULTIPLIER + right)
 
 
-def _piece(data: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _piece(data: np.ndarray, scheme: Scheme, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = scheme.word[data]
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     edges = np.concatenate([[0][: int(len(data) > 0 and inside[0])], edges, [len(data)][: int(len(data) > 0 and inside[-1])]])
     starts, ends = edges[0::2].astype(np.int64), edges[1::2].astype(np.int64)
-    if not len(starts):
-        return starts, ends, np.zeros(0, dtype=np.uint64)
     lengths = ends - starts
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    place = np.arange(first[-1] + lengths[-1]) - np.repeat(first, lengths)
-    values = _BYTE_VALUES[scheme.fold[data[inside]]] * Powers.upto(int(lengths.max()))[place]
-    return starts, ends, mixed(np.add.reduceat(values, first) + lengths.astype(np.uint64))
+    folded = np.zeros(len(data) + 8, dtype=np.uint8)
+    folded[: len(data)] = scheme.fold[data]
+    eights = np.ndarray(len(data) + 1, dtype="<u8", buffer=folded, strides=(1,))  # the eight bytes from each place on
+    hashes = mixed(lengths.astype(np.uint64) ^ mixed(np.full(1, seed + 1, dtype=np.uint64)))
+    long = lengths > LONG
+    for i in np.flatnonzero(long).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(folded[starts[i] : ends[i]].tobytes(), seed)
+    now, at = np.flatnonzero(~long), 0
+    while len(now):
+        left = lengths[now] - at
+        unused = np.uint64(8) * (8 - np.minimum(left, 8)).astype(np.uint64)
+        hashes[now] = mixed(hashes[now] ^ (eights[starts[now] + at] << unused))
+        now, at = now[left > 8], at + 8
+    return starts, ends, hashes
 
 
 @dataclass(frozen=True)
@@ -91,13 +108,18 @@ class Words:
     def windows(self, n: int, hashes: np.ndarray | None = None) -> np.ndarray:
         """Hash of the ``n`` words from each word on; windows that leave the text are among them (see ``whole``)."""
         h = self.hashes if hashes is None else hashes
-        if len(h) < n:
+        count = len(h) - n + 1
+        if count <= 0:
             return np.zeros(0, dtype=np.uint64)
-        out = h[: len(h) - n + 1].copy()
-        for j in range(1, n):
-            out *= _MULTIPLIER
-            out += h[j : len(h) - n + 1 + j]
-        return mixed(out)
+        out, done, twos, width = None, 0, h, 1  # ``twos``: windows of ``width`` words, a power of two
+        while True:
+            if n & width:
+                part = twos[done : done + count]
+                out = mixed(part) if out is None else joined(out, part)
+                done += width
+            if done == n:
+                return out
+            twos, width = joined(twos[:-width], twos[width:]), 2 * width
 
     def whole(self, n: int) -> np.ndarray:
         """Does the window of ``n`` words from each word on stay in its text? As many as ``windows(n)`` has."""
@@ -111,7 +133,7 @@ class Words:
         return b" ".join(self.data[s:e].translate(table) for s, e in zip(self.starts[i : i + n], self.ends[i : i + n]))
 
 
-def words(texts: list[bytes], scheme: Scheme) -> Words:
+def words(texts: list[bytes], scheme: Scheme, seed: int = 0) -> Words:
     data = b"\n".join(texts)
     whole = np.frombuffer(data, dtype=np.uint8)
     starts, ends, hashes, at = [], [], [], 0
@@ -123,7 +145,7 @@ def words(texts: list[bytes], scheme: Scheme) -> Words:
                 to += int(gap[0])
                 break
             to = min(to + PIECE, len(whole))
-        s, e, h = _piece(whole[at:to], scheme)
+        s, e, h = _piece(whole[at:to], scheme, seed)
         starts.append(s + at)
         ends.append(e + at)
         hashes.append(h)
