@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import decontamination, fim, html_extract, mixing, quality, search, sharding, simhash, substring, tokenids, toxicity
+from emporia.llm import (
+    decontamination,
+    divergence,
+    fim,
+    html_extract,
+    mixing,
+    ngram_join,
+    quality,
+    search,
+    sharding,
+    simhash,
+    sql,
+    substring,
+    tokenids,
+    toxicity,
+)
 from emporia.llm.common import crc_bucket, materialise, new_folder, prepare, table
 
 
@@ -80,11 +95,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     return fim.digests(made)
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def _prepared(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(prepare(spark), sf_dir.rstrip("/"))
@@ -105,9 +128,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_substring,
         op9_search,
         op10_sharding,
+        op11_ngram_join,
         op12_fim,
+        op13_divergence,
     )}
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ALL)
