@@ -75,15 +75,34 @@ def as_of_date(as_of, frame: DataFrame, date_col: str) -> Column:
     An explicit ``as_of`` (date or 'YYYY-MM-DD') wins; otherwise the newest
     ``date_col`` of ``frame``, as a scalar subquery (one aggregate, evaluated
     once, no driver round trip). Using the data's own maximum instead of
-    ``current_date`` keeps windows reproducible on historic data.
+    ``current_date`` keeps windows reproducible on historic data. Of orders
+    stored by month only the newest month's dates are read.
     """
     if as_of is None:
+        if date_col == "order_date" and is_partition(frame, "order_ym"):
+            newest = frame.select(F.max("order_ym")).scalar()  # from partition values: no column is read
+            return frame.filter(F.col("order_ym") == newest).select(F.max(date_col)).scalar()
         return frame.select(F.max(date_col)).scalar()
     if isinstance(as_of, Column):
         return as_of
     return F.lit(str(as_of)).cast("date")
 
 
+#: Metadata of a column that a stored table is partitioned by.
+PARTITION = {"partition": True}
+
+
+def is_partition(frame: DataFrame, column: str) -> bool:
+    """Is ``column`` marked as one by which the stored ``frame`` is partitioned?"""
+    return any(f.name == column and f.metadata.get("partition") for f in frame.schema.fields)
+
+
+def between_days(ts: Column, days: int, as_of: Column) -> Column:
+    """``since`` for a timestamp, compared as one, so that the bound reaches the scan's filters."""
+    first, end = F.date_sub(as_of, int(days)), F.date_add(as_of, 1)
+    return (ts >= first.cast("timestamp_ntz")) & (ts < end.cast("timestamp_ntz"))
+
+
 def since(date_col: Column, days: int, as_of: Column) -> Column:
     """The closed window ``as_of - days <= date_col <= as_of``."""
     return date_col.between(F.date_sub(as_of, int(days)), as_of)

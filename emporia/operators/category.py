@@ -3,11 +3,12 @@ derived metrics, ranks, top list and discontinue candidates."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions import as_of_date, money_sum, month_bound, order_window, safe_div
-from emporia.functions.columns import MONEY, rounded, since
+from emporia.functions.columns import MONEY, between_days, rounded
+from emporia.operators.sequence import dense_ranks, written
 
 # Page defaults. Fixed values.
 DAYS = 180
@@ -33,7 +34,7 @@ def category_rollup(lines: DataFrame, orders: DataFrame, products: DataFrame, da
     used = ("order_id", "product_id", "qty", "line_gross", "line_net", "freight_value")
     if {"is_delivered", "order_ts"} <= set(lines.columns):
         # The line fact carries its order's flag and time: no join with the orders.
-        inside = since(F.to_date("order_ts"), days, ref) & month_bound(lines, days, ref)
+        inside = between_days(F.col("order_ts"), days, ref) & month_bound(lines, days, ref)
         chosen = lines.filter(F.col("is_delivered") & inside).select(*used)
     else:
         o = orders.filter(F.col("is_delivered") & order_window(orders, days, ref)).select("order_id")
@@ -76,21 +77,10 @@ def category_metrics(rollup: DataFrame, days: int = DAYS, min_orders: int = MIN_
     ).filter(F.col("orders_delivered") >= min_orders)
 
 
-def _dense_desc(metric: str):
-    # The ranked frame is the per-category rollup (one row per category), so a
-    # global window over it is small by construction.
-    w = Window.orderBy(F.desc_nulls_last(metric))
-    return F.when(F.col(metric).isNotNull(), F.dense_rank().over(w))
-
-
 def category_ranks(metrics: DataFrame) -> DataFrame:
     """Dense ranks, 1 = largest, for gmv, velocity and margin share (NULL metric: NULL rank)."""
-    return metrics.select(
-        "*",
-        _dense_desc("gmv").alias("rank_gmv"),
-        _dense_desc("velocity_units_per_day").alias("rank_velocity"),
-        _dense_desc("margin_pct_of_gmv").alias("rank_margin_pct"),
-    )
+    return dense_ranks(written(metrics, "category-metrics"), {
+        "gmv": "rank_gmv", "velocity_units_per_day": "rank_velocity", "margin_pct_of_gmv": "rank_margin_pct"})
 
 
 def category_top_n(metrics: DataFrame, top_n: int = TOP_N) -> DataFrame:

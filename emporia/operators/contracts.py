@@ -18,6 +18,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from emporia.sources.sinks import canonical_text
 
 
 @dataclass(frozen=True)
@@ -243,22 +246,31 @@ MODEL_KEYS = {
 }
 
 
+def _whole(columns) -> Column:
+    """The named columns of a row as one VARIANT, whatever the model."""
+    return F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("failed_row")
+
+
 def failing_rows(t: ModelTest, models: Mapping[str, DataFrame]) -> DataFrame:
-    """Keys of the rows failing one test (``unique``: one row per duplicated value)."""
+    """``(row_key, failed_row)`` of the rows failing one test.
+
+    ``unique`` gives one row per duplicated value, with the value and its
+    number of rows (``n_records``), so a value that all rows share is one row too.
+    """
     df = models[t.model]
     c = F.col(t.column)
     key = F.col(MODEL_KEYS[t.model]).cast("string").alias("row_key")
     if t.test == "not_null":
-        return df.filter(c.isNull()).select(key)
+        return df.filter(c.isNull()).select(key, _whole(df.columns))
     if t.test == "unique":
-        return (df.filter(c.isNotNull()).groupBy(c.alias("v")).count().filter(F.col("count") > 1)
-                .select(F.col("v").cast("string").alias("row_key")))
+        twice = df.filter(c.isNotNull()).groupBy(t.column).agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
+        return twice.select(c.cast("string").alias("row_key"), _whole([t.column, "n_records"]))
     if t.test == "relationships":
         pm, pc = t.arg.split(".")
         parent = models[pm].select(F.col(pc).alias("_pk"))
-        return df.filter(c.isNotNull()).join(parent, c == parent["_pk"], "left_anti").select(key)
+        return df.filter(c.isNotNull()).join(parent, c == parent["_pk"], "left_anti").select(key, _whole(df.columns))
     if t.test == "expression":
-        return df.filter(~F.expr(t.arg)).select(key)
+        return df.filter(~F.expr(t.arg)).select(key, _whole(df.columns))
     raise ValueError(t.test)
 
 
@@ -300,11 +312,16 @@ def _status():
             .when(F.col("severity") == "warn", "warn").otherwise("fail").alias("status"))
 
 
-FAILURE_SCHEMA = "column_name string, test string, arg string, severity string, row_key string, model string"
+FAILURE_SCHEMA = ("column_name string, test string, arg string, severity string, row_key string, failed_row variant, "
+                  "model string")
 
 
 def store_failures(models: Mapping[str, DataFrame], tests: Iterable[ModelTest] = MODEL_TESTS) -> DataFrame:
-    """All failing rows of all tests, tagged with their test (the quarantine table).
+    """All failing rows of all tests, whole, tagged with their test (the quarantine table).
+
+    ``failed_row`` is the row itself as a VARIANT: rows of all models fit into
+    one table, and each field can be read back with its type
+    (``variant_get(failed_row, '$.gmv', 'double')``).
 
     The row-level tests of one model are one pass over it: each row gives the
     array of the tests it fails. Unique and relationship tests have plans of
@@ -316,15 +333,28 @@ def store_failures(models: Mapping[str, DataFrame], tests: Iterable[ModelTest] =
         if t.test in ("not_null", "expression"):
             by_model.setdefault(t.model, []).append(t)
         else:
-            parts.append(failing_rows(t, models).select(*_test_cols(t), "row_key"))
+            parts.append(failing_rows(t, models).select(*_test_cols(t), "row_key", "failed_row"))
     for model, ts in by_model.items():
         failed = F.filter(F.array(*[F.when(_row_condition(t), F.struct(*_test_cols(t))) for t in ts]),
                           lambda x: x.isNotNull())
         key = F.col(MODEL_KEYS[model]).cast("string").alias("row_key")
-        parts.append(models[model].select(key, F.inline(failed)))
+        df = models[model]
+        failing = df.withColumn("_failed", failed).filter(F.size("_failed") > 0)
+        parts.append(failing.select(key, _whole(df.columns), F.inline("_failed")))
     return reduce(DataFrame.unionByName, parts)
 
 
+def failed_fields(failures: DataFrame) -> DataFrame:
+    """The quarantine table's rows field by field: ``field`` and ``value`` as text (doubles in whole millionths)."""
+    spark = failures.sparkSession
+    fields = spark.tvf.variant_explode(F.col("failed_row").outer())
+    kind = F.schema_of_variant("value")
+    text = F.when(kind == "DOUBLE", canonical_text(F.try_variant_get("value", "$", "double"), DoubleType())).otherwise(
+        F.try_variant_get("value", "$", "string"))
+    return failures.lateralJoin(fields).select(
+        "model", "column_name", "test", "arg", "severity", "row_key", F.col("key").alias("field"), text.alias("value"))
+
+
 def results_of(failures: DataFrame, tests: Iterable[ModelTest] = MODEL_TESTS) -> DataFrame:
     """The report of ``run_model_tests``, counted from stored failing rows."""
     names = ["model", "column_name", "test", "arg", "severity"]

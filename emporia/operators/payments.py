@@ -47,7 +47,8 @@ def payment_orders(orders: DataFrame, payments: DataFrame | None = None, days: i
                    profile: DataFrame | None = None) -> DataFrame:
     """Orders of the last ``days`` days with their payment profile (left join).
 
-    The profile is aggregated from ``payments`` (``payments_base``), or taken
+    The profile is aggregated from the ``payments`` (``payments_base``) of these
+    orders, the others being left out by a semi-join below the aggregate, or taken
     from a persisted ``order_payments`` table (``profile``), which is then
     pruned to the window's months like the orders.
     """
@@ -56,7 +57,8 @@ def payment_orders(orders: DataFrame, payments: DataFrame | None = None, days: i
         "order_id", "order_date", "status", "is_delivered", "is_canceled", "gmv", "payment_total"
     )
     if profile is None:
-        profile = order_payment_profile(payments)
+        # only payments of the window's orders are aggregated
+        profile = order_payment_profile(payments.join(o.select("order_id"), "order_id", "left_semi"))
     else:
         profile = profile.filter(month_bound(profile, days, ref)).select(
             "order_id", "installments", "methods_list", "primary_method")

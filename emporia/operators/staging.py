@@ -153,8 +153,8 @@ def stg_payments(raw: DataFrame) -> DataFrame:
     """``payment_seq`` numbers the payments of an order by value, largest first;
     ties are broken by the source sequence so the numbering is reproducible.
 
-    Numbered with ``sequence_within`` (range-partitioned, so an order with a
-    huge number of payments is spread over many tasks). Consumers that only
+    Numbered with ``sequence_within`` (by positions in range-partitioned data, so
+    an order with a huge number of payments is spread over many tasks). Consumers that only
     need the first payment use ``payment_rank_key`` on ``payments_base``,
     which is a plain map-side aggregate.
     """

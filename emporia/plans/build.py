@@ -14,15 +14,27 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporia.functions.columns import PARTITION
 from emporia.operators import contracts
 from emporia.plans.warehouse import Warehouse
 from emporia.session import shared_dir
 from emporia.sources.sinks import with_comments
 
-# Column descriptions stored with the persisted tables.
+# Table descriptions, and column descriptions, stored with the persisted tables.
+TABLE_DOCS: dict[str, str] = {
+    "dim_customers": "one row per customer, with first orders and their number",
+    "dim_products": "one row per product, with category and measures",
+    "fct_order_items": "one row per order line, with amounts and the order's flags",
+    "fct_orders": "one row per order, with totals of lines and payments",
+    "fct_deliveries": "one row per delivered order, with lead time and punctuality",
+    "fct_freight": "one row per delivered line, with freight share and lane distance",
+    "mrt_kpis_daily": "daily key figures of delivered orders",
+    "mrt_reviews": "daily review scores and the penalty of late deliveries",
+    "order_payments": "one row per order with payments: methods and installments",
+}
 DOCS: dict[str, dict[str, str]] = {
     "dim_customers": {
         "customer_id": "customer key",
@@ -94,12 +106,58 @@ def materialize(wh: Warehouse, out_dir: str | None = None, tables: Sequence[str]
         else:
             writer = df.write.mode("overwrite")
         writer.parquet(path)
-        persisted = spark.read.parquet(path)
-        wh.replace(name, persisted.select(*keep))
+        wh.replace(name, stored(df.select(*keep), path, parts.get(name)))
         paths[name] = path
     return paths
 
 
+def stored(like: DataFrame, path: str, partition: str | None = None) -> DataFrame:
+    """The table at ``path`` (it may be without any file) with the columns of ``like``, its partition column marked as such."""
+    return like.sparkSession.read.schema(like.schema).parquet(path).select(
+        *[F.col(c).alias(c, metadata=PARTITION) if c == partition else F.col(c) for c in like.columns])
+
+
+def publish(wh: Warehouse, paths: Mapping[str, str], database: str) -> str:
+    """Persisted tables as external tables of ``database`` in the catalog, with descriptions of tables and columns."""
+    spark = next(iter(wh.raw.values())).sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{new_build_dir(wh, 'catalog')}'")
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    for name, path in paths.items():
+        docs = DOCS.get(name, {})
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT {quoted(docs[f.name])}" if f.name in docs else "")
+            for f in spark.read.parquet(path).schema.fields)
+        by = f"PARTITIONED BY (`{PARTITIONS[name]}`)" if name in PARTITIONS else ""
+        about = f"COMMENT {quoted(TABLE_DOCS[name])}" if name in TABLE_DOCS else ""
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` ({columns}) USING parquet {by} {about} LOCATION {quoted(path)}")
+        if by:
+            spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
+    return database
+
+
+def describe(wh: Warehouse, database: str) -> DataFrame:
+    """``(table_name, column_name, description, filled)`` of all described tables (column '') and columns of ``database``.
+
+    Descriptions are the catalog's; ``filled`` counts the table's rows, or
+    those with a value in the column, in one aggregate per table.
+    """
+    spark = next(iter(wh.raw.values())).sparkSession
+    parts = []
+    for t in spark.catalog.listTables(database):
+        rows = [("", t.description, F.count(F.lit(1)))]
+        rows += [(c.name, c.description, F.count(f"`{c.name}`"))
+                 for c in spark.catalog.listColumns(f"{database}.{t.name}") if c.description]
+        counts = spark.table(f"`{database}`.`{t.name}`").agg(*[n.alias(f"c{i}") for i, (_, _, n) in enumerate(rows)])
+        parts.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(t.name).alias("table_name"), F.lit(column).alias("column_name"),
+                     F.lit(text).cast("string").alias("description"), F.col(f"c{i}").alias("filled"))
+            for i, (column, text, _) in enumerate(rows)]))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def build_summary(wh: Warehouse, paths: Mapping[str, str]) -> DataFrame:
     """``(table_name, rows)`` of the persisted tables (Parquet row counts)."""
     spark = next(iter(wh.raw.values())).sparkSession
@@ -125,7 +183,7 @@ def persist_frame(df: DataFrame, name: str) -> DataFrame:
 
 
 def store_test_failures(wh: Warehouse, out_dir: str) -> DataFrame:
-    """Run the model tests once, keep every failing row key in the quarantine
+    """Run the model tests once, keep every failing row, whole, in the quarantine
     table ``<out_dir>/test_failures`` (partitioned by model), and return that table."""
     models = {name: getattr(wh, name) for name in contracts.MODEL_KEYS}
     path = f"{out_dir.rstrip('/')}/test_failures"

@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from emporia.functions import money_sum
 from emporia.operators import marts, staging
-from emporia.plans.build import build_summary, materialize, new_build_dir, persist_frame, persist_model
+from emporia.plans.build import (
+    build_summary,
+    describe,
+    materialize,
+    new_build_dir,
+    persist_frame,
+    persist_model,
+    publish,
+    store_test_failures,
+)
+from emporia.plans.refresh import refresh
 from emporia.sources import csv as csv_source
 from emporia.sources import sinks
 from emporia.plans.catalog import register
@@ -271,7 +284,15 @@ def q_model_tests(wh: Warehouse):
 
 @register("store_failures")
 def q_store_failures(wh: Warehouse):
-    return contracts.store_failures(_models(wh))
+    return contracts.store_failures(_models(wh)).drop("failed_row")
+
+
+@register("failed_rows")
+def q_failed_rows(wh: Warehouse):
+    """The quarantine table as it is stored: every failing row, read back field by field."""
+    for name, df in _models(wh).items():
+        wh.replace(name, df)
+    return contracts.failed_fields(store_test_failures(wh, new_build_dir(wh, "failures")))
 
 
 @register("mart_sanity")
@@ -300,8 +321,9 @@ def q_ingest_summary(wh: Warehouse):
         sinks.write_csv(wh.raw[table], f"{folder}/{fname}")
     spark = wh.raw["raw_orders"].sparkSession
     tables = csv_source.ingest_folder(spark, folder, csv_source.OLIST_FILES, csv_source.RAW_SCHEMAS)
-    csv_source.register_raw(tables)
-    return csv_source.ingest_summary(tables)
+    stored, summary = csv_source.store_raw(tables, new_build_dir(wh, "raw"))
+    csv_source.register_raw(stored)
+    return summary
 
 
 @register("mart_build")
@@ -310,6 +332,41 @@ def q_mart_build(wh: Warehouse):
     return build_summary(wh, materialize(wh))
 
 
+@register("mart_schema_doc")
+def q_mart_schema_doc(wh: Warehouse):
+    """A build published in the catalog: descriptions of tables and columns as the catalog has them, with the rows that fill each."""
+    paths = materialize(wh, tables=wh.buildable())
+    return describe(wh, publish(wh, paths, f"emporia_{uuid.uuid4().hex}"))
+
+
+REFRESHED_MONTHS = ("1995-06", "1997-01")
+
+
+def repriced(raw: dict, months=REFRESHED_MONTHS) -> dict:
+    """``raw`` with the prices of some months' orders doubled."""
+    ym = F.date_format("order_purchase_timestamp", "yyyy-MM")
+    orders = raw["raw_orders"].filter(ym.isin(*months)).select("order_id", F.lit(2.0).alias("_by"))
+    items = raw["raw_order_items"]
+    price = (F.col("price") * F.coalesce("_by", F.lit(1.0))).alias("price")
+    joined = items.join(orders, "order_id", "left")
+    return raw | {"raw_order_items": joined.select(*[price if c == "price" else c for c in items.columns])}
+
+
+@register("mart_refresh")
+def q_mart_refresh(wh: Warehouse):
+    """A build, then two months' prices change and only those months are built anew: stored totals by month, and the daily KPIs' by month."""
+    out = new_build_dir(wh, "refresh")
+    materialize(wh, out)
+    newer = Warehouse(repriced(wh.raw))
+    ym = F.date_format("order_purchase_timestamp", "yyyy-MM")
+    changed = newer.raw["raw_orders"].filter(ym.isin(*REFRESHED_MONTHS)).select("order_id")
+    refresh(newer, out, changed)
+    orders = newer.fct_orders.groupBy("order_ym").agg(F.count(F.lit(1)).alias("orders"), money_sum("gmv").alias("gmv"))
+    lines = newer.fct_order_items.groupBy("order_ym").agg(money_sum("line_net").alias("line_net"))
+    days = newer.mrt_kpis_daily.groupBy(F.date_format("kpi_date", "yyyy-MM").alias("order_ym")).agg(money_sum("gmv").alias("kpi_gmv"))
+    return orders.join(lines, "order_ym", "left").join(days, "order_ym", "left")
+
+
 OUTLIER_SCHEMA = ("order_id string, order_item_id string, seller_id string, product_id string, "
                   "distance_km double, freight_pct double, y_hat double, resid double, z_resid double")
 

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -175,6 +175,23 @@ def ingest_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
     return counts.select(F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"), "rows")
 
 
+def store_raw(tables: Mapping[str, DataFrame], out_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The tables written as Parquet under ``out_dir``, and the summary of ``ingest_summary`` for them.
+
+    Rows are counted by an ``Observation`` while they are written, so every
+    source file is read once; only one number per table reaches the driver.
+    """
+    out_dir, stored, rows = out_dir.rstrip("/"), {}, []
+    spark = next(iter(tables.values())).sparkSession
+    for name, df in tables.items():
+        counted = Observation(name)
+        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{out_dir}/{name}")
+        rows.append((name, counted.get["rows"]))
+        stored[name] = spark.read.schema(df.schema).parquet(f"{out_dir}/{name}")
+    rows.append(("TOTAL", sum(n for _, n in rows)))
+    return stored, spark.createDataFrame(rows, "table_name string, rows bigint")
+
+
 def table_health(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """(table_name, present): which of the expected tables / views exist in the session catalog."""
     return spark.createDataFrame([(n, spark.catalog.tableExists(n)) for n in names], "table_name string, present boolean")
