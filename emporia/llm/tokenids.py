@@ -86,6 +86,18 @@ class Encoder:
         return np.frombuffer(b"".join([*map(self.words.__getitem__, found), end]), dtype="<u4")
 
 
+def _lowered(letters: str) -> str:
+    """What the tokenizer's normaliser makes of a run of letters; empty where more than letters, or other ones, may come out of it.
+
+    Letters that NFC takes apart, and capitals whose lower case is a letter and
+    a mark (U+0130), would join the marks behind them; a last Σ depends on what follows.
+    """
+    if "Σ" in letters or not unicodedata.is_normalized("NFC", letters):
+        return ""
+    low = letters.lower()
+    return low if low.isalpha() else ""
+
+
 class _Words(dict):
     """Word -> its ids as bytes; holds the words of late, in two generations."""
 
@@ -106,10 +118,10 @@ class _Words(dict):
 
     def encode(self, word: str) -> bytes:
         if word.isalpha():
-            if "Σ" not in word and unicodedata.is_normalized("NFC", word) and (low := word.lower()).isalpha():
+            if low := _lowered(word):
                 found = self.model.tokenize(low.encode().decode("latin-1").translate(_BYTE_LEVEL))
                 return b"".join([self.packed[t.id] for t in found])
-        elif two := _LETTERS_MARKS.fullmatch(word):  # a run of letters, then one of marks: two pieces
+        elif (two := _LETTERS_MARKS.fullmatch(word)) and _lowered(two[1]):  # a run of letters, then one of marks: two pieces
             return self[two[1]] + self[two[2]]
         return b"".join([self.packed[x] for x in self.tokenizer.encode(word, add_special_tokens=False).ids])
 
