@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.llm.common import materialise, utf8
-from emporia.llm.wordhash import SPACES, Words, mixed, words
+from emporia.llm.wordhash import SPACES, Words, joined, words
 
 WINDOW = 20
 SHORTEST = 10
@@ -72,6 +73,18 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(each, BLOCK)
 
 
+@dataclass(frozen=True)
+class Level:
+    """Windows of a block at one length: their places, and the distinct ones (two hashes, first index, times); window i is ``which[i]``."""
+
+    places: np.ndarray
+    distinct: np.ndarray
+    second: np.ndarray
+    first: np.ndarray
+    which: np.ndarray
+    often: np.ndarray
+
+
 class Open:
     """A block opened in a task: its texts, and the candidates that the levels so far have left."""
 
@@ -81,9 +94,9 @@ class Open:
         self.texts = [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
         self.words: Words = words(self.texts, SPACES)
 
-    def at_level(self, lengths: list[int], answers: dict[int, dict[int, bytes]], bits: int):
-        """Windows of the last of ``lengths`` that survive the earlier levels' answers: start, hash, distinct hashes, which."""
-        places, hashes = None, None
+    def at_level(self, lengths: list[int], answers: dict[int, dict[int, bytes]], bits: int, whole: bool = False) -> Level:
+        """Windows of the last of ``lengths`` that survive the earlier levels' answers; ``whole``: told apart by 128 bits."""
+        places, hashes, repeated = None, None, None
         for level, n in enumerate(lengths):
             if places is None:
                 places = np.flatnonzero(self.words.whole(n))
@@ -93,14 +106,21 @@ class Open:
                 alive = np.zeros(len(known), dtype=bool)
                 known[places], alive[places] = hashes, repeated
                 inside = np.zeros(len(known), dtype=bool)
-                whole = self.words.whole(n)
-                inside[: len(whole)] = whole
+                fits = self.words.whole(n)
+                inside[: len(fits)] = fits
                 places = places[repeated & alive[places + n // 2] & inside[places]]
-                hashes = mixed(known[places] * np.uint64(0x9E3779B97F4A7C15) + known[places + n // 2])
-            distinct, first, which, often = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+                hashes = joined(known[places], known[places + n // 2])
             if level + 1 < len(lengths):
+                distinct, which, often = np.unique(hashes, return_inverse=True, return_counts=True)
                 repeated = ((often > 1) | answered(distinct, answers.get(level, {}), bits))[which]
-        return places, distinct, first, which
+        second = words(self.texts, SPACES, seed=1).windows(lengths[-1])[places] if whole and len(places) else np.zeros(len(places), dtype=np.uint64)
+        order = np.lexsort((second, hashes))
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
+        first = order[new]  # equal ones keep their order, so these are the first places
+        which = np.empty(len(order), dtype=np.int64)
+        which[order] = np.cumsum(new) - 1
+        return Level(places, hashes[first], second[first], first, which, np.bincount(which, minlength=len(first)))
 
     def sent(self, distinct: np.ndarray, bits: int):
         """(bucket, range of ``distinct``) for every bucket that gets some."""
@@ -136,24 +156,26 @@ ANSWER = "block bigint, level int, bucket int, answer binary"
 def entries(packed: DataFrame, flags: DataFrame | None, lengths: list[int], bits: int, width: int) -> DataFrame:
     """What the blocks send at the last of ``lengths``: one row per block and bucket.
 
-    ``width`` bytes of hash below the bucket's bits for a count (``docs`` empty), or 0
-    for the last level: whole hashes, and the doc_id of each one's first place.
+    ``width`` bytes of hash below the bucket's bits for a count (with a bit for
+    each: more than once in the block?), or 0 for the last level: both whole
+    hashes, and the doc_id of each one's first place.
     """
     schema = "bucket int, block bigint, hashes binary, docs binary"
 
     def rows(own: Open, answers):
-        places, distinct, first, _ = own.at_level(lengths, answers, bits)
+        at = own.at_level(lengths, answers, bits, whole=not width)
         if not width:
-            doc = np.searchsorted(own.words.first, places[first], side="right") - 1
+            doc = np.searchsorted(own.words.first, at.places[at.first], side="right") - 1
             ids = own.doc_ids[doc]
         out = []
-        for bucket, a, b in own.sent(distinct, bits):
-            h = distinct[a:b]
+        for bucket, a, b in own.sent(at.distinct, bits):
+            h = at.distinct[a:b]
             if width:
                 kept = (h << np.uint64(bits)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width]
-                out.append((bucket, own.block, kept.tobytes(), b""))
+                out.append((bucket, own.block, kept.tobytes(), np.packbits(at.often[a:b] > 1).tobytes()))
             else:
-                out.append((bucket, own.block, h.astype("<u8").tobytes(), ids[a:b].astype("<i8").tobytes()))
+                both = np.stack([h, at.second[a:b]], axis=1)
+                out.append((bucket, own.block, both.astype("<u8").tobytes(), ids[a:b].astype("<i8").tobytes()))
         cols = list(zip(*out)) or [[], [], [], []]
         return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "block", "hashes", "docs"])
 
@@ -178,7 +200,7 @@ def opened(packed: DataFrame, flags: DataFrame | None, fn, schema: str) -> DataF
 
 
 def repeated_anywhere(sent: DataFrame, level: int, width: int) -> DataFrame:
-    """For each entry one bit: do two blocks (or two entries cut to the same bytes) have it?"""
+    """For each entry one bit: is it in two blocks (or two entries cut to the same bytes), or twice in its own?"""
 
     def fn(table):
         counts = [len(x) // width for x in table.column("hashes").to_pylist()]
@@ -186,7 +208,8 @@ def repeated_anywhere(sent: DataFrame, level: int, width: int) -> DataFrame:
         wide = np.zeros((len(raw), 8), dtype=np.uint8)
         wide[:, :width] = raw
         _, which, often = np.unique(wide.view(">u8").ravel().astype(np.uint64), return_inverse=True, return_counts=True)
-        return _bits(table, level, counts, (often > 1)[which])
+        twice = [np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=n) for x, n in zip(table.column("docs").to_pylist(), counts)]
+        return _bits(table, level, counts, (often > 1)[which] | np.concatenate(twice).astype(bool))
 
     return sent.groupBy("bucket").applyInArrow(fn, ANSWER)
 
@@ -195,14 +218,14 @@ def not_first(sent: DataFrame, level: int) -> DataFrame:
     """For each entry one bit: does its window start earlier in another block (smaller doc_id; equal ids: by block)?"""
 
     def fn(table):
-        parts = [np.frombuffer(x, dtype="<u8") for x in table.column("hashes").to_pylist()]
-        hashes = np.concatenate(parts)
+        parts = [np.frombuffer(x, dtype="<u8").reshape(-1, 2) for x in table.column("hashes").to_pylist()]
+        hashes, second = np.concatenate(parts).T
         docs = np.concatenate([np.frombuffer(x, dtype="<i8") for x in table.column("docs").to_pylist()])
         counts = list(map(len, parts))
         block = np.repeat(table.column("block").to_numpy(), counts)
-        order = np.lexsort((block, docs, hashes))
+        order = np.lexsort((block, docs, second, hashes))
         later = np.zeros(len(hashes), dtype=bool)
-        later[order[1:]] = hashes[order[1:]] == hashes[order[:-1]]
+        later[order[1:]] = (hashes[order[1:]] == hashes[order[:-1]]) & (second[order[1:]] == second[order[:-1]])
         return _bits(table, level, counts, later)
 
     return sent.groupBy("bucket").applyInArrow(fn, ANSWER)
@@ -243,22 +266,25 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST,
     bits = min(MOST_BITS, max(0, math.ceil(math.log2(max(1, total) / PER_BUCKET))))
     width = min(8, max(1, math.ceil((math.log2(max(2, total)) + SPARE_BITS - bits) / 8)))
     flags: DataFrame | None = None
-    for level in range(len(lengths) - 1):
+    last = len(lengths) - 1
+    for level in range(last):
         found = repeated_anywhere(entries(packed, flags, lengths[: level + 1], bits, width), level, width)
         found = materialise(found, f"substring-level-{lengths[level]}")
         flags = found if flags is None else flags.union(found)
-    last = len(lengths) - 1
-    final = not_first(entries(packed, flags, lengths, bits, 0), last)
-    final = final if flags is None else flags.union(final)
+        if not found.limit(1).count():  # no candidate survives
+            break
+    else:
+        final = not_first(entries(packed, flags, lengths, bits, 0), last)
+        flags = final if flags is None else flags.union(final)
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", text string" if keep_text else "")
 
     def rows(own: Open, answers):
-        places, distinct, first, which = own.at_level(lengths, answers, bits)
-        later = np.ones(len(places), dtype=bool)
-        later[first] = answered(distinct, answers.get(last, {}), bits)
+        at = own.at_level(lengths, answers, bits, whole=True)
+        later = np.ones(len(at.places), dtype=bool)
+        later[at.first] = answered(at.distinct, answers.get(last, {}), bits)
         edge = np.zeros(len(own.words.hashes) + 1, dtype=np.int64)
-        np.add.at(edge, places[later], 1)
-        np.add.at(edge, places[later] + window, -1)
+        np.add.at(edge, at.places[later], 1)
+        np.add.at(edge, at.places[later] + window, -1)
         gone = np.cumsum(edge[:-1]) > 0
         out, begins = [], np.cumsum([0] + [len(x) + 1 for x in own.texts])
         for i, text in enumerate(own.texts):
@@ -274,4 +300,4 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST,
         names = ["doc_id", "n_words", "n_removed", "kept_sha256", "text"]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names[: len(out[0])])
 
-    return opened(packed, final, rows, schema)
+    return opened(packed, flags, rows, schema)
