@@ -8,9 +8,14 @@ neutral mentions are not taken for toxic ones, even if the labelled toxic texts
 mention the group more often.
 
 Vocabulary statistics and mentions come from all labelled rows that may be
-learnt from, in one distributed count. The fit itself is on a bounded sample: ``SAMPLE`` labelled rows per
-label (all rows, if there are fewer), chosen by a hash of the id; the intercept
-is corrected to the label shares of all labelled rows.
+learnt from, in one distributed count. The fit itself is on a bounded sample:
+``SAMPLE`` labelled rows per label (all rows, if there are fewer), chosen by a
+hash of the id; the intercept is corrected to the label shares of all labelled
+rows.
+
+Texts stay where they are read. What goes into the join with the labels is a
+document's distinct words and its mentions, compressed; by the same shuffled
+join at every size.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,40 +79,51 @@ def sample(labels: DataFrame, most: int = SAMPLE) -> DataFrame:
     return parts[0].union(parts[1])
 
 
-def _counted(texts: DataFrame, count, schema: str) -> DataFrame:
-    """``count(labels, texts)`` gives a Counter of keys for each batch; adds them up over the table."""
-    names = [x.split()[0] for x in schema.split(",")]
-    kinds = {"int": pa.int32(), "binary": pa.binary(), "bigint": pa.int64()}
-    types = [kinds[x.split()[1]] for x in schema.split(",")]
+def packed(text: bytes, named: frozenset[bytes]) -> bytes:
+    """The distinct words of a text, a line each, and after an empty line the words of ``named`` once for each sentence with them."""
+    found = set(tokens(text))
+    mentions = [w for sentence in _SENTENCE.split(text) for w in sorted(named & set(tokens(sentence)))] if named & found else []
+    return b"\n".join(sorted(found)) + b"\n\n" + b"\n".join(mentions)
+
+
+def unpacked(data: bytes) -> tuple[list[bytes], list[bytes]]:
+    """The distinct words and the mentions of a text."""
+    found, _, mentions = data.partition(b"\n\n")
+    return found.split(b"\n") if found else [], mentions.split(b"\n") if mentions else []
 
-    def each(batches):
-        for batch in batches:
-            found = count(batch.column("label").to_pylist(), utf8(batch.column("text")))
-            cols = list(zip(*((*key, n) for key, n in found.items()))) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
-    return texts.mapInArrow(each, schema).groupBy(*names[:-1]).agg(F.sum(names[-1]).alias(names[-1]))
+def words_of(docs: DataFrame, identity: tuple[str, ...]) -> DataFrame:
+    """(doc_id, words): what ``packed`` makes of each text, compressed."""
+    named = frozenset(x.encode() for x in identity)
 
+    def fn(batch: pa.RecordBatch, squeeze) -> list[pa.Array]:
+        return [pa.array([squeeze.compress(packed(x, named)) for x in utf8(batch.column("text"))], pa.binary())]
 
-def corpus_counts(texts: DataFrame, identity: tuple[str, ...]) -> DataFrame:
-    """(word, kind, n) over all rows of ``texts`` (label, text): a word's texts by label, and all texts by label as the empty word.
+    slim = docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
+    return map_batches(slim, fn, {"words": "binary"}, ["doc_id"], setup=lambda: zstandard.ZstdCompressor(level=3))
+
+
+def corpus_counts(words: DataFrame) -> DataFrame:
+    """(word, kind, n) over all rows of ``words`` (label, words): a word's texts by label, and all texts by label as the empty word.
 
     Of kind MENTION: the sentences with an identity term.
     """
-    named = {x.encode() for x in identity}
 
-    def count(labels, batch):
-        out: Counter = Counter()
-        for label, text in zip(labels, batch):
-            found = set(tokens(text))
-            out.update((word, label) for word in found)
-            out[b"", label] += 1
-            if named & found:
-                for sentence in _SENTENCE.split(text):
-                    out.update((word, MENTION) for word in named & set(tokens(sentence)))
-        return out
+    def each(batches):
+        open_ = zstandard.ZstdDecompressor()
+        for batch in batches:
+            out: Counter = Counter()
+            for label, data in zip(batch.column("label").to_pylist(), batch.column("words").to_pylist()):
+                found, mentions = unpacked(open_.decompress(data))
+                out.update((word, label) for word in found)
+                out[b"", label] += 1
+                out.update((word, MENTION) for word in mentions)
+            cols = list(zip(*((*key, n) for key, n in out.items()))) or [[], [], []]
+            kinds = pa.binary(), pa.int32(), pa.int64()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["word", "kind", "n"])
 
-    return _counted(texts, count, "word binary,kind int,n bigint")
+    found = words.select("label", "words").mapInArrow(each, "word binary, kind int, n bigint")
+    return found.groupBy("word", "kind").agg(F.sum("n").alias("n"))
 
 
 def vocabulary(n: DataFrame, rows: dict[int, int], features: int, identity: tuple[str, ...]) -> dict[bytes, float]:
@@ -186,31 +203,33 @@ def fit(
 
     Null labels and ids are left out; of several labels of one id the largest
     counts. Without labelled rows, or with one label only, every text scores
-    by the labels' (smoothed) shares. Words and mentions are counted over all
-    those rows; only the weights are solved for on at most ``most`` a label.
+    by the labels' (smoothed) shares; so it does where a table is empty. Words
+    and mentions are counted over all those rows, repeated ones each; only the
+    weights are solved for on at most ``most`` a label (rows of repeated ids
+    all with it).
     """
     known = (labels.filter(learn) if learn is not None else labels).filter("label IS NOT NULL AND doc_id IS NOT NULL")
     known = materialise(known.groupBy("doc_id").agg(F.max("label").cast("int").alias("label")), "toxicity-labels")
     rows = {0: 0, 1: 0} | {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    chosen = sample(known, most)
-    # at most 2 x ``most`` ids and labels: a bounded broadcast, so that the texts stay where they are read
-    texts = materialise(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text"), "toxicity-texts")
-    held = {0: 0, 1: 0} | {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
-    labelled = docs.select("doc_id", "text").join(known.filter("label IN (0, 1)"), "doc_id").select("label", "text")
-    n = materialise(corpus_counts(labelled, identity), "toxicity-counts")
+    # the same shuffled join whatever the labels' size; it moves words, not texts
+    learnt = words_of(docs, identity).join(known.filter("label IN (0, 1)").hint("merge"), "doc_id")
+    learnt = materialise(learnt.select("doc_id", "label", "words"), "toxicity-words")
+    # at most 2 x ``most`` ids: a bounded broadcast
+    chosen = learnt.join(F.broadcast(sample(known, most).select("doc_id")), "doc_id").select("label", "words")
+    n = materialise(corpus_counts(learnt), "toxicity-counts")
     apart = n.filter((F.length("word") == 0) | (F.col("kind") == MENTION)).collect()
     every = {0: 0, 1: 0} | {r["kind"]: r["n"] for r in apart if not r["word"]}
     words = vocabulary(n, every, features, identity)
     index = {w: i for i, w in enumerate(words)}
 
-    def present(batch: pa.RecordBatch) -> list[pa.Array]:
-        known_words = index.keys()
-        found = [sorted(index[w] for w in known_words & set(tokens(x))) for x in utf8(batch.column("text"))]
-        return [pa.array(found, pa.list_(pa.int32()))]
+    def present(batch: pa.RecordBatch, open_) -> list[pa.Array]:
+        each = (unpacked(open_.decompress(x))[0] for x in batch.column("words").to_pylist())
+        return [pa.array([sorted(index[w] for w in index.keys() & set(x)) for x in each], pa.list_(pa.int32()))]
 
     mentions = {index[bytes(r["word"])]: r["n"] for r in apart if r["word"]}
-    made = map_batches(texts, present, {"words": "array<int>"}, ["label"]).collect()
-    made = sorted((r["label"], tuple(r["words"])) for r in made)  # the same order of sums in every run
+    made = map_batches(chosen, present, {"present": "array<int>"}, ["label"], setup=zstandard.ZstdDecompressor).collect()
+    made = sorted((r["label"], tuple(r["present"])) for r in made)  # the same order of sums in every run
+    held = Counter(label for label, _ in made)
     y = np.array([r[0] for r in made], dtype=float)
     row = np.repeat(np.arange(len(made)), [len(r[1]) for r in made])
     column = np.array([w for r in made for w in r[1]], dtype=np.int64)
@@ -222,7 +241,8 @@ def fit(
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``score`` (probability that a text is toxic) and ``predicted``; empty and null texts get the intercept's.
 
-    An input column called score or predicted is replaced.
+    Repeated rows get the same score each; an empty table gives no rows. An
+    input column called score or predicted is replaced.
     """
 
     def fn(batch: pa.RecordBatch) -> list[pa.Array]:
