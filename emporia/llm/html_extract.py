@@ -2,10 +2,11 @@
 
 Every block element of a page is a node that is content (1) or not (0). Its
 potentials come from features of the element (tag, parent's tag, words of class
-and id, length and links of its own text), and a 2 x 2 potential joins it with
-its parent. Sum-product messages run up the tree and down again, which gives
-each node's marginal; the text of the nodes that are more likely content than
-not is the page's main text, in page order.
+and id, length and links of its own text and of all text below it, that text's
+share of the page), and a 2 x 2 potential joins it with its parent. Sum-product
+messages run up the tree and down again, which gives each node's marginal; the
+text of the nodes that are more likely content than not is the page's main
+text, in page order.
 
 The weights are trained by gradient ascent on the likelihood of labelled pages
 (observed minus expected features under the same message passing). The labelled
@@ -16,17 +17,22 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cache
 from html.parser import HTMLParser
 from math import exp, log
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from emporia.llm.common import map_batches, utf8
 
+#: Formulas: all of it stands in the block around it.
+_MATH = "math semantics mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot munder mover munderover mstyle mpadded menclose mtable mtr mtd"
 #: Elements that do not break a block of text; their text belongs to the block around them.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    + _MATH.split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A start of one of these ends an open p.
@@ -38,7 +44,7 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 #: Where the search for an open element to end stops.
 _SCOPE = frozenset("html body table ul ol dl select article section aside nav footer header main div form td th".split())
 #: Elements whose text is never shown as text of the page.
-SILENT = frozenset("script style noscript template title head textarea select option button iframe object svg math canvas".split())
+SILENT = frozenset("script style noscript template title head textarea select option button iframe object svg canvas annotation annotation-xml".split())
 #: What may stand in a head; anything else that starts there, and text, ends a head left open.
 _METADATA = frozenset("html head title meta link style script base noscript template basefont bgsound noframes".split())
 _NAME = re.compile(r"[a-z]+")
@@ -156,9 +162,15 @@ def parse(html: str) -> Page:
     builder = _Builder()
     builder.feed(html)
     builder.close()
-    features = []
+    features, parents, n = [], builder.parents, len(builder.tags)
+    sizes, linked, long_own = builder.lengths[:], builder.linked[:], [x >= 80 for x in builder.lengths]
+    long = long_own[:]
+    for i in range(n - 1, 0, -1):  # all text below a node, and how many of its nodes hold much
+        sizes[parents[i]] += sizes[i]
+        linked[parents[i]] += linked[i]
+        long[parents[i]] += long[i]
     for i, tag in enumerate(builder.tags):
-        size, above = builder.lengths[i], builder.tags[builder.parents[i]] if i else ""
+        size, above = builder.lengths[i], builder.tags[parents[i]] if i else ""
         own = ["tag " + tag, f"tag {above}>{tag}"]
         own += ["name " + x for x in dict.fromkeys(builder.own[i])] or ["unnamed " + tag]
         if size:
@@ -167,6 +179,15 @@ def parse(html: str) -> Page:
             own.append("links " + ("none" if not share else "some" if share < 0.5 else "most"))
         else:
             own.append("size none")
+        if sizes[i] > size:
+            own.append("below " + ("tiny" if sizes[i] < 40 else "short" if sizes[i] < 200 else "long" if sizes[i] < 1000 else "much"))
+            share = linked[i] / sizes[i]
+            own.append("below links " + ("none" if not share else "some" if share < 0.5 else "most"))
+            own.append("below long " + ("none" if not long[i] else "one" if long[i] == 1 else "more"))
+        share = sizes[i] / max(1, sizes[0])
+        own.append("share " + ("small" if share < 0.1 else "some" if share < 0.35 else "large" if share < 0.7 else "most"))
+        if i:
+            own.append(f"{tag} {own[-1] if not size else 'long' if long_own[i] else 'short'}")
         features.append(own)
     runs = [(node, text) for node, parts in builder.runs if (text := " ".join("".join(parts).split()))]
     return Page(builder.parents, features, runs, builder.marks)
@@ -224,32 +245,72 @@ def labels(page: Page) -> list[int]:
     return out
 
 
-def train(pages: list[str], rounds: int = 120, rate: float = 0.6, ridge: float = 0.004) -> Model:
+class Forest:
+    """All labelled pages side by side, for message passing over all trees at once, one depth after the other."""
+
+    def __init__(self, pages: list[Page]):
+        begins = np.cumsum([0] + [len(p.parents) for p in pages])
+        self.truth = np.concatenate([labels(p) for p in pages]) if pages else np.zeros(0, dtype=np.int64)
+        self.parents = np.concatenate([np.where(np.array(p.parents) < 0, -1, np.array(p.parents) + a) for p, a in zip(pages, begins)])
+        depth = np.zeros(len(self.parents), dtype=np.int64)
+        for i, parent in enumerate(self.parents.tolist()):
+            if parent >= 0:
+                depth[i] = depth[parent] + 1
+        self.levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)]
+        self.names = sorted({f for p in pages for own in p.features for f in own})
+        number = {f: i for i, f in enumerate(self.names)}
+        each = [own for p in pages for own in p.features]
+        self.node = np.repeat(np.arange(len(each)), [len(own) for own in each])
+        self.feature = np.array([number[f] for own in each for f in own])
+
+    def expected(self, weights: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The marginals of all nodes, and the expected counts of the four kinds of edges (as ``marginals`` has them)."""
+        (e00, e01), (e10, e11) = np.exp(edges)
+        below = np.bincount(self.node, weights[self.feature], minlength=len(self.parents))
+        up = np.zeros_like(below)
+        for own in self.levels[:0:-1]:
+            odds = np.exp(np.clip(below[own], -50, 50))
+            up[own] = np.log((e10 + e11 * odds) / (e00 + e01 * odds))
+            np.add.at(below, self.parents[own], up[own])
+        belief, counts = below.copy(), np.zeros((2, 2))
+        for own in self.levels[1:]:
+            others = np.exp(np.clip(belief[self.parents[own]] - up[own], -50, 50))
+            belief[own] = below[own] + np.log((e01 + e11 * others) / (e00 + e10 * others))
+            odds = np.exp(np.clip(below[own], -50, 50))
+            kinds = np.stack([e00 * np.ones_like(odds), e01 * odds, e10 * others, e11 * others * odds])
+            counts += (kinds / kinds.sum(axis=0)).sum(axis=1).reshape(2, 2)
+        return 1 / (1 + np.exp(-np.clip(belief, -50, 50))), counts
+
+    def observed(self) -> np.ndarray:
+        counts, own = np.zeros((2, 2)), np.flatnonzero(self.parents >= 0)
+        np.add.at(counts, (self.truth[self.parents[own]], self.truth[own]), 1)
+        return counts
+
+
+def train(pages: list[str], rounds: int = 400, rate: float = 0.3, ridge: float = 0.0002) -> Model:
     """Gradient ascent (with Adagrad steps) on the mean log likelihood of labelled pages."""
-    parsed = [(p, labels(p)) for p in map(parse, pages)]
-    model, squares = Model({}, [[0.0, 0.0], [0.0, 0.0]]), {}
+    forest = Forest([parse(x) for x in pages])
+    weights, edges, truth = np.zeros(len(forest.names)), np.zeros((2, 2)), forest.observed()
+    squares, edge_squares = np.full(len(weights), 1e-8), np.full((2, 2), 1e-8)
     for _ in range(rounds):
-        gradient: dict = {}
-        for page, truth in parsed:
-            found, counts = marginals(page, model)
-            for own, y, p in zip(page.features, truth, found):
-                for f in own:
-                    gradient[f] = gradient.get(f, 0.0) + y - p
-            for i in range(1, len(truth)):
-                counts[truth[page.parents[i]]][truth[i]] -= 1
-            for a in (0, 1):
-                for b in (0, 1):
-                    gradient[a, b] = gradient.get((a, b), 0.0) - counts[a][b]
-        for key, g in gradient.items():
-            now = model.edges[key[0]][key[1]] if isinstance(key, tuple) else model.weights.get(key, 0.0)
-            g = g / len(parsed) - ridge * now
-            squares[key] = squares.get(key, 1e-8) + g * g
-            now += rate * g / squares[key] ** 0.5
-            if isinstance(key, tuple):
-                model.edges[key[0]][key[1]] = now
-            else:
-                model.weights[key] = now
-    return model
+        found, counts = forest.expected(weights, edges)
+        gap = forest.truth - found
+        for now, g, held in (
+            (weights, np.bincount(forest.feature, gap[forest.node], minlength=len(weights)), squares),
+            (edges, truth - counts, edge_squares),
+        ):
+            g = g / len(pages) - ridge * now
+            held += g * g
+            now += rate * g / np.sqrt(held)
+    return Model(dict(zip(forest.names, weights.tolist())), edges.tolist())
+
+
+@cache
+def default_model() -> Model:
+    """The model trained on the written pages; the same weights in every process, fitted once in each that asks."""
+    from emporia.llm.labelled_pages import labelled_pages
+
+    return train(labelled_pages())
 
 
 def main_text(html: str, model: Model) -> str:
@@ -262,13 +323,12 @@ def main_text(html: str, model: Model) -> str:
 def extract(pages: DataFrame, model: Model | None = None, keep: list[str] | None = None) -> DataFrame:
     """``pages`` (column html) with ``text``, the main text, and ``n_chars``, its code points.
 
-    A null or empty page, or one without content, gives an empty text. An
-    input column called text or n_chars is replaced.
+    A null or empty page, or one without content, gives an empty text; repeated
+    rows give the same text each. A very long page is read whole, with memory
+    in proportion to it. An empty table gives no rows. An input column called
+    text or n_chars is replaced.
     """
-    if model is None:
-        from emporia.llm.labelled_pages import labelled_pages
-
-        model = train(labelled_pages())
+    model = default_model() if model is None else model
 
     def fn(batch: pa.RecordBatch) -> list[pa.Array]:
         texts = [main_text(x.decode(errors="replace"), model) for x in utf8(batch.column("html"))]

@@ -12,6 +12,8 @@ DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars big
 # Nulls, empty and white texts, ties, repeated rows, marks, other scripts, a long text.
 LONG = " ".join(f"word{i % 977} of{i % 2}" for i in range(20_000))
 ODD_TEXTS = [None, "", "   \n\t ", "one", "one two", "á éß 中文 \U0001f600!", "x" * 70_000, LONG, "same text here", "same text here", "\x00 nul \x1c end"]
+# Letters outside NFC, and a capital whose lower case is longer, before marks.
+ODD_TEXTS += ["ALİ, क़, שׁ. e\u0301, ﬁn! ΟΔΟΣ."]
 
 
 @pytest.fixture(scope="session", autouse=True)

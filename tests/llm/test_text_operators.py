@@ -140,6 +140,29 @@ def test_substring_matches_brute_force(spark, shortest, monkeypatch):
     assert [(got[i].n_words, got[i].n_removed, got[i].kept_sha256, got[i].text) for i in range(80)] == brute_substring(texts, 20)
 
 
+def thue_morse(n=10):
+    """Two words of 2^n letters whose polynomials modulo 2^64 agree for every odd base."""
+    word = "a"
+    for _ in range(n):
+        word += word.translate({97: 98, 98: 97})
+    return word, word.translate({97: 98, 98: 97})
+
+
+@pytest.mark.parametrize("n", [5, 10, 12])
+def test_substring_tells_long_words_apart(spark, n):
+    tail = " ".join(f"w{i}" for i in range(19))
+    own = [f"{w} {tail}" for w in thue_morse(n)] + [" ".join(w) for w in thue_morse(n)]
+    got = {r.doc_id: r for r in substring.deduplicate(documents(spark, own)).collect()}
+    assert [(got[i].n_words, got[i].n_removed, got[i].kept_sha256, got[i].text) for i in range(4)] == brute_substring(own, 20)
+    assert got[1].n_removed == 0
+
+
+def test_substring_stops_without_candidates(spark, monkeypatch):
+    monkeypatch.setattr(substring, "not_first", None)  # the last level is not reached
+    own = [" ".join(f"w{i}x{j}" for j in range(50)) for i in range(9)] + ["", "short"]
+    assert [r.n_removed for r in substring.deduplicate(documents(spark, own)).collect()] == [0] * 11
+
+
 def test_substring_awkward_rows(odd, none):
     rows = substring.deduplicate(odd).collect()
     assert len(rows) == odd.count()
@@ -155,10 +178,10 @@ def test_substring_awkward_rows(odd, none):
 
 # --- token ids --------------------------------------------------------------------------------------------------------
 
-TEXTS = st.text(alphabet=st.sampled_from("aAzZ é́ÉßİΣσ中😀019'.,!?-_<|>/\n\t\x1c\xa0 $%ͅǄ"), max_size=40)
+TEXTS = st.text(alphabet=st.sampled_from("aAzZ é́ÉßİΣσ中क़שׁ😀019'.,!?-_<|>/\n\t\x1c\xa0 $%ͅǄ"), max_size=40)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=5000, deadline=None)
 @given(TEXTS)
 def test_ids_are_the_tokenizers(text):
     own = tokenids.encoder(None)
@@ -166,6 +189,20 @@ def test_ids_are_the_tokenizers(text):
     assert own.ids(text.encode()).tolist() == [*own.tokenizer.encode(text, add_special_tokens=False).ids, tokenids.END_ID]
 
 
+@pytest.mark.parametrize("behind", [",", "'s", "a", "-)"])
+def test_ids_of_every_letter_before_marks_and_letters(behind):
+    own = tokenids.encoder(None)
+    points = [c for c in map(chr, range(0x80, 0x30000)) if not "\ud800" <= c <= "\udfff"]
+    for a in range(0, len(points), 2000):
+        text = " ".join(f"AL{c}{behind}" for c in points[a : a + 2000])
+        want = own.tokenizer.encode(text, add_special_tokens=False).ids
+        if own.ids(text.encode()).tolist()[:-1] != want:
+            for c in points[a : a + 2000]:
+                word = f"AL{c}{behind}"
+                assert own.ids(word.encode()).tolist()[:-1] == own.tokenizer.encode(word, add_special_tokens=False).ids, repr(word)
+    assert own.ids("ALİ,".encode()).tolist() == [3558, 136, 229, 267, 2]
+
+
 def test_special_strings_and_the_cache(monkeypatch):
     monkeypatch.setattr(tokenids, "CACHED_WORDS", 3)
     own = tokenids.Encoder(tokenids.encoder(None).tokenizer and __import__("public_tokenizers").path(tokenids.VOCABULARY))
@@ -291,6 +328,13 @@ def test_registered_search_takes_all_terms(spark):
         assert [s for s, _ in got[q]] == pytest.approx([s for s, _ in want[q]], abs=1e-8)
 
 
+def test_search_tells_long_words_apart(spark):
+    one, other = thue_morse()
+    docs = documents(spark, [one, other, f"{one} more", "more"])
+    found = search.similar_documents(docs, docs.filter("doc_id = 0")).collect()
+    assert [(r.query_id, r.doc_id) for r in found] == [(0, 2)]
+
+
 def test_query_blocks_are_bounded_in_bytes():
     rows = [{"query_id": i, "terms": list(range(n)), "idfs": [1.0] * n} for i, n in enumerate([3, 2000, 5, 5, 40, 1, 900, 900])]
     blocks = list(search.query_blocks(rows, 20_000))

@@ -1,12 +1,16 @@
 """SimHash, the classifiers, HTML extraction and the pipeline."""
 
 import random
+import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from emporia.llm import components, html_extract, labelled_pages, quality, queries, simhash, toxicity
@@ -191,6 +195,15 @@ def test_swapping_identity_terms_takes_their_weight(spark):
     assert fair.score([b"They are idiots and scum."])[0] > 0.5
 
 
+def test_toxicity_packs_what_it_counts():
+    named = frozenset([b"jews", b"old"])
+    for text in (b"", b" \n ", b"one", b"Old. The old jews!\nold OLD jews", "é Jews, \u2014 no".encode()):
+        found, mentions = toxicity.unpacked(toxicity.packed(text, named))
+        assert found == sorted(set(toxicity.tokens(text)))
+        sentences = [set(toxicity.tokens(x)) for x in re.split(rb"[.!?\n]+", text)]
+        assert sorted(mentions) == sorted(w for s in sentences for w in s & named)
+
+
 def test_toxicity_counts_over_all_labelled_rows(spark):
     rng = random.Random(5)
     rows = []
@@ -203,7 +216,8 @@ def test_toxicity_counts_over_all_labelled_rows(spark):
     assert 0 < len(few) < toxicity.LEAST_ROWS
     model = toxicity.fit(frame.select("doc_id", "text"), labels, most=60)
     assert model.weights[b"blockhead"] > 0.1
-    n = toxicity.corpus_counts(frame.select("label", "text"), ("jews",)).collect()
+    words = toxicity.words_of(frame, ("jews",)).join(labels.select("doc_id", "label"), "doc_id")
+    n = toxicity.corpus_counts(words).collect()
     found = {(bytes(r.word), r.kind): r.n for r in n}
     assert found[b"blockhead", 1] == 30 and found[b"jews", toxicity.MENTION] == 1200 and found[b"", 0] == found[b"", 1] == 600
 
@@ -349,7 +363,7 @@ def test_given_pages_give_their_articles(spark):
 
 
 def test_pipeline_stages_one_by_one(spark):
-    from emporia.llm import decontamination, mixing, tokenids
+    from emporia.llm import decontamination, mixing
     from emporia.llm.common import materialise
 
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
@@ -375,9 +389,10 @@ def test_pipeline_stages_one_by_one(spark):
     plan = mixing.mix(mixing.slim(spark.createDataFrame(seen["decontamination"]))).toPandas()
     copies = {r.doc_id: sum(c > 0 and 2 * c >= r.size for c in r.copies) for r in plan.itertuples()}
     assert seen["mixing"].doc_id.value_counts().to_dict() == {i: n for i, n in copies.items() if n}
-    own = tokenids.encoder(None)
-    want = sorted((r.doc_id, len(own.ids(r.text.encode()))) for r in seen["mixing"].itertuples())
-    assert sorted((r.doc_id, r.n_tokens) for r in seen["token_ids"].itertuples()) == want
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids = ((r.doc_id, [*tokenizer.encode(r.text, add_special_tokens=False).ids, 2]) for r in seen["mixing"].itertuples())
+    want = sorted((doc_id, len(x), zlib.crc32(np.array(x, dtype="<u4").tobytes())) for doc_id, x in ids)
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in seen["token_ids"].itertuples()) == want
 
 
 def test_token_files_are_in_training_order(spark):
@@ -395,7 +410,7 @@ def test_registered_queries(spark):
     import __spark_entry__ as entry
 
     names = [x for x in entry.queries() if x.startswith("op") and x[2].isdigit()]
-    assert sorted(int(x[2:].split("_")[0]) for x in names) == list(range(1, 11))
+    assert sorted(int(x[2:].split("_")[0]) for x in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
     contracts = {
         "op2_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
