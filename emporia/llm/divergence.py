@@ -1,11 +1,16 @@
 """Source divergence audit: how far the words of each source stand from those of others in the same language.
 
-In-mapper stripes: a task folds whole documents into a hash of stripes, one
-for each term of a language: in how many documents it is, and how often in
-each source. When the hash holds ``STRIPES`` terms it is spilled, and at the
-end what is left. Spilled stripes are shuffled by (language, term), sorted,
-and merged as they stream by, so a term that is everywhere costs one stripe
-for each spill, not one row for each time it occurs.
+In-mapper stripes: a task folds whole documents into stripes, one for each
+term of a language: in how many documents it is, and how often in each source.
+After ``FOLD_BYTES`` of text the stripes are spilled. Spilled stripes are
+shuffled by (language, term), sorted, and merged as they stream by, so a term
+that is everywhere costs one stripe for each spill, not one row for each time
+it occurs.
+
+Folding is hashing without a Python object per word: words are told apart by
+64-bit hashes (see ``wordhash``; within one fold only, so unequal terms are
+taken for one with a chance of about 10^-9 per fold), and stripes leave as
+Arrow arrays with the terms themselves. Merging compares the terms.
 
 A language keeps the terms in at least ``LEAST_DOCS`` of its documents. With V
 of these, N occurrences in a group and a term's ``count`` among them, its
@@ -21,123 +26,158 @@ are left to small aggregates.
 
 from __future__ import annotations
 
-import heapq
 import itertools
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from emporia.llm.common import materialise, utf8
+from emporia.llm.wordhash import Scheme, words
 
 LEAST_DOCS = 3
 RANKS = 200
 SCALE_DIGITS = 3  # of 1000 each: shares are in billionths
-# Terms that a task holds before it spills, cells of one step over a matrix of shares, and ranked terms that a task holds.
-STRIPES = 150_000
+# Text that a task folds before it spills, stripes that are merged at a time, cells of one step over a matrix of shares.
+FOLD_BYTES = 16 << 20
+MERGED = 1 << 14
 CELLS = 1 << 20
-RANKED = 200_000
-
-_LETTER = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
-_DOCS = -1
 
 STRIPE = "lang string, term string, n_docs bigint, sources array<string>, counts array<bigint>"
+_NAMES = ["lang", "term", "n_docs", "sources", "counts"]
+
+
+def _letters() -> Scheme:
+    fold = np.arange(256, dtype=np.uint8)
+    fold[0x41:0x5B] += 0x20
+    word = np.zeros(256, dtype=bool)
+    word[0x41:0x5B] = word[0x61:0x7B] = word[0x80:] = True
+    return Scheme(word, fold)
+
+
+#: ``[^\x00-\x40\x5B-\x60\x7B-\x7F]+`` after lower-casing A-Z.
+LETTERS = _letters()
+
+
+def _lists(rows: np.ndarray, values: pa.Array, n: int) -> pa.ListArray:
+    """Lists of ``values``, of which each belongs to one of ``n`` rows (ascending)."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(n + 1)), pa.int32()), values)
 
 
-def terms(text: bytes) -> list[bytes]:
-    """Runs of ASCII letters, lower-cased, and code points above U+007F (``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+``)."""
-    return text.translate(_LETTER).split()
-
-
-class Stripes:
-    """A task's hash of stripes. The empty term holds the sources themselves: they are there without any term, too."""
-
-    def __init__(self, most: int = STRIPES):
-        self.most, self.held, self.names, self.by_lang = most, 0, {}, {}
-
-    def add(self, text: bytes, lang: str, source: str) -> None:
-        own = self.by_lang.setdefault(lang, {})
-        name = self.names.setdefault(source, len(self.names))
-        before = len(own)
-        for term, n in (*Counter(terms(text)).items(), (b"", 0)):
-            stripe = own.get(term)
-            if stripe is None:
-                own[term] = {_DOCS: 1, name: n}
-            else:
-                stripe[_DOCS] += 1
-                stripe[name] = stripe.get(name, 0) + n
-        self.held += len(own) - before
-
-    def full(self) -> bool:
-        return self.held >= self.most
-
-    def spill(self, rows: int = 1 << 14):
-        names = list(self.names)
-        out = []
-        for lang, own in self.by_lang.items():
-            for term, stripe in own.items():
-                docs = stripe.pop(_DOCS)
-                out.append((lang, term, docs, [names[i] for i in stripe], list(stripe.values())))
-                if len(out) == rows:
-                    yield _stripes(out)
-                    out = []
-        if out:
-            yield _stripes(out)
-        self.held, self.names, self.by_lang = 0, {}, {}
-
-
-def _stripes(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.binary(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
-    cols = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-    cols[1] = cols[1].cast(pa.string())
-    return pa.RecordBatch.from_arrays(cols, names=["lang", "term", "n_docs", "sources", "counts"])
-
-
-def spilled(docs: DataFrame, most: int = STRIPES) -> DataFrame:
+def _cells(row: np.ndarray, source: np.ndarray, n_sources: int, weight: np.ndarray | None = None):
+    """(row, source, sum) of the distinct pairs, ascending; ``row`` is ascending already."""
+    cell = row * n_sources + source
+    order = np.argsort(cell, kind="stable")
+    cell = cell[order]
+    first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, dtype=np.int64)
+    if weight is None:
+        total = np.diff(np.append(first, len(cell)))
+    else:
+        total = np.add.reduceat(weight[order], first) if len(first) else weight
+    return cell[first] // n_sources, cell[first] % n_sources, total.astype(np.int64)
+
+
+def fold(texts: list[bytes], langs: list[str], sources: list[str]):
+    """The stripes of some documents, a batch for each language.
+
+    The empty term's stripe has all sources of the language: they are there without any term, too.
+    """
+    found = words(texts, LETTERS)
+    data = LETTERS.fold[np.frombuffer(found.data, dtype=np.uint8)]
+    names = list(dict.fromkeys(sources))
+    number = {x: i for i, x in enumerate(names)}
+    of_source = np.array([number[x] for x in sources], dtype=np.int64)
+    strings = pa.array(names, pa.string())
+    of_lang, doc = np.array(langs, dtype=object), np.repeat(np.arange(len(texts)), np.diff(found.first))
+    for lang in dict.fromkeys(langs):
+        mine = of_lang == lang
+        at = np.flatnonzero(mine[doc])
+        at = at[np.argsort(found.hashes[at], kind="stable")]  # a term's words together, by document
+        h, d = found.hashes[at], doc[at]
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = h[1:] != h[:-1]
+        row = np.cumsum(new)  # from 1: row 0 is the empty term
+        n = int(row[-1]) + 1 if len(row) else 1
+        changed = new.copy()
+        changed[1:] |= d[1:] != d[:-1]
+        docs = np.bincount(row[changed], minlength=n)
+        docs[0] = mine.sum()
+        first = at[new]
+        lengths = found.ends[first] - found.starts[first]
+        ends = np.concatenate([[0, 0], np.cumsum(lengths)])
+        place = np.arange(int(ends[-1])) + np.repeat(found.starts[first] - ends[1:-1], lengths)
+        offsets = pa.py_buffer(ends.astype(np.int32))
+        term = pa.Array.from_buffers(pa.string(), n, [None, offsets, pa.py_buffer(data[place].tobytes())])
+        there = np.unique(of_source[mine])
+        r, s, c = _cells(row, of_source[d], len(names))
+        r, s, c = (np.concatenate(x) for x in ((np.zeros(len(there), dtype=np.int64), r), (there, s), (np.zeros(len(there), dtype=np.int64), c)))
+        columns = [pa.array([lang] * n, pa.string()), term, pa.array(docs, pa.int64()), _lists(r, strings.take(pa.array(s)), n), _lists(r, pa.array(c), n)]
+        yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
+
+
+def spilled(docs: DataFrame, fold_bytes: int = FOLD_BYTES) -> DataFrame:
     """Stripes as the tasks spill them: several for a term, each of many documents."""
 
     def each(batches):
-        own = Stripes(most)
+        held, size = ([], [], []), 0
         for batch in batches:
-            for text, lang, source in zip(utf8(batch.column("text")), batch.column("lang").to_pylist(), batch.column("source").to_pylist()):
-                own.add(text, lang, source)
-                if own.full():
-                    yield from own.spill()
-        yield from own.spill()
+            for row in zip(utf8(batch.column("text")), batch.column("lang").to_pylist(), batch.column("source").to_pylist()):
+                for column, value in zip(held, row):
+                    column.append(value)
+                size += len(row[0]) + 1
+                if size >= fold_bytes:
+                    yield from _split(fold(*held))
+                    held, size = ([], [], []), 0
+        if held[0]:
+            yield from _split(fold(*held))
+        pa.default_memory_pool().release_unused()
 
     read = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")]
     return docs.select(*read).mapInArrow(each, STRIPE)
 
 
+def _split(batches, rows: int = MERGED):
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def added(table: pa.Table) -> pa.Table:
+    """Stripes sorted by (lang, term), those of one key added up."""
+    table = table.combine_chunks()
+    n = table.num_rows
+    new = np.ones(n, dtype=bool)
+    if n > 1:
+        differ = [pc.not_equal(table.column(c).slice(1), table.column(c).slice(0, n - 1)) for c in ("lang", "term")]
+        new[1:] = pc.or_(*differ).to_numpy()
+    row, first = np.cumsum(new) - 1, np.flatnonzero(new)
+    docs = np.add.reduceat(table.column("n_docs").to_numpy(), first)
+    lists = table.column("sources").combine_chunks(), table.column("counts").combine_chunks()
+    owner = row[pc.list_parent_indices(lists[0]).to_numpy()]
+    names = lists[0].flatten().dictionary_encode()
+    r, s, c = _cells(owner, names.indices.to_numpy().astype(np.int64), max(1, len(names.dictionary)), lists[1].flatten().to_numpy())
+    keys = [table.column(c).take(pa.array(first)) for c in ("lang", "term")]
+    return pa.table([*keys, pa.array(docs), _lists(r, names.dictionary.take(pa.array(s)), len(first)), _lists(r, pa.array(c), len(first))], names=_NAMES)
+
+
 def merged(stripes: DataFrame) -> DataFrame:
     """One stripe for each (lang, term): spilled stripes shuffled by key, sorted, and added up as they pass."""
 
     def each(batches):
-        now, docs, counts, out = None, 0, {}, []
-
-        def row():
-            return (*now, docs, list(counts), list(counts.values()))
-
+        held, size = [], 0
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(5)]
-            for lang, term, n_docs, sources, numbers in zip(*columns):
-                if (lang, term.encode()) != now:
-                    if now is not None:
-                        out.append(row())
-                    now, docs, counts = (lang, term.encode()), 0, {}
-                docs += n_docs
-                for source, n in zip(sources, numbers):
-                    counts[source] = counts.get(source, 0) + n
-            if len(out) >= 1 << 12:
-                yield _stripes(out)
-                out = []
-        if now is not None:
-            out.append(row())
-        if out:
-            yield _stripes(out)
+            held.append(batch)
+            size += batch.num_rows
+            if size >= MERGED:
+                done = added(pa.Table.from_batches(held))
+                yield from done.slice(0, done.num_rows - 1).to_batches()
+                held = done.slice(done.num_rows - 1).to_batches()  # its key may go on
+                size = 1
+        if size:
+            yield from added(pa.Table.from_batches(held)).to_batches()
 
     return stripes.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(each, STRIPE)
 
@@ -172,86 +212,73 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
-def _language(lang: str, row_sources: list[str], n: list[int], v: int, rows: list[tuple], best: dict, pairs: dict, ranks: int) -> None:
-    """Add the divergences of some stripes (term, sources, counts) of one language to ``best`` and ``pairs``."""
-    column = {s: i for i, s in enumerate(row_sources)}
-    of_source = np.array(n, dtype=np.int64)
-    width = len(row_sources)
-    held = pairs.setdefault(lang, (row_sources, np.zeros((width, width), dtype=np.int64)))[1]
+def _language(lang: str, totals_row: dict, rows: pa.Table, pairs: dict, ranks: int):
+    """Add the pairwise divergences of some stripes of one language to ``pairs``; the first ``ranks`` terms of each source among them."""
+    names, of_source, v = totals_row["all_sources"], np.array(totals_row["n"], dtype=np.int64), totals_row["v"]
+    width = len(names)
+    held = pairs.setdefault(lang, (names, np.zeros((width, width), dtype=np.int64)))[1]
+    lists = rows.column("sources").combine_chunks()
+    owner = pc.list_parent_indices(lists).to_numpy()
+    column = pc.index_in(lists.flatten(), value_set=pa.array(names, pa.string())).to_numpy()
+    numbers = rows.column("counts").combine_chunks().flatten().to_numpy()
+    term = rows.column("term")
     step = max(1, CELLS // width**2)
-    for at in range(0, len(rows), step):
-        part = rows[at : at + step]
-        counts = np.zeros((len(part), width), dtype=np.int64)
-        for i, (_, sources, numbers) in enumerate(part):
-            counts[i, [column[s] for s in sources]] = numbers
+    for at in range(0, rows.num_rows, step):
+        a, b = np.searchsorted(owner, [at, at + step])
+        counts = np.zeros((min(step, rows.num_rows - at), width), dtype=np.int64)
+        counts[owner[a:b] - at, column[a:b]] = numbers[a:b]
         p = shares(counts, of_source, v)
         held += divergence(p[:, :, None], p[:, None, :]).sum(axis=0)
         q = shares(counts.sum(axis=1), of_source.sum(), v)[:, None]
-        above = (counts > 0) & (p > q)
-        values = divergence(p, q)
-        for i, j in zip(*(x.tolist() for x in np.nonzero(above))):
-            mine = best.setdefault((lang, row_sources[j]), [])
-            # a heap whose smallest entry is the last in rank: the least value, of equal ones the greatest term
-            entry = (int(values[i, j]), _Reversed(part[i][0].encode()))
-            if len(mine) < ranks:
-                heapq.heappush(mine, entry)
-            elif mine[0] < entry:
-                heapq.heapreplace(mine, entry)
-
-
-class _Reversed:
-    """Bytes in reverse order."""
-
-    __slots__ = ("of",)
-
-    def __init__(self, of: bytes):
-        self.of = of
-
-    def __lt__(self, other):
-        return other.of < self.of
-
-    def __eq__(self, other):
-        return self.of == other.of
-
-
-def _ranked(best: dict):
-    return ((lang, source, "term", x.of.decode(), value) for (lang, source), mine in best.items() for value, x in mine)
-
-
-def _parts(rows, size: int = 1 << 14):
-    rows = iter(rows)
-    while some := list(itertools.islice(rows, size)):
-        kinds = [pa.string()] * 4 + [pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), kinds)], names=["lang", "source", "part", "item", "value"])
+        values = np.where((counts > 0) & (p > q), divergence(p, q), -1)
+        for j, name in enumerate(names):
+            own = np.flatnonzero(values[:, j] >= 0)
+            if len(own) > ranks:  # all that reach the last of the greatest values stay: equal ones are told apart by term
+                own = own[values[own, j] >= np.partition(values[own, j], len(own) - ranks)[len(own) - ranks]]
+            if len(own):
+                yield lang, name, values[own, j], term.take(pa.array(own + at))
+
+
+def _gathered(batches, rows: int):
+    """The batches as tables of at least ``rows`` rows (the last may have fewer)."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held)
 
 
 PART = "lang string, source string, part string, item string, value bigint"
 
 
 def emitted(stripes: DataFrame, by_lang: DataFrame, ranks: int = RANKS) -> DataFrame:
-    """Per task: sums over its terms for each pair of sources (part ``pair``), and the first ``ranks`` terms of each group."""
+    """Per task: sums over its terms for each pair of sources (part ``pair``), and terms with the first ``ranks`` of each group among them."""
 
     def each(batches):
-        best, pairs = {}, {}
-        for batch in batches:
-            langs: dict[str, list] = {}
-            for r in batch.to_pylist():
-                langs.setdefault(r["lang"], []).append(r)
-            for lang, own in langs.items():
-                first = own[0]
-                stripes_of = [(r["term"], r["sources"], r["counts"]) for r in own]
-                _language(lang, first["all_sources"], first["n"], first["v"], stripes_of, best, pairs, ranks)
-            if sum(map(len, best.values())) > RANKED:
-                yield from _parts(_ranked(best))
-                best.clear()
-        yield from _parts(_ranked(best))
+        pairs: dict = {}
+        for group in _gathered(batches, MERGED):
+            langs = group.column("lang").combine_chunks().dictionary_encode()
+            for i, lang in enumerate(langs.dictionary.to_pylist()):
+                rows = group.filter(pc.equal(langs.indices, i))
+                totals_row = rows.slice(0, 1).select(["all_sources", "n", "v"]).to_pylist()[0]
+                for name, source, values, term in _language(lang, totals_row, rows, pairs, ranks):
+                    n = len(values)
+                    columns = [pa.array([x] * n, pa.string()) for x in (name, source, "term")] + [term.combine_chunks(), pa.array(values)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "part", "item", "value"])
         for lang, (names, held) in pairs.items():
-            yield from _parts((lang, a, "pair", b, int(held[i, j])) for i, a in enumerate(names) for j, b in enumerate(names) if i != j)
+            rows = ((lang, a, "pair", b, int(held[i, j])) for i, a in enumerate(names) for j, b in enumerate(names) if i != j)
+            while some := list(itertools.islice(rows, MERGED)):
+                kinds = [pa.string()] * 4 + [pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), kinds)], names=["lang", "source", "part", "item", "value"])
 
     return stripes.join(by_lang, "lang").mapInArrow(each, PART)
 
 
-def audit(docs: DataFrame, least: int = LEAST_DOCS, ranks: int = RANKS, most: int = STRIPES) -> DataFrame:
+def audit(docs: DataFrame, least: int = LEAST_DOCS, ranks: int = RANKS, fold_bytes: int = FOLD_BYTES) -> DataFrame:
     """Divergences of each (lang, source) group of ``docs`` (text, lang, source): ``part``, ``item``, ``value`` and ``rank``.
 
     ``pair``: the sum over all kept terms of the divergence of the group's
@@ -262,12 +289,12 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, ranks: int = RANKS, most: in
 
     Null text, lang and source count as ''. A group without terms is there;
     where a language keeps no term its pairs have value 0. Repeated rows count
-    each; very long texts are folded like others (a document's own terms are
-    held at once); other columns are not looked at. An empty table gives no
+    each; very long texts are folded like others (a text is held whole, with
+    some forty bytes a word); other columns are not looked at. An empty table gives no
     rows. The pairs of a language's sources are the result's size, and one
     task holds the matrix of their sums.
     """
-    own = materialise(merged(spilled(docs, most)), "divergence-stripes")
+    own = materialise(merged(spilled(docs, fold_bytes)), "divergence-stripes")
     groups = materialise(totals(own, least), "divergence-totals")
     by_lang = groups.groupBy("lang", "v").agg(F.sort_array(F.collect_list(F.struct("source", "n"))).alias("x"))
     by_lang = by_lang.select("lang", "v", F.col("x.source").alias("all_sources"), F.col("x.n").alias("n"))

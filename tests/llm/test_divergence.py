@@ -59,12 +59,14 @@ def tables(seed, n=250):
     return [*rows, ("only these terms", "xx", "one"), ("", "xx", "two"), ("alone", "yy", "one")]
 
 
-@pytest.mark.parametrize("most, ranks", [(divergence.STRIPES, 200), (20, 5)])
+@pytest.mark.parametrize("most, ranks", [(divergence.FOLD_BYTES, 200), (300, 5)])
 def test_audit_matches_brute_force(spark, most, ranks, monkeypatch):
-    monkeypatch.setattr(divergence, "RANKED", 8)
+    if most == 300:  # many spills, merged and ranked a few at a time
+        monkeypatch.setattr(divergence, "MERGED", 3)
+        monkeypatch.setattr(divergence, "CELLS", 40)
     rows = tables(most)
     docs = spark.createDataFrame(rows, "text string, lang string, source string").repartition(5)
-    got = sorted(tuple(r[c] for c in ("lang", "source", "part", "item", "value", "rank")) for r in divergence.audit(docs, ranks=ranks, most=most).collect())
+    got = sorted(tuple(r[c] for c in ("lang", "source", "part", "item", "value", "rank")) for r in divergence.audit(docs, ranks=ranks, fold_bytes=most).collect())
     assert got == brute(rows, ranks=ranks)
     assert {r[2] for r in got} == {"pair", "term"} and ("xx", "one", "pair", "two", 0, 1) in got
 
@@ -79,7 +81,10 @@ def test_shares_are_exact(count, rest, v):
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aZ@[`{é中\x00\x7f 9\U0001f600")))
 def test_terms_are_those_of_the_pattern(text):
-    assert [t.decode() for t in divergence.terms(text.encode())] == TERM.findall(text.translate(UPPER))
+    found = [r for b in divergence.fold([text.encode(), b""], ["x", "x"], ["s", "t"]) for r in b.to_pylist()]
+    want = Counter(TERM.findall(text.translate(UPPER)))
+    assert {r["term"]: r["counts"] for r in found} == {"": [0, 0], **{t: [n] for t, n in want.items()}}
+    assert all(r["n_docs"] == (1 if r["term"] else 2) and r["sources"] == (["s"] if r["term"] else ["s", "t"]) for r in found)
 
 
 def test_audit_awkward_rows(spark, odd, none):
