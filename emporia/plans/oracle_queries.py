@@ -257,8 +257,15 @@ query("store_failures", "\nUNION ALL\n".join(
     f"SELECT {_tcols(t)}, row_key FROM ({_failing_sql(t)})" for t in _c.MODEL_TESTS))
 
 
+# Stored tables have their month.
+_WITH_MONTH = {"fct_order_items": "order_ts", "fct_deliveries": "order_date", "fct_freight": "order_date"}
+
+
 def _stored_sql(t) -> str:
     """The failing row itself, as a JSON object: what the quarantine table keeps of it."""
+    rows = t.model
+    if t.model in _WITH_MONTH:
+        rows = f"(SELECT *, strftime({_WITH_MONTH[t.model]}, '%Y-%m') AS order_ym FROM {t.model})"
     key = _c.MODEL_KEYS[t.model]
     if t.test == "unique":
         return (f"SELECT CAST({t.column} AS VARCHAR) AS row_key, to_json({{'{t.column}': {t.column}, 'n_records': count(*)}}) AS j "
@@ -269,11 +276,11 @@ def _stored_sql(t) -> str:
         "relationships": f"m.{t.column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {t.arg.split('.')[0]} p "
                          f"WHERE p.{t.arg.split('.')[-1]} = m.{t.column})",
     }[t.test]
-    return f"SELECT CAST(m.{key} AS VARCHAR) AS row_key, to_json(m) AS j FROM {t.model} m WHERE {failing}"
+    return f"SELECT CAST(m.{key} AS VARCHAR) AS row_key, to_json(m) AS j FROM {rows} m WHERE {failing}"
 
 
 query("failed_rows", """
-WITH failed AS (%s), fields AS (
+SELECT * FROM (WITH failed AS (FAILED), fields AS (
   SELECT model, column_name, test, arg, severity, row_key, j, unnest(json_keys(j)) AS field FROM failed
 ), typed AS (
   SELECT *, json_type(j, '$."' || field || '"') AS kind, json_extract_string(j, '$."' || field || '"') AS text FROM fields
@@ -281,8 +288,8 @@ WITH failed AS (%s), fields AS (
 SELECT model, column_name, test, arg, severity, row_key, field,
   CASE WHEN kind = 'DOUBLE' THEN CAST(CAST(floor(CAST(text AS DOUBLE) * CAST(1000000 AS DOUBLE) + CAST(0.5 AS DOUBLE))
     AS DECIMAL(38,0)) AS VARCHAR) ELSE text END AS value
-FROM typed
-""" % "\nUNION ALL\n".join(f"SELECT {_tcols(t)}, row_key, j FROM ({_stored_sql(t)})" for t in _c.MODEL_TESTS))
+FROM typed) AS q
+""".replace("FAILED", "\nUNION ALL\n".join(f"SELECT {_tcols(t)}, row_key, j FROM ({_stored_sql(t)})" for t in _c.MODEL_TESTS)))
 query("mart_sanity", """
 SELECT 'fct_orders_rows' AS check_name, CAST(count(*) AS DOUBLE) AS value, count(*) >= 1 AS passed FROM fct_orders
 UNION ALL SELECT 'fct_order_items_rows', count(*), count(*) >= 1 FROM fct_order_items
@@ -315,19 +322,23 @@ query("mart_build", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in
     ["dim_customers", "dim_products", "fct_order_items", "fct_orders", "fct_deliveries", "fct_freight",
      "mrt_kpis_daily", "mrt_reviews"]) + " UNION ALL SELECT 'order_payments', count(*) FROM pay_profile")
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 _STORED = {"order_payments": "pay_profile"}
 _DOCUMENTED = [(t, "", text) for t, text in TABLE_DOCS.items()] + [
     (t, c, text) for t, columns in DOCS.items() for c, text in columns.items()]
 query("mart_schema_doc", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{text}' AS description, count({c or '*'}) AS filled "
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {_literal(text)} AS description, count({c or '*'}) AS filled "
     f"FROM {_STORED.get(t, t)}" for t, c, text in _DOCUMENTED))
 query("mart_refresh", """
 WITH o AS (
-  SELECT order_ym, order_id, order_date, is_delivered, CASE WHEN order_ym IN ('1995-06', '1997-01') THEN 2 ELSE 1 END AS by
+  SELECT order_ym, order_id, order_date, is_delivered, CASE WHEN order_ym IN ('1995-06', '1997-01') THEN 2 ELSE 1 END AS times
   FROM stg_orders
 ), l AS (
-  SELECT order_id, sum(CAST(qty * unit_price * by AS DECIMAL(38,6))) AS gmv,
-    sum(CAST(qty * unit_price * by - discount_amount AS DECIMAL(38,6))) AS line_net
+  SELECT order_id, sum(CAST(qty * unit_price * times AS DECIMAL(38,6))) AS gmv,
+    sum(CAST(qty * unit_price * times - discount_amount AS DECIMAL(38,6))) AS line_net
   FROM stg_order_items JOIN o USING (order_id) GROUP BY order_id
 ), t AS (
   SELECT o.*, coalesce(l.gmv, 0) AS gmv, l.line_net FROM o LEFT JOIN l USING (order_id)
