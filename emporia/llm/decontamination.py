@@ -133,7 +133,9 @@ def scan(
     ``items`` (ids of the items with occurring windows as text, sorted); with
     ``clean`` also ``clean_text`` (the text without the bytes from the first to
     the last word of each span; null stays null). A null or wordless text has 0
-    words; repeated rows are scanned like any other; an input column with one
+    words; repeated rows are scanned like any other; a very long text is scanned
+    whole, with memory in proportion to it; without benchmark windows no word is
+    hit, and an empty table of documents gives no rows. An input column with one
     of the new names is replaced. ``keep`` names the input columns of the
     result (all by default).
     """

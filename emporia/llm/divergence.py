@@ -212,8 +212,11 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
-def _language(lang: str, totals_row: dict, rows: pa.Table, pairs: dict, ranks: int):
-    """Add the pairwise divergences of some stripes of one language to ``pairs``; the first ``ranks`` terms of each source among them."""
+def _language(lang: str, totals_row: dict, rows: pa.Table, pairs: dict, greatest: dict, ranks: int):
+    """Add the pairwise divergences of some stripes of one language to ``pairs``; terms with the first ``ranks`` of each source among them.
+
+    ``greatest`` holds the ``ranks`` greatest values of each group so far: a smaller one has no rank.
+    """
     names, of_source, v = totals_row["all_sources"], np.array(totals_row["n"], dtype=np.int64), totals_row["v"]
     width = len(names)
     held = pairs.setdefault(lang, (names, np.zeros((width, width), dtype=np.int64)))[1]
@@ -232,10 +235,11 @@ def _language(lang: str, totals_row: dict, rows: pa.Table, pairs: dict, ranks: i
         q = shares(counts.sum(axis=1), of_source.sum(), v)[:, None]
         values = np.where((counts > 0) & (p > q), divergence(p, q), -1)
         for j, name in enumerate(names):
-            own = np.flatnonzero(values[:, j] >= 0)
-            if len(own) > ranks:  # all that reach the last of the greatest values stay: equal ones are told apart by term
-                own = own[values[own, j] >= np.partition(values[own, j], len(own) - ranks)[len(own) - ranks]]
-            if len(own):
+            best = greatest.get((lang, name), np.zeros(0, dtype=np.int64))
+            own = np.flatnonzero(values[:, j] >= (best[0] if len(best) == ranks else 0))
+            if len(own):  # all that reach the last of the greatest values stay: equal ones are told apart by term
+                best = greatest[lang, name] = np.sort(np.concatenate([best, values[own, j]]))[-ranks:]
+                own = own[values[own, j] >= (best[0] if len(best) == ranks else 0)]
                 yield lang, name, values[own, j], term.take(pa.array(own + at))
 
 
@@ -260,12 +264,13 @@ def emitted(stripes: DataFrame, by_lang: DataFrame, ranks: int = RANKS) -> DataF
 
     def each(batches):
         pairs: dict = {}
+        greatest: dict = {}
         for group in _gathered(batches, MERGED):
             langs = group.column("lang").combine_chunks().dictionary_encode()
             for i, lang in enumerate(langs.dictionary.to_pylist()):
                 rows = group.filter(pc.equal(langs.indices, i))
                 totals_row = rows.slice(0, 1).select(["all_sources", "n", "v"]).to_pylist()[0]
-                for name, source, values, term in _language(lang, totals_row, rows, pairs, ranks):
+                for name, source, values, term in _language(lang, totals_row, rows, pairs, greatest, ranks):
                     n = len(values)
                     columns = [pa.array([x] * n, pa.string()) for x in (name, source, "term")] + [term.combine_chunks(), pa.array(values)]
                     yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "part", "item", "value"])

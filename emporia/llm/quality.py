@@ -156,7 +156,8 @@ def solve(sums: dict[int, tuple[float, np.ndarray, np.ndarray]], shrinkage: floa
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, shrinkage: float = SHRINKAGE) -> Model:
     """Fit on every row of ``docs`` with a 0/1 ``label`` in ``labels`` (doc_id, label); ``learn`` selects rows of ``docs``.
 
-    Null labels and ids are left out; of several labels of one id the smallest counts.
+    Null labels and ids are left out; of several labels of one id the smallest
+    counts. Repeated rows count each. Without labelled rows every text scores 0.5.
     """
 
     def fn(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -171,7 +172,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, shrinka
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``score`` (probability of label 1) and ``predicted``; empty and null texts score like any vector.
 
-    An input column called score or predicted is replaced.
+    Repeated rows get the same score each, a very long text is one vector like
+    any other, an empty table gives no rows. An input column called score or
+    predicted is replaced.
     """
 
     def fn(batch: pa.RecordBatch) -> list[pa.Array]:
