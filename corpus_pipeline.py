@@ -3,6 +3,16 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``. All but the last
 return the columns of ``documents``.
+
+All stages take any rows. Null texts count as empty; an empty text is scored,
+fingerprinted (all of them are one group of near-duplicates), holds no
+benchmark window, takes no part in the mix (it has no words), and in the token
+files is an end id. Rows without a doc_id are kept like others, but of a group
+one with an id is preferred; repeated ids and repeated rows are rows of their
+own until near-duplicates go. Very long texts pass whole. Further columns, also
+of names that stages use themselves, stay as they are. Without labels nothing is
+rejected, without benchmark windows nothing is contaminated, and an empty table
+gives an empty result in every stage.
 """
 
 from __future__ import annotations
