@@ -45,6 +45,8 @@ SCALE_DIGITS = 3  # of 1000 each: shares are in billionths
 FOLD_BYTES = 16 << 20
 MERGED = 1 << 14
 CELLS = 1 << 20
+# Parts of a group's terms that are ranked on their own before the group is.
+SHARES = 64
 
 STRIPE = "lang string, term string, n_docs bigint, sources array<string>, counts array<bigint>"
 _NAMES = ["lang", "term", "n_docs", "sources", "counts"]
@@ -310,7 +312,11 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, ranks: int = RANKS, fold_byt
     pairs = pairs.join(sums, ["lang", "source", "item"], "left").select(
         "lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).alias("value")
     )
+    # the first ranks of each group are among the first of its parts by item, which share out a large group's terms
+    first = F.row_number().over(Window.partitionBy("lang", "source", "_share").orderBy(F.desc("value"), "item"))
+    terms = found.filter("part = 'term'").withColumn("_share", F.pmod(F.xxhash64("item"), F.lit(SHARES)))
+    terms = terms.withColumn("_first", first).filter(F.col("_first") <= ranks).drop("_share", "_first")
     order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
-    rows = pairs.unionByName(found.filter("part = 'term'"))
+    rows = pairs.unionByName(terms)
     ranked = rows.withColumn("rank", F.row_number().over(order))
     return ranked.filter((F.col("part") == "pair") | (F.col("rank") <= ranks))
