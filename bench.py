@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from emporia.operators import category, contracts, delivery, kpis, payments, regression  # noqa: E402
-from emporia.plans.build import materialize, new_build_dir  # noqa: E402
+from emporia.plans.build import materialize, new_build_dir, persist_frame  # noqa: E402
 from emporia.plans.warehouse import Warehouse  # noqa: E402
 from emporia.session import local_session  # noqa: E402
 
@@ -56,14 +56,16 @@ def main() -> None:
     timed("freight_regression", freight)
 
     def categories():
-        m = category.category_metrics(category.category_rollup(wh.lines, wh.orders_with_items, wh.stg_products))
+        # one row per category, read by both analyses
+        rollup = category.category_rollup(wh.lines, wh.orders_with_items, wh.stg_products)
+        m = persist_frame(category.category_metrics(rollup), "bench-categories")
         run(category.category_ranks(m))
         run(category.discontinue_candidates(m, 12.0, 0.90))
 
     timed("category_explorer", categories)
 
     def pay():
-        po = payments.payment_orders(wh.fct_orders, profile=wh.order_payments)
+        po = persist_frame(payments.payment_orders(wh.fct_orders, profile=wh.order_payments), "bench-payments")
         run(payments.payment_insights(po))
         run(payments.aov_by_method(po))
 
