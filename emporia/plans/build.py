@@ -147,6 +147,8 @@ def describe(wh: Warehouse, database: str) -> DataFrame:
     spark = next(iter(wh.raw.values())).sparkSession
     parts = []
     for t in spark.catalog.listTables(database):
+        if t.isTemporary:  # a session's own views are listed with every database
+            continue
         rows = [("", t.description, F.count(F.lit(1)))]
         rows += [(c.name, c.description, F.count(f"`{c.name}`"))
                  for c in spark.catalog.listColumns(f"{database}.{t.name}") if c.description]

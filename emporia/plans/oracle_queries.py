@@ -318,6 +318,10 @@ query("ingest_summary", "SELECT table_name, rows FROM (" + " UNION ALL ".join(
     f"(SELECT count(*) FROM {t})" for t in
     ["raw_orders", "raw_order_items", "raw_customers", "raw_payments", "raw_reviews", "raw_products",
      "raw_sellers", "raw_geolocation"]) + ")")
+query("table_health", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, true AS present, count(*) AS rows FROM {t}" for t in
+    ["raw_orders", "raw_order_items", "raw_customers", "raw_payments", "raw_reviews", "raw_products",
+     "raw_sellers", "raw_geolocation"]) + " UNION ALL SELECT 'raw_refunds', false, NULL")
 query("mart_build", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in
     ["dim_customers", "dim_products", "fct_order_items", "fct_orders", "fct_deliveries", "fct_freight",

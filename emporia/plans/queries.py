@@ -325,6 +325,20 @@ def q_ingest_summary(wh: Warehouse):
     return summary
 
 
+@register("table_health")
+def q_table_health(wh: Warehouse):
+    """Which of the expected raw tables are in the catalog, and with how many rows; refunds are of the other mode."""
+    spark = wh.raw["raw_orders"].sparkSession
+    prefix = f"health_{uuid.uuid4().hex}_"
+    views = {prefix + t: df for t, df in wh.raw.items()}
+    csv_source.register_raw(views)
+    health = csv_source.table_health(spark, [prefix + t for t in (*csv_source.OLIST_FILES.values(), "raw_refunds")])
+    for name in views:
+        spark.catalog.dropTempView(name)
+    found = health.join(csv_source.ingest_summary(views), "table_name", "left")
+    return found.select(F.regexp_replace("table_name", f"^{prefix}", "").alias("table_name"), "present", "rows")
+
+
 @register("mart_build")
 def q_mart_build(wh: Warehouse):
     """Full build of core tables and marts to Parquet; rows per persisted table."""
