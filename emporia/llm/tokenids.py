@@ -40,7 +40,7 @@ END_ID = 2
 LONGEST_CODE = 16
 CHECKPOINT = 256
 BLOCK_IDS = 1 << 18
-CACHED_WORDS = 400_000
+CACHED_WORDS = 260_000
 VOCABULARY = "word_bpe_49k.json"
 
 # The bytes that byte-level BPE writes as themselves; the others are written as code points from 256 on, in order.
