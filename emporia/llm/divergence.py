@@ -46,7 +46,7 @@ FOLD_BYTES = 16 << 20
 MERGED = 1 << 14
 CELLS = 1 << 20
 # Parts of a group's terms that are ranked on their own before the group is.
-SHARES = 64
+SHARES = 8
 
 STRIPE = "lang string, term string, n_docs bigint, sources array<string>, counts array<bigint>"
 _NAMES = ["lang", "term", "n_docs", "sources", "counts"]
