@@ -173,6 +173,7 @@ def parse(html: str) -> Page:
         size, above = builder.lengths[i], builder.tags[parents[i]] if i else ""
         own = ["tag " + tag, f"tag {above}>{tag}"]
         own += ["name " + x for x in dict.fromkeys(builder.own[i])] or ["unnamed " + tag]
+        own += ["under " + x for x in dict.fromkeys(builder.own[parents[i]])] if i else []
         if size:
             own.append("size " + ("tiny" if size < 20 else "short" if size < 80 else "long"))
             share = builder.linked[i] / size
@@ -184,10 +185,11 @@ def parse(html: str) -> Page:
             share = linked[i] / sizes[i]
             own.append("below links " + ("none" if not share else "some" if share < 0.5 else "most"))
             own.append("below long " + ("none" if not long[i] else "one" if long[i] == 1 else "more"))
-        share = sizes[i] / max(1, sizes[0])
-        own.append("share " + ("small" if share < 0.1 else "some" if share < 0.35 else "large" if share < 0.7 else "most"))
         if i:
             own.append(f"{tag} {own[-1] if not size else 'long' if long_own[i] else 'short'}")
+        if not size:
+            share = sizes[i] / max(1, sizes[0])
+            own.append("share " + ("small" if share < 0.1 else "some" if share < 0.35 else "large" if share < 0.7 else "most"))
         features.append(own)
     runs = [(node, text) for node, parts in builder.runs if (text := " ".join("".join(parts).split()))]
     return Page(builder.parents, features, runs, builder.marks)

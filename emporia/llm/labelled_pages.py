@@ -149,8 +149,9 @@ def _nested(rng: random.Random, parts: list[str]) -> list[str]:
 
 def _article(rng: random.Random) -> tuple[str, bool]:
     """An article, and whether it has an element of its own (else what stands around it is marked)."""
-    parts = [_block(rng) for _ in range(rng.randint(1, 7))]
-    if rng.random() < 0.45:
+    brief = rng.random() < 0.25  # a few words, often fewer than what readers wrote about them
+    parts = [f"<p>{_words(rng, 1, 6)}</p>"] if brief else [_block(rng) for _ in range(rng.randint(1, 7))]
+    if rng.random() < 0.45 and not brief:
         parts = _nested(rng, parts)
     title = rng.choice(["", f"<h1>{_words(rng, 2, 9)}</h1>", f"<h1>{_words(rng, 2, 9)}</h1>", f"<header><h1>{_words(rng, 2, 9)}</h1></header>"])
     if rng.random() < 0.3:
@@ -183,6 +184,9 @@ def labelled_pages(n: int = 1200, seed: int = 6) -> list[str]:
     for _ in range(n):
         before = [_other(rng, k) for k in rng.sample(kinds, rng.randint(0, 3))]
         after = [_other(rng, k) for k in rng.sample(list(NAMES), rng.randint(0, 4))]
+        for kind in ("comments", "notice"):  # often more words than a brief article has
+            if rng.random() < 0.3:
+                after.insert(0, _other(rng, kind))
         article, own = _article(rng)
         middle, mark = "".join([*before, article, *after]), "" if own else ' data-content="1"'
         if rng.random() < 0.25:
