@@ -51,6 +51,15 @@ def changed_orders(old: dict[str, DataFrame], new: dict[str, DataFrame]) -> Data
     return out.filter(F.col("order_id").isNotNull()).distinct()
 
 
+def of_orders(raw: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of the orders ``ids`` (a table of one column).
+
+    A condition, not a semi-join: Spark pushes it below whatever made the raw rows (numbering by a window, a
+    left join, computed columns), so that only these orders' rows are shuffled there.
+    """
+    return raw.filter(F.col("order_id").isin(ids))
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     """Delete a partition's folder in whatever store it is in."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -97,7 +106,7 @@ def refresh(wh: Warehouse, out_dir: str, changed: DataFrame, review_days: DataFr
     part = dict(wh.raw)
     for name in ("raw_orders", *many):
         raw = wh.raw[name]
-        part[name] = raw.join(ids, "order_id", "left_semi")
+        part[name] = of_orders(raw, ids)
         if None in months:
             part[name] = part[name].select(*raw.columns).union(raw.filter("order_id IS NULL"))
     own = Warehouse(part, currency=wh.currency)

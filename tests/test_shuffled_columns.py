@@ -72,3 +72,17 @@ def test_freight_joins_delivered_lines_only(spark):
     lines = [s for s in scans if "/fct_order_items" in s]
     assert lines and all("EqualTo(is_delivered,true)" in s for s in lines)
     assert wh.fct_freight.count() == Warehouse.from_testdata(spark, SF_SMALL).fct_freight.count() > 0
+
+
+def test_refresh_numbers_the_lines_of_its_orders_only(spark):
+    from emporia.plans.queries import REFRESHED_MONTHS, repriced
+    from emporia.plans.refresh import of_orders
+
+    wh = Warehouse.from_testdata(spark, SF_SMALL)
+    ids = wh.stg_orders.filter(F.col("order_ym").isin(*REFRESHED_MONTHS)).select("order_id").distinct()
+    raw = repriced(wh.raw)["raw_order_items"]
+    lines = of_orders(raw, ids)
+    tree = plan(lines).split("\n\n")[0]
+    assert re.search(r"Window(?s:.*)Exchange(?s:.*)LeftSemi", tree)
+    assert "LeftSemi" not in tree[:tree.index("Window")]
+    assert lines.exceptAll(raw.join(ids, "order_id", "left_semi")).count() == 0 and lines.count() > 0
