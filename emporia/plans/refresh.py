@@ -115,12 +115,14 @@ def refresh(wh: Warehouse, out_dir: str, changed: DataFrame, review_days: DataFr
         df, column = getattr(own, name), PARTITIONS[name]
         if column not in df.columns:
             df = df.withColumn(column, DERIVED[(name, column)]())
-        kept = persist_frame(df.filter(F.col(column).isin(known) | F.col(column).isNull()), f"refreshed-{name}")
+        kept = df.filter(F.col(column).isin(known) | F.col(column).isNull())
+        by_month = own.is_persisted(name)  # stored already, in months
+        kept = kept if by_month else persist_frame(kept, f"refreshed-{name}")
         there = {r[column] for r in kept.select(column).distinct().collect()}
         # orders without a month share one partition with those of other changes: it is written only if it changed
         kept = kept if None in months else kept.filter(F.col(column).isNotNull())
-        (kept.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(column).parquet(paths[name]))
+        (kept if by_month else kept.hint("rebalance", column)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(column).parquet(paths[name])
         for month in months - there:
             _remove(spark, f"{paths[name]}/{column}={_NO_MONTH if month is None else month}")
         wh.replace(name, stored(df, paths[name], column))
