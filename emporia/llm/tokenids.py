@@ -40,7 +40,7 @@ END_ID = 2
 LONGEST_CODE = 16
 CHECKPOINT = 256
 BLOCK_IDS = 1 << 18
-CACHED_WORDS = 260_000
+CACHED_WORDS = 150_000
 VOCABULARY = "word_bpe_49k.json"
 
 # The bytes that byte-level BPE writes as themselves; the others are written as code points from 256 on, in order.
@@ -50,6 +50,9 @@ _BYTE_LEVEL = {b: b for b in _PRINTED} | {b: 256 + i for i, b in enumerate(x for
 # Letters and then ASCII marks but the apostrophe, which the tokenizer's own pattern keeps with some letters.
 _LETTERS_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 
+# A comma or full stop behind an ASCII letter: always a piece of its own, or the first mark of one.
+_STOPS = re.compile(r"[,.](?<=[A-Za-z].)")
+
 
 class Encoder:
     """Ids of whole texts by a tokenizers file.
@@ -73,7 +76,7 @@ class Encoder:
             and split.get("behavior") == "Removed"
             and "[\\p{L}]+|" in split["pattern"].get("Regex", "")
             and bool(config["model"].get("end_of_word_suffix"))
-            and not any(x["single_word"] or x["lstrip"] or x["rstrip"] for x in config["added_tokens"])
+            and not any(x["single_word"] or x["lstrip"] or x["rstrip"] or _STOPS.search(x["content"]) for x in config["added_tokens"])
         )
         self.words = _Words(self.tokenizer)
 
@@ -81,6 +84,8 @@ class Encoder:
         string, end = text.decode(), np.array([end_id], dtype="<u4").tobytes()
         if not self.by_word:
             return np.array([*self.tokenizer.encode(string, add_special_tokens=False).ids, end_id], dtype="<u4")
+        # words are held without the stops behind them; what Σ becomes may depend on letters before a stop
+        string = string if "Σ" in string else _STOPS.sub(r" \g<0>", string)
         # str.split also parts at U+001C to U+001F, which are no white space to the tokenizer
         found = string.split(" ") if any(x in string for x in "\x1c\x1d\x1e\x1f") else string.split()
         return np.frombuffer(b"".join([*map(self.words.__getitem__, found), end]), dtype="<u4")
@@ -92,6 +97,8 @@ def _lowered(letters: str) -> str:
     Letters that NFC takes apart, and capitals whose lower case is a letter and
     a mark (U+0130), would join the marks behind them; a last Σ depends on what follows.
     """
+    if letters.isascii():
+        return letters.lower()
     if "Σ" in letters or not unicodedata.is_normalized("NFC", letters):
         return ""
     low = letters.lower()
@@ -104,6 +111,7 @@ class _Words(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+        self.model._resize_cache(0)  # words that come again are held here
         self.packed = [np.array([i], dtype="<u4").tobytes() for i in range(tokenizer.get_vocab_size())]
 
     def __missing__(self, word: str) -> bytes:
@@ -119,8 +127,8 @@ class _Words(dict):
     def encode(self, word: str) -> bytes:
         if word.isalpha():
             if low := _lowered(word):
-                found = self.model.tokenize(low.encode().decode("latin-1").translate(_BYTE_LEVEL))
-                return b"".join([self.packed[t.id] for t in found])
+                own = low if low.isascii() else low.encode().decode("latin-1").translate(_BYTE_LEVEL)
+                return b"".join([self.packed[t.id] for t in self.model.tokenize(own)])
         elif (two := _LETTERS_MARKS.fullmatch(word)) and _lowered(two[1]):  # a run of letters, then one of marks: two pieces
             return self[two[1]] + self[two[2]]
         return b"".join([self.packed[x] for x in self.tokenizer.encode(word, add_special_tokens=False).ids])

@@ -203,6 +203,13 @@ def test_ids_of_every_letter_before_marks_and_letters(behind):
     assert own.ids("ALİ,".encode()).tolist() == [3558, 136, 229, 267, 2]
 
 
+def test_a_word_is_held_once_whatever_stop_follows():
+    own = tokenids.Encoder(__import__("public_tokenizers").path(tokenids.VOCABULARY))
+    for text in ["alpha, beta. alpha beta", "alpha,. alpha.' alpha.s", "Σas,ΑΣ.Σa ΑΣa.Σ", "a,\u0338 b.\u0301 e\u0301, é. 1,2.", "a..b,,c .d ,e"]:
+        assert own.ids(text.encode()).tolist()[:-1] == own.tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert {"alpha", "beta", ",", "."} <= set(own.words) and not {"alpha,", "beta."} & set(own.words)
+
+
 def test_special_strings_and_the_cache(monkeypatch):
     monkeypatch.setattr(tokenids, "CACHED_WORDS", 3)
     own = tokenids.Encoder(tokenids.encoder(None).tokenizer and __import__("public_tokenizers").path(tokenids.VOCABULARY))
