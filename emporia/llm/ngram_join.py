@@ -15,8 +15,8 @@ link:
    need not be looked up.
 3. *Tiles.* Sizes that can link are in the same or in neighbouring bands. A tile
    holds the sets of a band, and of the one below, with a common rare
-   shingle. One with more than ``TILE`` sets is cut into squares of two parts
-   each.
+   shingle. Of tiles that hold the same sets, one is looked at. One with more
+   than ``TILE`` sets is cut into squares of two parts each.
 4. *Bitmaps.* A set carries a bitmap of its shingles' hashes. A bit that one
    set has and the other lacks is a shingle that they do not share, so bit
    counts bound the overlap from above, and the exact intersection is taken
@@ -215,8 +215,8 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out = [[i for i, k in zip(c, keep) if k] for c in (a, b)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["u", "v"])
 
-    left = sets.select(F.col("c").alias("a"), F.col("hashes").alias("left"))
-    right = sets.select(F.col("c").alias("b"), F.col("hashes").alias("right"))
+    # the sets of few pairs are picked out before they are dealt
+    left, right = (sets.select(F.col("c").alias(c), F.col("hashes").alias(x)).join(pairs.select(c).distinct(), c, "left_semi") for c, x in (("a", "left"), ("b", "right")))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(fn, "u bigint, v bigint")
 
 
@@ -282,17 +282,31 @@ def stars(entries: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b): each set with the least changed one of each of its tiles, where sizes allow a link."""
     changed = F.col("n") - F.col("shared")
     centre = F.min(F.struct(changed.alias("changed"), F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a")))
-    tiles = entries.groupBy("e", "tile").agg(centre.alias("s"), F.count("*").alias("m")).filter("m > 1").select("e", "tile", "s.a", "s.n_a", "s.shared_a")
-    pairs = entries.join(materialise(tiles, "jaccard-tiles"), ["e", "tile"]).filter("c <> a")
+    centres = entries.groupBy("e", "tile").agg(centre.alias("s")).select("e", "tile", "s.a", "s.n_a", "s.shared_a")
+    pairs = entries.join(materialise(centres, "jaccard-centres"), ["e", "tile"]).filter("c <> a")
     pairs = pairs.filter(overlaps(F.least("shared", "shared_a"), F.col("n"), F.col("n_a"), percent))
     return pairs.select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
 
 
+def tiles(sets: DataFrame) -> DataFrame:
+    """(c, n, shared, e, tile, home): the sets of all tiles that have a pair to look at; of tiles with the same sets, one.
+
+    Near copies have most of their rare shingles in common, so each would bring
+    the same sets together again. Tiles are the same if their numbers of sets and
+    two 64-bit hashes of all of them agree.
+    """
+    both = F.explode(F.array(F.struct(F.col("band").alias("tile"), F.lit(True).alias("home")), F.struct((F.col("band") + 1).alias("tile"), F.lit(False).alias("home"))))
+    entries = sets.select("c", "n", "shared", "band", F.explode("prefix").alias("e")).withColumn("t", both)
+    entries = materialise(entries.select("c", "n", "shared", "e", "t.tile", "t.home"), "jaccard-prefixes")
+    members = [F.bit_xor(F.xxhash64(F.lit(seed), "c")).alias(f"members_{seed}") for seed in (1, 2)]
+    own = entries.groupBy("e", "tile").agg(F.count("*").alias("m"), F.max("home").alias("any"), *members).filter("m > 1 AND any")
+    one = own.groupBy("tile", "m", "members_1", "members_2").agg(F.min("e").alias("e")).select("e", "tile")
+    return entries.join(materialise(one, "jaccard-tiles"), ["e", "tile"])  # both sides plain scans: Spark can split a hot tile
+
+
 def classes(sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the sets (column ``c``) that are connected with others."""
-    entries = sets.select("c", "n", "shared", "band", F.explode("prefix").alias("e"))
-    tiles = F.explode(F.array(F.struct(F.col("band").alias("tile"), F.lit(True).alias("home")), F.struct((F.col("band") + 1).alias("tile"), F.lit(False).alias("home"))))
-    entries = materialise(entries.withColumn("t", tiles).select("c", "n", "shared", "e", "t.tile", "t.home"), "jaccard-prefixes")
+    entries = materialise(tiles(sets), "jaccard-entries")
     tried = materialise(stars(entries, percent), "jaccard-stars")
     links = materialise(linked(tried, sets, percent), "jaccard-links")
     most = FIRST

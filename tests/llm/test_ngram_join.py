@@ -153,3 +153,17 @@ def test_join_awkward_rows(spark, odd, none):
     assert result(ngram_join.join(clashing)) == brute(rows)
     assert ngram_join.join(none).count() == 0
     assert re.match("doc_id.*n_shingles.*component_id", " ".join(ngram_join.join(none).columns))
+
+
+def test_tiles_of_the_same_sets_are_looked_at_once(spark):
+    """Copies share all their rare shingles: one tile of a group is kept, whatever number of shingles brings it together."""
+    rows = [(i, 100, 100, 7, [1000 * g + x for x in range(10)]) for g in range(3) for i in range(5 * g, 5 * g + 5)]
+    rows += [(100, 100, 100, 7, [0, 50]), (101, 99, 99, 8, [50, 51]), (102, 90, 90, 6, [51, 52])]
+    sets = spark.createDataFrame(rows, "c bigint, n bigint, shared bigint, band int, prefix array<bigint>")
+    found = {}
+    for r in ngram_join.tiles(sets).collect():
+        found.setdefault((r.e, r.tile), set()).add((r.c, r.home))
+    got = sorted(sorted(x) for x in found.values())
+    groups = [{(i, True) for i in range(5 * g, 5 * g + 5)} for g in range(3)]
+    # 50 brings bands 7 and 8 together in 8; 51's bands 6 and 8 meet nowhere
+    assert got == sorted(map(sorted, [*groups, groups[0] | {(100, True)}, {(100, False), (101, True)}]))
