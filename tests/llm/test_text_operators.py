@@ -210,6 +210,41 @@ def test_a_word_is_held_once_whatever_stop_follows():
     assert {"alpha", "beta", ",", "."} <= set(own.words) and not {"alpha,", "beta."} & set(own.words)
 
 
+LATIN = st.text(alphabet=st.one_of(st.characters(max_codepoint=255), st.sampled_from("aAzÉßµªº×÷'.,, .-<|>")), max_size=40)
+
+
+@settings(max_examples=3000, deadline=None)
+@given(LATIN)
+def test_ids_of_latin_1_are_the_tokenizers(text):
+    own = tokenids.encoder(None)
+    assert own.ids(text.encode()).tolist()[:-1] == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_latin_1_word_is_held_once_in_whatever_case():
+    own = tokenids.Encoder(__import__("public_tokenizers").path(tokenids.VOCABULARY))
+    for text in ["Été, ÉTÉ. été", "<|ENDOFTEXT|> Été,", "Été<|endoftext|>ÉTÉ.", "ÀÖØÞ.ß,ÿ.÷,×.ª,º.µ,", "ÉTÉ.\u0301 ÉTÉ"]:
+        assert own.ids(text.encode()).tolist()[:-1] == own.tokenizer.encode(text, add_special_tokens=False).ids, text
+    own = tokenids.Encoder(__import__("public_tokenizers").path(tokenids.VOCABULARY))
+    own.ids("Été, ÉTÉ. été A a".encode())
+    assert set(own.words) == {"été", "a", ",", "."}
+
+
+@pytest.mark.parametrize("longest", [1, 9, 16, 25])
+def test_codes_stand_one_behind_another(longest):
+    """The payload is the codes' bits, first bit highest, whatever words and bytes they cross."""
+    rng = np.random.default_rng(longest)
+    lengths = np.array([longest] * min(2 ** min(longest, 9), 300)) if longest < 20 else np.array([*range(1, longest), longest, longest])
+    code = tokenids.Code(np.arange(len(lengths)), lengths)
+    own = dict(zip(code.ids.tolist(), zip(code.first.tolist(), code.sizes.tolist())))
+    for n in (0, 1, 7, 1000):
+        ids = rng.integers(0, len(lengths), n)
+        bits = "".join(f"{own[i][0] >> (code.bits - own[i][1]):0{own[i][1]}b}" for i in ids.tolist())
+        payload, at = code.encode(ids)
+        want = bits + "0" * (-len(bits) % 8)
+        assert payload == bytes(int(want[i : i + 8], 2) for i in range(0, len(want), 8))
+        assert len(at) == -(-n // tokenids.CHECKPOINT)
+
+
 def test_special_strings_and_the_cache(monkeypatch):
     monkeypatch.setattr(tokenids, "CACHED_WORDS", 3)
     own = tokenids.Encoder(tokenids.encoder(None).tokenizer and __import__("public_tokenizers").path(tokenids.VOCABULARY))
