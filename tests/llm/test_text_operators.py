@@ -370,6 +370,39 @@ def test_registered_search_takes_all_terms(spark):
         assert [s for s, _ in got[q]] == pytest.approx([s for s, _ in want[q]], abs=1e-8)
 
 
+def test_search_takes_queries_through_a_shard_together(spark, monkeypatch):
+    rng = random.Random(13)
+    vocabulary = [f"t{int(rng.paretovariate(0.6))}" for _ in range(4000)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 120))) for _ in range(700)]
+    texts[100:160] = [texts[0]] * 60  # more ties than places, in several blocks
+    texts[161], texts[350] = "", "nothing alike"
+    docs = documents(spark, texts)
+    rows = [r.asDict() for r in search.build(docs.coalesce(2), shard_docs=300).collect()]
+    total, mean = len(texts), sum(len(lower_words(t)) for t in texts) / len(texts)
+    index = search.build(docs, shard_docs=300)
+    (block,) = search.query_blocks(search.queries(docs.filter("doc_id % 10 = 0"), search.frequencies(index), total).collect(), search.QUERY_BLOCK)
+    ids, vocabulary, idf, term, query = search.numbered_terms(block)
+    assert len(vocabulary) == len(idf) == len(set(vocabulary.tolist())) < len(term)
+    for batch, common in ((search.BATCH, search.COMMON), (2000, search.COMMON), (search.BATCH, 2), (search.BATCH, 0)):
+        monkeypatch.setattr(search, "BATCH", batch)
+        monkeypatch.setattr(search, "COMMON", common)
+        monkeypatch.setattr(search, "STEP_POSTINGS", 500)
+        monkeypatch.setattr(search, "BLOCK_DOCS", 16)
+        monkeypatch.setattr(search, "FIRST_BLOCKS", 2)
+        kept = search.nothing(len(ids), 7)
+        for row in rows:
+            shard = search.Shard(row, mean)
+            per_posting = sum(x.nbytes for x in (shard.docs, shard.impact)) / len(shard.docs)
+            assert per_posting <= 16 and shard.dense.size <= search.MOST_COMMON * (len(shard.doc_ids) + 16)
+            place = np.minimum(np.searchsorted(shard.terms, vocabulary), len(shard.terms) - 1)
+            here = np.flatnonzero((shard.terms[place] == vocabulary)[term])
+            kept = shard.best(ids, query[here].astype(np.int64), place[term[here]], idf[term[here]], kept)
+        want = brute_search(texts, ids.tolist(), 7, None)
+        for q, found, scores in zip(ids.tolist(), *kept):
+            assert found[scores > 0].tolist() == [d for _, d in want[q]]
+            assert scores[scores > 0] == pytest.approx([-s for s, _ in want[q]], abs=1e-8)
+
+
 def test_search_tells_long_words_apart(spark):
     one, other = thue_morse()
     docs = documents(spark, [one, other, f"{one} more", "more"])
