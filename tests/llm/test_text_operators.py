@@ -403,6 +403,55 @@ def test_search_takes_queries_through_a_shard_together(spark, monkeypatch):
             assert scores[scores > 0] == pytest.approx([-s for s, _ in want[q]], abs=1e-8)
 
 
+def test_search_is_exact_where_single_precision_is_not(spark, monkeypatch):
+    rng = random.Random(14)
+    # alike but for one word more and another one less: these scores differ by less than single precision tells
+    alike = [" ".join([f"t{j}" for j in range(18)] * 500 + ["a"] * (500 + i) + ["b"] * (500 - i)) for i in range(12)]
+    texts = alike + [f"u{i} v{i}" for i in range(200)]
+    rng.shuffle(texts)
+    docs = documents(spark, texts)
+    rows = [r.asDict() for r in search.build(docs.coalesce(1), shard_docs=110).collect()]
+    total, mean = len(texts), sum(len(lower_words(t)) for t in texts) / len(texts)
+    index = search.build(docs, shard_docs=110)
+    asked = docs.filter(f"doc_id in ({texts.index(alike[0])}, {texts.index(alike[5])})")
+    (block,) = search.query_blocks(search.queries(asked, search.frequencies(index), total).collect(), search.QUERY_BLOCK)
+    ids, vocabulary, idf, term, query = search.numbered_terms(block)
+    want = brute_search(texts, ids.tolist(), 6, None)
+    scores = [s for s, _ in want[ids[0]]]
+    assert all(b - a > 1e-8 for a, b in zip(scores, scores[1:])) and any(b - a < 2.0**-23 * abs(a) for a, b in zip(scores, scores[1:]))
+    for common in (0, 2):  # all terms common, and none
+        monkeypatch.setattr(search, "COMMON", common)
+        kept = search.nothing(len(ids), 6)
+        for row in rows:
+            shard = search.Shard(row, mean)
+            assert shard.rough.dtype == np.float32 and shard.rough.shape == shard.dense.shape
+            place = np.minimum(np.searchsorted(shard.terms, vocabulary), len(shard.terms) - 1)
+            here = np.flatnonzero((shard.terms[place] == vocabulary)[term])
+            kept = shard.best(ids, query[here].astype(np.int64), place[term[here]], idf[term[here]], kept)
+        for q, found, got in zip(ids.tolist(), *kept):
+            assert found.tolist() == [d for _, d in want[q]]
+            assert got == pytest.approx([-s for s, _ in want[q]], abs=1e-8)
+
+
+def test_search_reads_rare_postings_in_rows(spark):
+    rng = random.Random(15)
+    texts = [" ".join(f"t{int(rng.paretovariate(0.6))}" for _ in range(60)) for _ in range(500)]
+    (row,) = [r.asDict() for r in search.build(documents(spark, texts).coalesce(1)).collect()]
+    shard = search.Shard(row, 60.0)
+    place = np.arange(len(shard.terms))[1::2]
+    lists = search.Lists(shard, place, np.full(len(place), 2.0))
+    rare = place[shard.row_of[place] < 0]
+    assert len(lists.docs) == lists.rows.sum() and lists.docs.shape[1] == lists.adds.shape[1] == search.ROW
+    assert lists.docs.size <= shard.sizes[rare].sum() + search.ROW * len(rare)
+    for t in range(len(shard.terms)):
+        own = slice(lists.first[t], lists.first[t] + lists.rows[t])
+        size = shard.sizes[t] if t in rare else 0
+        docs, adds = lists.docs[own].ravel(), lists.adds[own].ravel()
+        assert docs[:size].tolist() == shard.docs[shard.starts[t] : shard.starts[t] + size].tolist()
+        assert adds[:size].tolist() == (2.0 * shard.impact[shard.starts[t] : shard.starts[t] + size]).tolist()
+        assert not adds[size:].any()
+
+
 def test_search_tells_long_words_apart(spark):
     one, other = thue_morse()
     docs = documents(spark, [one, other, f"{one} more", "more"])
