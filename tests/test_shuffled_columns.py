@@ -2,13 +2,14 @@
 
 import io
 import re
+from collections import Counter
 from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
 
-from emporia.operators import contracts
-from emporia.plans.build import materialize, new_build_dir
+from emporia.operators import contracts, marts
+from emporia.plans.build import materialize, new_build_dir, partial_keys
 from emporia.plans.warehouse import Warehouse
 from tests.conftest import SF_SMALL
 
@@ -74,6 +75,51 @@ def test_freight_joins_delivered_lines_only(spark):
     assert wh.fct_freight.count() == Warehouse.from_testdata(spark, SF_SMALL).fct_freight.count() > 0
 
 
+def test_lines_are_not_dealt_by_seller(spark, no_broadcast, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    lazy = Warehouse.from_testdata(spark, SF_SMALL)
+    assert not any("order_item_seq" in c and "order_gmv" in c for c in exchanged(lazy.fct_freight))
+    assert "hashpartitioning(seller_id" not in plan(lazy.fct_freight)
+    rows = lazy.fct_freight.collect()
+    monkeypatch.setattr(marts, "FEW_SELLERS", 0)  # more sellers than may be sent everywhere: lines go to them without the order's columns
+    many = Warehouse.from_testdata(spark, SF_SMALL).fct_freight
+    assert "hashpartitioning(seller_id" in plan(many)
+    assert not any("order_item_seq" in c and "order_gmv" in c for c in exchanged(many))
+    assert sorted(map(str, many.collect())) == sorted(map(str, rows)) and rows
+
+
+def test_freight_and_deliveries_are_not_dealt_by_month_again(spark, no_broadcast, monkeypatch):
+    wh = Warehouse.from_testdata(spark, SF_SMALL)
+    paths = materialize(wh, new_build_dir(wh, "in-months"), tables=["fct_order_items", "fct_orders", "dim_customers"])
+    rows, columns = wh.rows_in_months("fct_deliveries")
+    assert not exchanged(rows.select(*columns))
+    for few in (marts.FEW_SELLERS, 0):
+        monkeypatch.setattr(marts, "FEW_SELLERS", few)
+        rows, columns = wh.rows_in_months("fct_freight")
+        with partial_keys(spark):
+            dealt = [c for c in exchanged(rows.select(*columns)) if "order_item_seq" in c]
+        assert len(dealt) == (1 if few else 2) and not any("order_gmv" in c for c in dealt)
+    assert wh.rows_in_months("fct_orders") is None and spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    paths = materialize(wh, new_build_dir(wh, "in-months"), tables=["fct_deliveries", "fct_freight"])
+    lazy = Warehouse.from_testdata(spark, SF_SMALL)
+    for name in paths:
+        want = sorted(map(str, getattr(lazy, name).collect()))
+        assert sorted(map(str, getattr(wh, name).select(getattr(lazy, name).columns).collect())) == want and want
+    # a part of a month is in one task, so a month has no more files than parts
+    files = Counter(re.search("order_ym=([^/]*)/", f)[1] for f in wh.fct_freight.inputFiles())
+    parts = {r["_ym"]: r["_parts"] for r in marts.month_parts(wh.fct_orders).collect()}
+    assert files and all(n <= parts[ym] for ym, n in files.items())
+
+
+def test_months_have_parts_by_their_orders(spark):
+    ym = F.when(F.col("id") < 600, "2020-01").when(F.col("id") < 990, "2020-02").when(F.col("id") < 999, "2020-03")
+    got = [tuple(r) for r in marts.month_parts(spark.range(1000).select(ym.alias("order_ym"))).orderBy("_first").collect()]
+    n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = [1, -(-n * 600 // 1000), -(-n * 390 // 1000), 1]
+    assert got == [(m, sum(parts[:i]), parts[i]) for i, m in enumerate(["", "2020-01", "2020-02", "2020-03"])]
+    assert marts.month_parts(spark.range(0).select(ym.alias("order_ym"))).count() == 0
+
+
 def test_refresh_numbers_the_lines_of_its_orders_only(spark):
     from emporia.plans.queries import REFRESHED_MONTHS, repriced
     from emporia.plans.refresh import of_orders
